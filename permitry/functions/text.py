@@ -1,5 +1,7 @@
 """Text cleaning, tokens and token-set similarity."""
 
+import string
+
 from pyspark.sql import functions as F
 
 from permitry.schemas import STOP_WORDS
@@ -53,11 +55,20 @@ def is_number(c):
     return F.coalesce(_col(c).rlike(number), F.lit(False))
 
 
+def words(c):
+    """Lower-case ASCII words of a text in order, with an empty one where it starts or ends otherwise."""
+    lower = F.translate(_col(c), string.ascii_uppercase, string.ascii_lowercase)
+    return F.split(lower, "[^a-z0-9]+")
+
+
+def is_token(word, stop_words=STOP_WORDS):
+    """A word that is neither empty nor a stop word."""
+    return ~word.isin("", *stop_words)
+
+
 def tokens(c, stop_words=STOP_WORDS):
     """Lower-case ASCII words of a text without stop words, in order, repeats kept; NULL gives []."""
-    words = F.transform(F.split(_col(c), "[^A-Za-z0-9]+"), F.lower)
-    stops = [w for w in stop_words if w]
-    kept = F.filter(words, lambda w: (w != "") & ~w.isin(stops)) if stops else F.filter(words, lambda w: w != "")
+    kept = F.filter(words(c), lambda w: is_token(w, stop_words))
     return F.coalesce(kept, F.array().cast("array<string>"))
 
 

@@ -12,9 +12,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from permitry.functions.text import jaccard, tokens
+from permitry.functions.text import tokens
 from permitry.functions.vectors import euclidean
-from permitry.operators.skew import CELL, grid_join, lookup_join
+from permitry.operators.skew import CELL, HEAVY_ROWS, grid_join, lookup_join
 from permitry.schemas import STOP_WORDS
 from permitry.session import cut
 
@@ -24,22 +24,21 @@ PARTS = 256
 
 
 def _bags(types, column, stop_words, distinct, members=None):
-    """Words of each type as a sorted bag; with ``members``, one row per bag and its first names.
+    """Words of each type as a sorted bag, written out; with ``members``, one row per bag and its first names.
 
     The names kept are the ``members`` smallest ones: a ranking of that length by score and names can
     hold no others of the same bag.
     """
-    words = tokens(column, stop_words)
+    words = tokens("name", stop_words)
     bag = F.array_sort(F.array_distinct(words) if distinct else words)
-    rows = types.select(bag.alias("bag"), F.col(column).alias("name")).where(
-        F.col("name").isNotNull() & (F.size("bag") > 0)
-    ).distinct()
+    named = types.select(F.col(column).alias("name")).where(F.col("name").isNotNull()).distinct()
+    rows = named.select(bag.alias("bag"), "name")
     if members is None:
-        return rows
+        return cut(rows)
     if members > GROUP_LIMIT:
         rows = _smallest(rows.withColumn("__part", F.pmod(F.xxhash64("name"), F.lit(PARTS))), ["bag", "__part"], members)
     kept = _smallest(rows, ["bag"], members)
-    return kept.groupBy("bag").agg(F.array_sort(F.collect_list("name")).alias("name"))
+    return cut(kept.groupBy("bag").agg(F.array_sort(F.collect_list("name")).alias("name")))
 
 
 def _smallest(rows, by, n):
@@ -48,6 +47,11 @@ def _smallest(rows, by, n):
     return ranked.where(F.col("__rank") <= n).select("bag", "name")
 
 
+def _spread(df, key):
+    """The key's hash partitions in their full number: a join that grows its input must not be coalesced."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _side(df, suffix):
     return df.select(*[F.col(c).alias(f"{c}_{suffix}") for c in df.columns])
 
@@ -60,10 +64,15 @@ def _join_on_keys(left, right, condition, cell):
     a = _side(left, "l").withColumn("key_l", F.explode("probe_l"))
     b = _side(right, "r").withColumn("key_r", F.explode("probe_r"))
     first_shared = F.element_at(F.array_intersect("keys_l", "keys_r"), 1) == F.col("key_l")
-    return grid_join(a, b, "key_l", "key_r", condition & first_shared, cell)
+    return grid_join(_spread(a, "key_l"), _spread(b, "key_r"), "key_l", "key_r", condition & first_shared, cell)
+
+
+def _heavy(members):
+    """With ``members`` the bags are unique and none can be heavy."""
+    return HEAVY_ROWS if members is None else None
 
 
-def _by_rarity(left, right):
+def _by_rarity(left, right, members=None):
     """Both sides with ``keys``: the words of the bag, rare ones (over both sides) first."""
     def words(df):
         return df.select("bag", F.explode("bag").alias("word"))
@@ -74,7 +83,7 @@ def _by_rarity(left, right):
         counted = lookup_join(words(df.select("bag").distinct()), seen, "word", "inner")
         ranked = F.array_sort(F.collect_list(F.struct("seen", "word")))
         keys = counted.groupBy("bag").agg(F.transform(ranked, lambda x: x["word"]).alias("keys"))
-        return lookup_join(df, keys, "bag", "inner")
+        return lookup_join(df, keys, "bag", "inner", _heavy(members))
 
     return ordered(left), ordered(right)
 
@@ -87,13 +96,19 @@ def _jaccard_join(left, right, at_least, cell):
     joined on.
     """
     def probing(df):
+        if at_least == 0:
+            return df.withColumn("probe", F.col("keys"))
         need = F.greatest(F.lit(1), F.ceil(F.size("keys") * F.lit(float(at_least)) - SMALL).cast("int"))
         return df.withColumn("probe", F.slice("keys", F.lit(1), F.size("keys") - need + 1))
 
     size_l, size_r = F.size("keys_l"), F.size("keys_r")
-    sizes_fit = (size_l >= size_r * at_least - SMALL) & (size_r >= size_l * at_least - SMALL)
-    score = jaccard("keys_l", "keys_r")
-    pairs = _join_on_keys(probing(left), probing(right), sizes_fit & (score >= at_least - SMALL), cell)
+    shared = F.size(F.array_intersect("keys_l", "keys_r"))
+    score = shared / (size_l + size_r - shared)
+    reaches = F.lit(True)
+    if at_least > 0:
+        sizes_fit = (size_l >= size_r * at_least - SMALL) & (size_r >= size_l * at_least - SMALL)
+        reaches = sizes_fit & (score >= at_least - SMALL)
+    pairs = _join_on_keys(probing(left), probing(right), reaches, cell)
     return pairs.select("name_l", "name_r", score.alias("score"))
 
 
@@ -106,6 +121,7 @@ def jaccard_pairs(left, right, at_least=0.0, left_column="BusinessType", right_c
     a, b = _by_rarity(
         _bags(left, left_column, stop_words, True), _bags(right, right_column, stop_words, True)
     )
+    a, b = cut(a), cut(b)
     pairs = _jaccard_join(a, b, at_least, cell)
     return pairs.select(F.col("name_l").alias("left"), F.col("name_r").alias("right"), "score")
 
@@ -125,159 +141,206 @@ def _best_names(bag_pairs, n, ascending):
     return spread.orderBy(score, "left", "right").limit(n)
 
 
-def _enough(bag_pairs, n):
-    """Whether the bag pairs hold at least ``n`` name pairs, counting no further than ``n`` bag pairs."""
-    pairs = bag_pairs.select((F.size("name_l").cast("bigint") * F.size("name_r")).alias("pairs"))
-    held = pairs.limit(n).agg(F.sum("pairs")).first()[0]
-    return (held or 0) >= n
-
-
 def jaccard_top(left, right, n=1000, left_column="BusinessType", right_column="BusinessType",
-                stop_words=STOP_WORDS, thresholds=(0.8, 0.5, 0.3, 0.15), cell=CELL):
+                stop_words=STOP_WORDS, thresholds=(0.8, 0.5, 0.3, 0.15, 0.0), cell=CELL):
     """The ``n`` most similar pairs of types, ties by name.
 
-    The threshold falls step by step until enough pairs reach it; only the last step, needed when there
+    The threshold falls step by step until enough pairs reach it. Only the last step, needed when there
     are fewer than ``n`` such pairs, joins on every word.
     """
     a, b = _by_rarity(
-        _bags(left, left_column, stop_words, True, n), _bags(right, right_column, stop_words, True, n)
+        _bags(left, left_column, stop_words, True, n), _bags(right, right_column, stop_words, True, n), n
     )
     a, b = cut(a), cut(b)
     for at_least in thresholds:
-        pairs = _jaccard_join(a, b, at_least, cell)
-        if _enough(pairs, n):
-            return _best_names(pairs, n, ascending=False)
-    return _best_names(_jaccard_join(a, b, 0.0, cell), n, ascending=False)
+        best = cut(_best_names(_jaccard_join(a, b, at_least, cell), n, ascending=False))
+        if at_least == 0 or best.count() == n:
+            return best
 
 
-def word_vectors(words, vectors):
-    """Vectors of the given words, one row each; unknown words drop out."""
-    return vectors.join(words.select("word").distinct(), "word", "left_semi")
+def _lexicon(left, right, vectors):
+    """Known words of the bags: in how many left and right bags they occur, vector, places for the grid.
 
+    A place is the distance to a pivot, one of two fixed words; any choice of pivots is exact.
+    """
+    def words(df, side):
+        return df.select("bag").distinct().select(F.explode(F.array_distinct("bag")).alias("word"), F.lit(side).alias("side"))
+
+    seen = words(left, 0).unionByName(words(right, 1)).groupBy("word").agg(
+        F.sum(1 - F.col("side")).alias("in_left"), F.sum("side").alias("in_right")
+    )
+    known = cut(vectors.select("word", F.col("vec").cast("array<double>").alias("vec")).join(seen, "word"))
+    pivots = [row["vec"] for row in known.orderBy(F.xxhash64("word"), "word").limit(2).collect()]
+    places = [euclidean("vec", F.lit(p).cast("array<double>")) for p in pivots]
+    return known.withColumn("at", F.array(*places)) if places else None
 
-def _weighted(bags, vectors):
-    """Bags as arrays of (weight, vector) over the known words; bags without any drop out.
 
-    Weights are the word's share of the known words of the bag.
+def _weighted(bags, lexicon, members=None):
+    """Bags with their known words, rare ones first, and each word's share and vector.
+
+    Bags without any known word drop out.
     """
     words = bags.select("bag").distinct().select("bag", F.explode("bag").alias("word"))
     counts = words.groupBy("bag", "word").agg(F.count(F.lit(1)).alias("times"))
-    known = lookup_join(counts, vectors, "word", "inner")
+    entry = lexicon.select("word", (F.col("in_left") + F.col("in_right")).alias("seen"), "vec")
+    known = lookup_join(counts, entry, "word", "inner")
     parts = known.groupBy("bag").agg(
-        F.sum("times").alias("total"), F.array_sort(F.collect_list(F.struct("word", "times", "vec", "at"))).alias("parts")
+        F.sum("times").alias("total"), F.array_sort(F.collect_list(F.struct("seen", "word", "times", "vec"))).alias("parts")
     )
     flat = parts.select(
-        "bag",
+        F.col("bag"),
+        F.transform("parts", lambda p: p["word"]).alias("words"),
         F.transform("parts", lambda p: p["times"] / F.col("total")).alias("weights"),
         F.transform("parts", lambda p: p["vec"]).alias("vectors"),
-        F.transform("parts", lambda p: p["at"]).alias("places"),
     )
-    return lookup_join(bags, flat, "bag", "inner")
+    return cut(lookup_join(bags, flat, "bag", "inner", _heavy(members)))
 
 
-def relaxed_distance(weights_a, vectors_a, weights_b, vectors_b):
-    """Relaxed word-mover distance: each word travels to the nearest word of the other bag.
+def near_words(lexicon, reach, cell=CELL):
+    """For every right word the left words within ``reach`` of it.
 
-    The larger of both directions, a lower bound of the word-mover distance.
+    Words that near differ by no more than ``reach`` in their distance to any pivot, so they lie in the
+    same or in neighbouring cells of a grid of that width.
     """
-    a, b = np.stack(vectors_a), np.stack(vectors_b)
-    cost = np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2))
-    there = float(np.dot(weights_a, cost.min(axis=1)))
-    back = float(np.dot(weights_b, cost.min(axis=0)))
-    return max(there, back)
+    width = max(float(reach), SMALL) * (1 + SMALL)
+
+    def cells(steps):
+        spots = [F.floor(F.element_at("at", i) / width) for i in (1, -1)]
+        return F.explode(F.array(*[F.concat_ws(":", spots[0] + i, spots[1] + j) for i in steps for j in steps]))
+
+    a = lexicon.where(F.col("in_left") > 0).select(
+        F.col("word").alias("word_l"), F.col("vec").alias("vec_l"), cells((0,)).alias("key_l"))
+    b = lexicon.where(F.col("in_right") > 0).select(
+        F.col("word").alias("word"), F.col("vec").alias("vec_r"), cells((-1, 0, 1)).alias("key_r"))
+    close = grid_join(a, b, "key_l", "key_r", euclidean("vec_l", "vec_r") <= width, cell)
+    return close.groupBy("word").agg(F.collect_set("word_l").alias("near"))
+
+
+def _near_bags(bags, near, members):
+    """Bags with all the left words near any of their words."""
+    words = bags.select("bag", "words").distinct().select("bag", F.explode("words").alias("word"))
+    found = lookup_join(words, near, "word", "inner").groupBy("bag").agg(
+        F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")
+    )
+    return lookup_join(bags, found, "bag", "inner", _heavy(members))
+
+
+def relaxed_distances(weights_a, vectors_a, weights_b, vectors_b):
+    """Relaxed word-mover distances of pairs of bags given as lists of weights and of vectors.
+
+    Each word travels to the nearest word of the other bag; the larger of both directions, a lower bound
+    of the word-mover distance. Pairs of equal bag sizes are computed together.
+    """
+    shapes = pd.Series([(len(a), len(b)) for a, b in zip(weights_a, weights_b)])
+    out = np.empty(len(shapes))
+    for where in shapes.groupby(shapes).indices.values():
+        a, b = (np.array([np.stack(v[i]) for i in where]) for v in (vectors_a, vectors_b))
+        wa, wb = (np.array([w[i] for i in where]) for w in (weights_a, weights_b))
+        cost = np.empty((len(where), a.shape[1], b.shape[1]))
+        for j in range(b.shape[1]):
+            cost[:, :, j] = np.sqrt(((a - b[:, j : j + 1, :]) ** 2).sum(axis=2))
+        out[where] = np.maximum((wa * cost.min(axis=2)).sum(axis=1), (wb * cost.min(axis=1)).sum(axis=1))
+    return out
 
 
 @F.pandas_udf(T.DoubleType())
 def _relaxed(wa: pd.Series, va: pd.Series, wb: pd.Series, vb: pd.Series) -> pd.Series:
-    return pd.Series([relaxed_distance(*row) for row in zip(wa, va, wb, vb)], dtype="float64")
+    return pd.Series(relaxed_distances(wa.array, va.array, wb.array, vb.array))
 
 
 # marked so that the filter on the distance does not compute it a second time
 _relaxed = _relaxed.asNondeterministic()
 
 
-def _pivots(vectors, count=2):
-    """A few vectors to measure all others against; any choice is exact."""
-    return [row["vec"] for row in vectors.orderBy(F.xxhash64("word"), "word").limit(count).collect()]
-
+def _reach(within, widest):
+    """How far to look for near words: up to four radii, but no further than half of the space."""
+    return max(within, min(4 * within, widest / 2))
 
-def _located(vectors, pivots):
-    """Vectors with their distance to each pivot."""
-    distances = [euclidean("vec", F.lit(p).cast("array<double>")) for p in pivots]
-    return vectors.withColumn("at", F.array(*distances))
 
-
-def _relaxed_join(left, right, within, cell):
+def _relaxed_join(left, right, lexicon, within, widest, cell, members=None):
     """Bag pairs with a relaxed distance of at most ``within``.
 
-    The distance is an average of nearest-word distances, so some word of one bag is within the radius
-    of some word of the other. Two such words differ by no more than the radius in their distance to any
-    pivot, hence they lie in the same or in neighbouring cells of a grid of that width.
+    Words of the left bag that are not within ``reach`` of the right bag travel further than that, so
+    their share is at most ``within / reach``. A bag is therefore sent only to its first words whose
+    share exceeds that bound, rare words first, and pairs that break the bound are never scored.
     """
-    width = F.lit(max(float(within), SMALL) * (1 + SMALL))
-
-    def cells(steps):
-        def of_word(at):
-            first = F.floor(at[0] / width)
-            second = F.floor(at[1] / width)
-            return F.flatten(F.transform(steps, lambda i: F.transform(
-                steps, lambda j: F.concat_ws(":", first + i, second + j))))
-
-        return F.array_sort(F.array_distinct(F.flatten(F.transform("places", of_word))))
-
-    here = F.array(F.lit(0))
-    around = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    a = left.withColumn("keys", cells(here)).withColumn("probe", F.col("keys"))
-    b = right.withColumn("keys", cells(around)).withColumn("probe", F.col("keys"))
-    pairs = _join_on_keys(a, b, F.lit(True), cell)
+    reach = _reach(within, widest)
+    allowed = within / reach + SMALL
+
+    running = F.transform(F.sequence(F.lit(1), F.size("words")), lambda i: F.aggregate(
+        F.slice("weights", F.lit(1), i), F.lit(0.0), lambda total, w: total + w))
+    enough = F.size(F.filter(running, lambda share: share <= allowed)) + 1
+    a = left.select("name", "weights", "vectors", F.col("words").alias("keys"),
+                    F.slice("words", F.lit(1), enough).alias("probe"))
+    b = _near_bags(right, cut(near_words(lexicon, reach, cell)), members).select(
+        "name", "weights", "vectors", F.col("near").alias("keys"), F.col("near").alias("probe"))
+    far = F.zip_with("keys_l", "weights_l", lambda word, w: F.when(F.array_contains("keys_r", word), 0.0).otherwise(w))
+    far_share = F.aggregate(far, F.lit(0.0), lambda total, w: total + w)
+    pairs = _join_on_keys(a, b, far_share <= allowed, cell)
     scored = pairs.select(
         "name_l", "name_r", _relaxed("weights_l", "vectors_l", "weights_r", "vectors_r").alias("score")
     )
     return scored.where(F.col("score") <= within)
 
 
-def _vector_bags(left, right, vectors, left_column, right_column, stop_words, members):
-    a = _bags(left, left_column, stop_words, False, members)
-    b = _bags(right, right_column, stop_words, False, members)
-    words = a.select(F.explode("bag").alias("word")).unionByName(b.select(F.explode("bag").alias("word")))
-    known = cut(word_vectors(words, vectors.select("word", F.col("vec").cast("array<double>").alias("vec"))))
-    pivots = _pivots(known)
-    if not pivots:
-        return None
-    placed = _located(known, (pivots * 2)[:2])
-    return _weighted(a, placed), _weighted(b, placed), known
+def _widest(lexicon):
+    """A bound of all distances between the words."""
+    length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda total, x: total + x * x))
+    return 2 * lexicon.agg(F.max(length)).first()[0] + SMALL
+
+
+def _nothing(spark):
+    return spark.createDataFrame([], "left string, right string, distance double")
 
 
 def relaxed_pairs(left, right, vectors, within, left_column="BusinessType", right_column="BusinessType",
                   stop_words=STOP_WORDS, cell=CELL):
-    """All pairs of types with a relaxed word-mover distance of at most ``within``."""
-    sides = _vector_bags(left, right, vectors, left_column, right_column, stop_words, None)
-    if sides is None:
-        return left.sparkSession.createDataFrame([], "left string, right string, distance double")
-    pairs = _relaxed_join(*sides[:2], within, cell)
+    """All pairs of types with a relaxed word-mover distance of at most ``within``.
+
+    Types without any known word have no distance and are left out.
+    """
+    a, b = _bags(left, left_column, stop_words, False), _bags(right, right_column, stop_words, False)
+    lexicon = _lexicon(a, b, vectors)
+    if lexicon is None:
+        return _nothing(left.sparkSession)
+    pairs = _relaxed_join(_weighted(a, lexicon), _weighted(b, lexicon), lexicon, within, _widest(lexicon), cell)
     return pairs.select(F.col("name_l").alias("left"), F.col("name_r").alias("right"), F.col("score").alias("distance"))
 
 
+def _first_radius(best, a, b, widest):
+    """The largest distance among pairs already known to be alike."""
+    def named(df, column):
+        return df.select(F.explode("name").alias(column), F.col("weights").alias(f"w_{column}"),
+                         F.col("vectors").alias(f"v_{column}"))
+
+    pairs = best.join(named(a, "left"), "left").join(named(b, "right"), "right")
+    distance = _relaxed("w_left", "v_left", "w_right", "v_right")
+    found = pairs.select(distance.alias("d")).agg(F.count("d").alias("n"), F.max("d").alias("d")).first()
+    return (found["d"], found["n"]) if found["n"] else (widest / 32, 0)
+
+
 def relaxed_top(left, right, vectors, n=1000, left_column="BusinessType", right_column="BusinessType",
-                stop_words=STOP_WORDS, steps=5, digits=9, cell=CELL):
+                stop_words=STOP_WORDS, digits=9, cell=CELL):
     """The ``n`` closest pairs of types by relaxed word-mover distance, ties by name.
 
-    The radius doubles until enough pairs lie within it; the last radius spans all vectors. Distances
-    are rounded to ``digits`` so that ties do not hang on the last bits. Types without any known word
-    have no distance and are left out.
+    The ``n`` pairs most alike by their words give a radius that surely holds ``n`` pairs; where there
+    are fewer, the radius doubles until it does or spans all vectors. Distances are rounded to ``digits``
+    so that ties do not hang on the last bits. Types without any known word are left out.
     """
-    sides = _vector_bags(left, right, vectors, left_column, right_column, stop_words, n)
-    if sides is None:
-        return left.sparkSession.createDataFrame([], "left string, right string, distance double")
-    a, b, known = cut(sides[0]), cut(sides[1]), sides[2]
-    length = known.agg(F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)))).first()[0]
-    widest = 2 * length + SMALL
-    for step in range(steps, -1, -1):
-        pairs = _relaxed_join(a, b, widest / 2**step, cell)
-        # pairs on the rounding border of a radius may tie with pairs beyond it
-        inner = pairs.where(F.col("score") < widest / 2**step - 10.0**-digits)
-        if step == 0 or _enough(inner, n):
-            break
-    rounded = pairs.withColumn("score", F.round("score", digits))
-    best = _best_names(rounded, n, ascending=True)
-    return best.select("left", "right", F.col("score").alias("distance"))
+    bags = [_bags(df, c, stop_words, False, n) for df, c in ((left, left_column), (right, right_column))]
+    lexicon = _lexicon(*bags, vectors)
+    if lexicon is None:
+        return _nothing(left.sparkSession)
+    a, b = (_weighted(bag, lexicon, n) for bag in bags)
+    widest = _widest(lexicon)
+    alike = jaccard_top(*[df.select(F.explode("name").alias("BusinessType")) for df in (a, b)], n, stop_words=stop_words, cell=cell)
+    radius, sure = _first_radius(alike, a, b, widest)
+    # room for pairs that round to the same distance as the last one
+    radius += 10.0**-digits
+    while True:
+        pairs = _relaxed_join(a, b, lexicon, min(radius, widest), widest, cell, n)
+        best = cut(_best_names(pairs.withColumn("score", F.round("score", digits)), n, ascending=True))
+        inside = F.col("score") < radius - 10.0**-digits
+        if sure >= n or radius >= widest or best.where(inside).count() == n:
+            return best.select("left", "right", F.col("score").alias("distance"))
+        radius *= 2

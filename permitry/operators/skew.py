@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 MAX_HEAVY = 1000
 TRACKED = 10_000
 HEAVY_ROWS = 2_000_000
-CELL = 20_000
+CELL = 2_000
 
 _HASH = "__key_hash"
 

@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from permitry.functions.text import tokens
+from permitry.functions.text import is_token, tokens, words
 from permitry.operators.skew import HEAVY_ROWS, lookup_join
 from permitry.schemas import STOP_WORDS
 
@@ -31,8 +31,8 @@ def token_table(df, column="BusinessType", stop_words=STOP_WORDS):
 
 def word_counts(df, column="BusinessType", stop_words=STOP_WORDS):
     """How often each word occurs; repeats inside one text count. Sort at the sink."""
-    words = df.select(F.explode(tokens(column, stop_words)).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    found = df.select(F.explode(words(column)).alias("word")).where(is_token(F.col("word"), stop_words))
+    return found.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def by_count(counts):
