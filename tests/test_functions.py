@@ -1,0 +1,144 @@
+"""Scalar functions."""
+
+import datetime as dt
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from permitry.functions import bands, dates, geo, text, vectors
+
+
+def values(spark, expression, inputs, kind="string"):
+    data = spark.createDataFrame([(i, v) for i, v in enumerate(inputs)], f"i int, v {kind}")
+    return [r[0] for r in data.orderBy("i").select(expression).collect()]
+
+
+def test_glue_keeps_separator_for_null(spark):
+    data = spark.createDataFrame([("12", "Main"), (None, "Main"), ("12", None), (None, None)], "a string, b string")
+    assert [r[0] for r in data.select(text.glue("a", "b")).collect()] == ["12 Main", " Main", "12 ", " "]
+    assert data.select(text.glue("a", "b", ",")).first()[0] == "12,Main"
+
+
+def test_type_key(spark):
+    data = spark.createDataFrame([("Office", "Law"), ("Office", None), (None, "Law")], "t string, s string")
+    assert [r[0] for r in data.select(text.type_key("t", "s")).collect()] == ["Office Law", "Office ", None]
+
+
+def test_quote_rules(spark):
+    assert values(spark, text.quotes_to_space("v"), ['a"b', 'a,b']) == ["a b", "a,b"]
+    assert values(spark, text.separators_to_space("v"), ['a"b,c']) == ["a b c"]
+    assert values(spark, text.drop_quotes("v"), ['a"b,c']) == ["ab,c"]
+    assert values(spark, text.drop_quotes("v", comma_to_space=True), ['a"b,c']) == ["ab c"]
+
+
+def test_is_number(spark):
+    good = ["1", " 1.5 ", "-2", "+.5", "3.", "1e5", "1E-5", "nan", "Infinity", "-inf", "2010"]
+    bad = ["", "1d", "1f", "abc", "1 2", "0x10", "1_000", ".", "e5", None, "½"]
+    assert values(spark, text.is_number("v"), good) == [True] * len(good)
+    assert values(spark, text.is_number("v"), bad) == [False] * len(bad)
+
+
+def test_address_text(spark):
+    data = spark.createDataFrame([("1 Main", "X,Y", None)], "a string, b string, c string")
+    assert data.select(text.address_text("a", "b", "c")).first()[0] == "1 Main X,Y"
+
+
+def test_tokens(spark):
+    found = values(spark, text.tokens("v", ["the", "office"]),
+                   ["The Law-Office, law_firm", "OFFICE", "", None, "Café 24/7", "King İx"])
+    assert found == [["law", "law", "firm"], [], [], [], ["caf", "24", "7"], ["ing", "x"]]
+
+
+def test_tokens_without_stop_words(spark):
+    assert values(spark, text.tokens("v", []), ["the end."]) == [["the", "end"]]
+
+
+def test_stop_words_drop_domain_words(spark):
+    assert values(spark, text.tokens("v"), ["Contractor Services and Temporary Dealer of Paint"]) == [["paint"]]
+
+
+@pytest.mark.parametrize("a,b,expected", [
+    (["x", "y"], ["y", "z"], 1 / 3), (["x", "x"], ["x"], 1.0), ([], ["x"], 0.0), (["x"], [], 0.0), (["x"], ["y"], 0.0),
+])
+def test_jaccard(spark, a, b, expected):
+    data = spark.createDataFrame([(a, b)], "a array<string>, b array<string>")
+    assert data.select(text.jaccard("a", "b")).first()[0] == expected
+
+
+def test_same_type(spark):
+    data = spark.createDataFrame([("Spa", "SPA"), ("Spa", "Bar")], "a string, b string")
+    assert [r[0] for r in data.select(text.same_type("a", "b")).collect()] == [True, False]
+
+
+def test_parse_date(spark):
+    found = values(spark, dates.parse_date("v"), [
+        "2012-10-01", "2012-10-01 08:30:00", "2012-1-5", "31-DEC-2017", "1-dec-2017", "31-Feb-2017", "2012/10/01",
+        "12-10-01", "junk text", "", None, "31-DEC-2017 later"])
+    day = dt.date
+    assert found == [day(2012, 10, 1), day(2012, 10, 1), day(2012, 1, 5), day(2017, 12, 31), day(2017, 12, 1),
+                     None, None, None, None, None, None, None]
+
+
+def test_year_of(spark):
+    assert values(spark, dates.year_of(dates.parse_date("v")), ["2012-10-01", None]) == [2012, None]
+
+
+def test_year_from_file_name(spark):
+    found = values(spark, dates.year_from_file_name("v", 1999), ["2010business.csv", "business.csv", "20a0x.csv", None])
+    assert found == [2010, 1999, 1999, 1999]
+
+
+# issue, expiry, days as of the end of 2014
+LONGEVITY = [
+    ("2012-10-01", None, 821), ("2012-10-01", "2015-10-01", 821), ("2012-10-01", "2014-05-01", 577),
+    ("2012-10-01", "2013-03-01", 151), ("2012-10-01", "2012-10-01", 0), ("2012-10-01", "2011-01-01", -639),
+    ("2015-01-01", None, -1), (None, "2014-01-01", 0),
+]
+
+
+def test_longevity_days(spark):
+    data = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(LONGEVITY)], "i int, a string, b string")
+    found = data.orderBy("i").select(dates.longevity_days(F.lit(2014), F.to_date("a"), F.to_date("b"))).collect()
+    assert [r[0] for r in found] == [days for *_, days in LONGEVITY]
+
+
+def test_days_to_years(spark):
+    assert values(spark, dates.days_to_years("v"), [730], "int") == [2.0]
+
+
+def test_reply_coordinates(spark):
+    place = '{"centroid":{"latitude":"49.2","longitude":"-123.1"}}'
+    other = '{"centroid":{"latitude":"1","longitude":"2"}}'
+    replies = [
+        f'{{"query":{{"count":1,"results":{{"place":{place}}}}}}}',
+        f'{{"query":{{"count":2,"results":{{"place":[{place},{other}]}}}}}}',
+        '{"query":{"count":0,"results":null}}', "not json", None,
+    ]
+    found = [tuple(r) for r in values(spark, geo.reply_coordinates("v"), replies)]
+    assert found == [(49.2, -123.1), (49.2, -123.1), (0.0, 0.0), (0.0, 0.0), (0.0, 0.0)]
+    blank = [tuple(r) for r in values(spark, geo.reply_coordinates("v", True), replies[2:3])]
+    assert blank == [(None, None)]
+
+
+def test_filled(spark):
+    data = spark.createDataFrame(
+        [(1.0, 2.0, 9.0, 9.0), (None, 2.0, 9.0, 8.0), (None, None, 0.0, 0.0), (None, None, None, None),
+         (None, None, 0.0, 5.0), (1.0, None, None, 5.0)],
+        "a double, b double, x double, y double")
+    found = [tuple(r) for r in data.select(*geo.filled("a", "b", "x", "y")).collect()]
+    assert found == [(1.0, 2.0), (9.0, 8.0), (None, None), (None, None), (0.0, 5.0), (1.0, None)]
+
+
+def test_vectors(spark):
+    data = spark.createDataFrame([([3.0, 4.0], [4.0, 3.0]), ([0.0, 0.0], [1.0, 0.0])], "a array<float>, b array<float>")
+    found = data.select(vectors.cosine("a", "b"), vectors.euclidean("a", "b"), vectors.norm("a")).collect()
+    assert tuple(found[0]) == (24 / 25, math.sqrt(2), 5.0)
+    assert found[1][0] is None
+
+
+def test_bands(spark):
+    years = [0.0, 4.49, 4.5, 9.49, 9.5, 14.0, 40.0, -3.0, None]
+    assert values(spark, bands.gauge_value("v"), years, "double") == [0, 4, 5, 9, 10, 14, 15, 0, None]
+    assert values(spark, bands.stability_band("v"), years, "double") == [
+        "red", "red", "yellow", "yellow", "green", "green", "green", "red", None]

@@ -1,0 +1,195 @@
+"""Squeezing, projections and the address cache."""
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from permitry.operators import address, project
+from permitry.operators.squeeze import squeeze
+from permitry.plans.clean_registers import clean_register, clean_snapshots
+from permitry.schemas import ADDRESS_KEYS_SPLIT, LICENCE_COLUMNS, REGISTER, SNAPSHOT, address_cache
+
+BASE = dict(BusinessName="Ann", BusinessType="Spa", BusinessSubType=None, Status="Issued", IssuedDate="2010-01-05",
+            ExpiredDate="2010-12-31", House="1", Street="Main", City="V", Province="BC", Country="CA",
+            PostalCode="V1", Latitude=49.0, Longitude=-123.0, LocalArea="West", YearRecorded=2010)
+
+
+def snapshots(spark, *changes):
+    return spark.createDataFrame([tuple({**BASE, **c}[f.name] for f in SNAPSHOT) for c in changes], SNAPSHOT)
+
+
+def test_squeeze(spark, rows):
+    data = snapshots(
+        spark, dict(YearRecorded=2011, Status="Closed", ExpiredDate="2011-06-30", House="2"),
+        dict(Latitude=None, Longitude=None), dict(YearRecorded=2012, Status="Gone Out of Business", ExpiredDate=None, House="3"),
+        dict(BusinessSubType="Day"), dict(BusinessType=None), dict(BusinessName="Bob", YearRecorded=None, House="9"))
+    found = squeeze(data)
+    assert rows(found, "BusinessName", "IssueDate", "ExpiryDate", "Year", "LastStatus", "BusinessType", "House", "Latitude") == [
+        ("Ann", "2010-01-05", "2010-12-31", 2010, "Issued", None, "1", 49.0),
+        ("Ann", "2010-01-05", "2010-12-31", 2010, "Issued", "Spa Day", "1", 49.0),
+        ("Ann", "2010-01-05", "2011-06-30", 2012, "Gone Out of Business", "Spa ", "1", None),
+        ("Bob", "2010-01-05", "2010-12-31", None, "Issued", "Spa ", "9", 49.0),
+    ]
+    plain = squeeze(data, with_sub_type=False)
+    assert rows(plain, "BusinessName", "BusinessType", "Year") == [("Ann", None, 2010), ("Ann", "Spa", 2012), ("Bob", "Spa", None)]
+
+
+def test_squeeze_ties_do_not_depend_on_partitions(spark, rows):
+    data = snapshots(spark, *[dict(House=str(i % 7), Status=f"S{i % 5}", YearRecorded=2010 + i % 2) for i in range(60)])
+    first = rows(squeeze(data.repartition(1)))
+    assert first == rows(squeeze(data.repartition(6))) == rows(squeeze(data.orderBy(F.desc("House")).coalesce(2)))
+
+
+def test_licences_from_squeezed(spark, rows):
+    found = project.licences_from_squeezed(squeeze(snapshots(spark, dict(House=None, Province=None, PostalCode=None))))
+    assert found.columns == LICENCE_COLUMNS
+    assert rows(found) == [("Van", "Ann", "Issued", "2010-01-05", "2010-12-31", "Spa ", " Main", "V,", "", 49.0, -123.0)]
+
+
+def register(spark, *changes):
+    base = {0: "Spa", 1: 'Op"A"', 3: "05-JAN-2010", 4: "Ann", 7: "1 Main", 8: "T,ON", 9: "M1"}
+    return spark.createDataFrame([tuple({**base, **c}.get(i) for i in range(16)) for c in changes], REGISTER)
+
+
+def test_licences_from_register(spark, rows):
+    data = register(spark, {}, {15: "31-DEC-2012"}, {15: "", 4: None})
+    found = project.licences_from_register(data)
+    assert found.columns == LICENCE_COLUMNS
+    assert rows(found, "DataSetOrigin", "BusinessName", "Status", "ExpiryDate", "Latitude") == [
+        ("Tor", " Op A ", "Open", "31-DEC-2017", None), ("Tor", "Ann Op A ", "Closed", "31-DEC-2012", None),
+        ("Tor", "Ann Op A ", "Open", "31-DEC-2017", None)]
+    assert [r.ExpiryDate for r in project.licences_from_register(data, cutoff=None).collect()] == [None, "31-DEC-2012", None]
+    drafted = project.licences_from_register(data, draft_cleaning=True)
+    assert {r.CityProvince for r in drafted.collect()} == {"T ON"}
+
+
+def test_unknown_addresses(spark):
+    nowhere = {c: None for c in ADDRESS_KEYS_SPLIT}
+    data = snapshots(spark, dict(Latitude=None), dict(Latitude=None, **nowhere), dict(Longitude=None),
+                     dict(Latitude=None, **{**nowhere, "Country": "CA"}))
+    found = project.unknown_addresses(data)
+    assert found.columns == [*ADDRESS_KEYS_SPLIT, "LocalArea"] and found.count() == 2
+    assert project.with_any_address(project.without_latitude(data)).count() == 2
+
+
+def test_merge_and_tag(spark):
+    one = project.licences_from_register(register(spark, {}))
+    both = project.merge_licences(one, project.tag_origin(one.select(*reversed(one.columns)), "Van"))
+    assert both.columns == LICENCE_COLUMNS
+    assert sorted(r.DataSetOrigin for r in both.collect()) == ["Tor", "Van"]
+
+
+CACHE = [
+    (True, "1 Main", "V,BC", "V1", 49.0, -123.0), (False, "2 Main", "V,BC", "V1", None, None),
+    (True, "3 Main", "V,BC", "V1", 0.0, 0.0), (True, "", "", "", 1.0, 2.0),
+]
+
+
+def cache(spark):
+    return spark.createDataFrame(CACHE, address_cache())
+
+
+def asked(spark, *entries):
+    return spark.createDataFrame(
+        list(entries), "id int, HouseStreet string, CityProvince string, PostalCode string, Latitude double, Longitude double")
+
+
+FILL = [
+    (1, "1 Main", "V,BC", "V1", None, None), (2, "1 Main", "V,BC", "V1", 5.0, 6.0), (3, "1 Main", "V,BC", "V1", None, 6.0),
+    (4, "2 Main", "V,BC", "V1", None, None), (5, "3 Main", "V,BC", "V1", 7.0, None), (6, "9 Main", "V,BC", "V1", None, None),
+    (7, None, None, None, None, None), (8, "", None, "", None, None),
+]
+
+
+@pytest.mark.parametrize("heavy_rows", [None, 1, 2, 2_000_000])
+def test_fill_coordinates(spark, rows, heavy_rows):
+    found = address.fill_coordinates(asked(spark, *FILL), cache(spark), heavy_rows=heavy_rows)
+    assert rows(found, "id", "Latitude", "Longitude") == [
+        (1, 49.0, -123.0), (2, 5.0, 6.0), (3, 49.0, -123.0), (4, None, None), (5, 7.0, None), (6, None, None),
+        (7, 1.0, 2.0), (8, 1.0, 2.0)]
+    assert rows(found, "id", "HouseStreet")[6] == (7, None)
+
+
+def test_fill_with_six_keys_and_duplicates(spark, rows):
+    keys = ADDRESS_KEYS_SPLIT
+    entries = [(False, "1", "Main", "V", "BC", "CA", "V1", None, None), (True, "1", "Main", "V", "BC", "CA", "V1", 3.0, 4.0),
+               (True, "1", "Main", "V", "BC", "CA", "V1", 0.0, 0.0)]
+    table = spark.createDataFrame(entries, address_cache(keys))
+    data = snapshots(spark, dict(Latitude=None, Longitude=None), dict(Latitude=None, Longitude=None, House="2"))
+    found = address.fill_coordinates(data, table, keys)
+    assert rows(found, "House", "Latitude", "Longitude") == [("1", 3.0, 4.0), ("2", None, None)]
+
+
+def test_insert_modes(spark, rows):
+    new = asked(spark, (1, "1 Main", "V,BC", "V1", None, None), (2, "7 Main", None, "V1", None, None),
+                (3, "7 Main", "", "V1", 1.0, 1.0))
+    kept = rows(address.insert_addresses(cache(spark), new))
+    assert len(kept) == 5 and (True, "1 Main", "V,BC", "V1", 49.0, -123.0) in kept
+    assert (False, "7 Main", "", "V1", None, None) in kept
+    again = rows(address.insert_addresses(address.insert_addresses(cache(spark), new), new))
+    assert again == kept
+    replaced = rows(address.insert_addresses(cache(spark), new, "replace"))
+    assert len(replaced) == 5 and (False, "1 Main", "V,BC", "V1", None, None) in replaced
+    assert len(rows(address.insert_addresses(cache(spark), new, "append"))) == 7
+    with pytest.raises(ValueError):
+        address.insert_addresses(cache(spark), new, "other")
+
+
+def test_pending(spark):
+    found = address.pending_addresses(address.insert_addresses(cache(spark), asked(
+        spark, (1, "0 Main", "V", "V1", None, None)), "append"), 10).collect()
+    assert [tuple(r) for r in found] == [("0 Main", "V", "V1", "0 Main V V1"), ("2 Main", "V,BC", "V1", "2 Main V,BC V1")]
+    assert address.pending_addresses(cache(spark), 0).count() == 0
+
+
+def test_apply_geocodes(spark, rows):
+    results = spark.createDataFrame([("2 Main", "V,BC", "V1", 8.0, 9.0), ("1 Main", "V,BC", "V1", 0.0, 0.0)],
+                                    "HouseStreet string, CityProvince string, PostalCode string, Latitude double, Longitude double")
+    found = rows(address.apply_geocodes(cache(spark), results))
+    assert (True, "2 Main", "V,BC", "V1", 8.0, 9.0) in found and (True, "1 Main", "V,BC", "V1", 0.0, 0.0) in found
+    assert len(found) == 4
+
+
+def test_resolvers(spark, rows):
+    places = spark.createDataFrame([("2 Main", "V,BC", "V1", 8.0, 9.0)],
+                                   "HouseStreet string, CityProvince string, PostalCode string, Latitude double, Longitude double")
+    waiting = address.insert_addresses(cache(spark), asked(spark, (1, "5 Main", "V", "V1", None, None)))
+    done = rows(address.geocode_pending(waiting, address.gazetteer_resolver(places), 10))
+    assert (True, "2 Main", "V,BC", "V1", 8.0, 9.0) in done and (True, "5 Main", "V", "V1", 0.0, 0.0) in done
+    one = rows(address.geocode_pending(waiting, address.gazetteer_resolver(places), 1))
+    assert (False, "5 Main", "V", "V1", None, None) in one
+
+    replies = spark.createDataFrame(
+        [("2 Main", "V,BC", "V1", '{"query":{"count":1,"results":{"place":{"centroid":{"latitude":"3","longitude":"4"}}}}}')],
+        "HouseStreet string, CityProvince string, PostalCode string, reply string")
+    assert (True, "2 Main", "V,BC", "V1", 3.0, 4.0) in rows(
+        address.geocode_pending(waiting, address.reply_resolver(replies), 10))
+
+    def by_length(frame: pd.DataFrame):
+        out = frame[["HouseStreet", "CityProvince", "PostalCode"]].copy()
+        out["Latitude"] = frame["Address"].str.len().astype(float)
+        out["Longitude"] = 1.0
+        return out
+
+    assert (True, "2 Main", "V,BC", "V1", 14.0, 1.0) in rows(
+        address.geocode_pending(waiting, address.function_resolver(by_length), 10))
+
+
+def test_clean_snapshots_job(spark, rows):
+    data = snapshots(spark, dict(Latitude=None, Longitude=None), dict(BusinessName="Bob", House="2", Latitude=None, Longitude=None))
+    table = spark.createDataFrame([(True, "1 Main", "V,BC", "V1", 49.5, -123.5)], address_cache())
+    found, after = clean_snapshots(data, table)
+    assert found.columns == LICENCE_COLUMNS
+    assert rows(found, "BusinessName", "Latitude") == [("Ann", 49.5), ("Bob", None)]
+    assert rows(after, "HouseStreet", "IsUpdated") == [("1 Main", True), ("2 Main", False)]
+    places = spark.createDataFrame([("2 Main", "V,BC", "V1", 8.0, 9.0)],
+                                   "HouseStreet string, CityProvince string, PostalCode string, Latitude double, Longitude double")
+    found, after = clean_snapshots(data, table, address.gazetteer_resolver(places), 10)
+    assert rows(found, "BusinessName", "Latitude") == [("Ann", 49.5), ("Bob", 8.0)]
+
+
+def test_clean_register_job(spark, rows):
+    table = spark.createDataFrame([(True, "1 Main", "T,ON", "M1", 43.5, -79.5)], address_cache())
+    found, after = clean_register(register(spark, {}, {7: "2 Main"}), table)
+    assert rows(found, "HouseStreet", "Latitude", "DataSetOrigin") == [("1 Main", 43.5, "Tor"), ("2 Main", None, "Tor")]
+    assert after.count() == 2
