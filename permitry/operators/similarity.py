@@ -108,8 +108,7 @@ def _jaccard_join(left, right, at_least, cell):
     if at_least > 0:
         sizes_fit = (size_l >= size_r * at_least - SMALL) & (size_r >= size_l * at_least - SMALL)
         reaches = sizes_fit & (score >= at_least - SMALL)
-    pairs = _join_on_keys(probing(left), probing(right), reaches, cell)
-    return pairs.select("name_l", "name_r", score.alias("score"))
+    return _join_on_keys(probing(left), probing(right), reaches, cell).withColumn("score", score)
 
 
 def jaccard_pairs(left, right, at_least=0.0, left_column="BusinessType", right_column="BusinessType",
@@ -142,7 +141,7 @@ def _best_names(bag_pairs, n, ascending):
 
 
 def jaccard_top(left, right, n=1000, left_column="BusinessType", right_column="BusinessType",
-                stop_words=STOP_WORDS, thresholds=(0.8, 0.5, 0.3, 0.15, 0.0), cell=CELL):
+                stop_words=STOP_WORDS, thresholds=(0.5, 0.2, 0.0), cell=CELL):
     """The ``n`` most similar pairs of types, ties by name.
 
     The threshold falls step by step until enough pairs reach it. Only the last step, needed when there
@@ -254,7 +253,7 @@ _relaxed = _relaxed.asNondeterministic()
 
 def _reach(within, widest):
     """How far to look for near words: up to four radii, but no further than half of the space."""
-    return max(within, min(4 * within, widest / 2))
+    return max(within, SMALL, min(4 * within, widest / 2))
 
 
 def _relaxed_join(left, right, lexicon, within, widest, cell, members=None):
@@ -307,24 +306,30 @@ def relaxed_pairs(left, right, vectors, within, left_column="BusinessType", righ
     return pairs.select(F.col("name_l").alias("left"), F.col("name_r").alias("right"), F.col("score").alias("distance"))
 
 
-def _first_radius(best, a, b, widest):
-    """The largest distance among pairs already known to be alike."""
-    def named(df, column):
-        return df.select(F.explode("name").alias(column), F.col("weights").alias(f"w_{column}"),
-                         F.col("vectors").alias(f"v_{column}"))
-
-    pairs = best.join(named(a, "left"), "left").join(named(b, "right"), "right")
-    distance = _relaxed("w_left", "v_left", "w_right", "v_right")
-    found = pairs.select(distance.alias("d")).agg(F.count("d").alias("n"), F.max("d").alias("d")).first()
-    return (found["d"], found["n"]) if found["n"] else (widest / 32, 0)
+def _first_radius(left, right, n, widest, cell):
+    """The largest distance among the pairs most alike by their words, and how many pairs that are."""
+    a, b = (df.withColumnRenamed("words", "keys") for df in (left, right))
+    radius, held = widest / 32, 0
+    for at_least in (0.5, 0.2):
+        pairs = _jaccard_join(a, b, at_least, cell)
+        alike = pairs.orderBy(F.desc("score"), "name_l", "name_r").limit(n)
+        found = alike.select(
+            _relaxed("weights_l", "vectors_l", "weights_r", "vectors_r").alias("distance"),
+            (F.size("name_l").cast("bigint") * F.size("name_r")).alias("pairs"),
+        ).agg(F.max("distance"), F.sum("pairs")).first()
+        if found[1]:
+            radius, held = found
+        if held >= n:
+            break
+    return radius, held
 
 
 def relaxed_top(left, right, vectors, n=1000, left_column="BusinessType", right_column="BusinessType",
                 stop_words=STOP_WORDS, digits=9, cell=CELL):
     """The ``n`` closest pairs of types by relaxed word-mover distance, ties by name.
 
-    The ``n`` pairs most alike by their words give a radius that surely holds ``n`` pairs; where there
-    are fewer, the radius doubles until it does or spans all vectors. Distances are rounded to ``digits``
+    Up to ``n`` pairs alike by their words give a radius that surely holds as many pairs; where that is
+    not enough, the radius doubles until it is or spans all vectors. Distances are rounded to ``digits``
     so that ties do not hang on the last bits. Types without any known word are left out.
     """
     bags = [_bags(df, c, stop_words, False, n) for df, c in ((left, left_column), (right, right_column))]
@@ -333,8 +338,7 @@ def relaxed_top(left, right, vectors, n=1000, left_column="BusinessType", right_
         return _nothing(left.sparkSession)
     a, b = (_weighted(bag, lexicon, n) for bag in bags)
     widest = _widest(lexicon)
-    alike = jaccard_top(*[df.select(F.explode("name").alias("BusinessType")) for df in (a, b)], n, stop_words=stop_words, cell=cell)
-    radius, sure = _first_radius(alike, a, b, widest)
+    radius, sure = _first_radius(a, b, n, widest, cell)
     # room for pairs that round to the same distance as the last one
     radius += 10.0**-digits
     while True:

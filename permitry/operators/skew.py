@@ -19,11 +19,18 @@ def _key_hash(keys):
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def _heavy(hashes, min_rows):
+    """Side -> hash -> estimated rows of the hashes that hold at least ``min_rows`` rows of their side."""
+    sketch = F.expr(f"approx_top_k({_HASH}, {MAX_HEAVY}, {TRACKED})").alias("top")
+    return {
+        found["side"]: {item["item"]: item["count"] for item in found["top"] if item["count"] >= min_rows}
+        for found in hashes.groupBy("side").agg(sketch).collect()
+    }
+
+
 def heavy_keys(df, keys, min_rows=HEAVY_ROWS):
     """Hash -> estimated rows of the keys (NULL ones too) that hold at least ``min_rows`` rows of ``df``."""
-    sketch = F.expr(f"approx_top_k({_HASH}, {MAX_HEAVY}, {TRACKED})")
-    found = df.select(_key_hash(keys).alias(_HASH)).agg(sketch.alias("top")).first()
-    return {item["item"]: item["count"] for item in found["top"] if item["count"] >= min_rows}
+    return _heavy(df.select(_key_hash(keys).alias(_HASH), F.lit(0).alias("side")), min_rows).get(0, {})
 
 
 def lookup_join(facts, table, keys, how="left", heavy_rows=HEAVY_ROWS):
@@ -55,8 +62,10 @@ def grid_join(left, right, left_key, right_key, condition, cell=CELL):
     side: each left row goes to one grid row, each right row to one grid column, so every pair meets in
     exactly one cell. ``condition`` is checked inside the join.
     """
-    heavy_left = heavy_keys(left, [left_key], cell)
-    heavy_right = heavy_keys(right, [right_key], cell)
+    sides = [df.select(_key_hash([key]).alias(_HASH), F.lit(side).alias("side"))
+             for side, (df, key) in enumerate(((left, left_key), (right, right_key)))]
+    heavy = _heavy(sides[0].unionByName(sides[1]), cell)
+    heavy_left, heavy_right = heavy.get(0, {}), heavy.get(1, {})
     same_key = F.col(left_key) == F.col(right_key)
     if not heavy_left and not heavy_right:
         return left.join(right, same_key & condition)
