@@ -1,0 +1,102 @@
+"""Clustering, regression, forecast and the stability report."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from permitry.operators import cluster, forecast, report
+from permitry.plans import trends
+from permitry.schemas import ISSUED_STATUSES, LICENCE
+
+
+@pytest.fixture(scope="module")
+def history(spark):
+    rows = [(c, y, t, 10 + 3 * i + y - 2000, 100.0 * (i + 1) + 30 * (y - 2000), 0.0)
+            for c in ("Van", "Tor") for i, t in enumerate(("Spa", "Bar", "Law")) for y in range(2000, 2011)
+            if not (c == "Tor" and t == "Law")]
+    return spark.createDataFrame(
+        rows, "DataSetOrigin string, year int, BusinessType string, NumBusiness bigint, AvgLongevity double, AvgLongevityYears double")
+
+
+def test_cluster_types(spark):
+    types = spark.createDataFrame([("Car Wash",), ("Car Repair",), ("Law Firm",), ("of the",), (None,)], "BusinessType string")
+    found = cluster.cluster_types(types, k=2, vector_size=5)
+    assert found.columns == ["business", "cluster"] and found.count() == 4
+    assert {r.cluster for r in found.collect()} <= {0, 1}
+
+
+def test_word_vector_table(spark):
+    rows = spark.createDataFrame([(["car", "wash"],), (["car"],)], "text array<string>")
+    found = cluster.vector_table(cluster.fit_word_vectors(rows, 4, partitions=1))
+    assert {r.word: len(r.vec) for r in found.collect()} == {"car": 4, "wash": 4}
+
+
+def test_fit(history):
+    model = forecast.fit_stability(history)
+    assert set(model.metrics) == {"rmse", "mae"} and all(math.isfinite(v) for v in model.metrics.values())
+    scored = model.transform(history)
+    assert scored.count() == history.count()
+    width = scored.select("VectorFeatures").first()[0].size
+    assert width == 1 + 2 + 1 + 1
+    assert scored.select("norm_features").first()[0].norm(2) == pytest.approx(1.0)
+    assert model.summary.totalIterations >= 0
+    table = forecast.error_table(scored).first()
+    assert table.rmse == pytest.approx(model.metrics["rmse"]) and table.mae == pytest.approx(model.metrics["mae"])
+
+
+def test_fit_options(history):
+    wide = forecast.fit_stability(history, one_hot_city=True, degree=2, max_iter=5)
+    scored = wide.transform(history)
+    assert scored.select("features").first()[0].size > scored.select("norm_features").first()[0].size
+    assert math.isfinite(wide.metrics["rmse"])
+
+
+def test_future_grid(history):
+    grid = forecast.future_grid(history, (2011, 2013))
+    assert grid.count() == 3 * 2 * 3 and grid.distinct().count() == 18
+    assert "CartesianProduct" not in grid._jdf.queryExecution().executedPlan().toString()
+    assert forecast.future_grid(history).agg(F.min("year"), F.max("year")).first() == (2017, 2026)
+
+
+def test_last_count(history):
+    found = forecast.with_last_count(forecast.future_grid(history, (2011, 2011)), history)
+    counts = {(r.DataSetOrigin, r.BusinessType): r.NumBusiness for r in found.collect()}
+    assert counts[("Van", "Spa")] == 20.0 and counts[("Van", "Law")] == 26.0
+    mean = history.where("DataSetOrigin = 'Tor'").agg(F.avg("NumBusiness")).first()[0]
+    assert counts[("Tor", "Law")] == pytest.approx(mean)
+
+
+def test_predict_trends(history):
+    model = forecast.fit_stability(history)
+    found = forecast.predict_trends(history, model, (2011, 2012))
+    assert found.columns == ["year", "BusinessType", "DataSetOrigin", "NumBusiness", "prediction"]
+    assert found.count() == 12 and found.where("prediction IS NULL OR isnan(prediction)").count() == 0
+
+
+def records(spark):
+    data = [("Financial", "Tor", 2017, 3980.0), ("Financial", "Van", 2017, 2530.0), ("Spa", "Van", 2017, 1000.0),
+            ("FINANCIAL", "Tor", 2017, 365.0), ("Spa", "Paris", 2017, 1.0)]
+    layout = "BusinessType string, City string, Year int, Stability double, ordinal int"
+    return spark.createDataFrame([(*r, i) for i, r in enumerate(data)], layout)
+
+
+def test_pivot_last_wins(spark, rows):
+    found = report.with_bands(report.pivot_cities(records(spark)))
+    assert rows(found) == [("financial", 6.93, 1.0, "yellow", "red"), ("spa", 2.74, None, "red", None)]
+
+
+def test_stability_of(spark, rows):
+    assert rows(report.stability_of(records(spark), "financial")) == [("Tor", 1.0), ("Van", 6.93)]
+
+
+def test_forecast_job(spark):
+    rows = [(o, f"N{i}", ISSUED_STATUSES[i % 2], f"{2000 + i % 9}-03-01", None, k, "", "", "", None, None)
+            for i in range(60) for o in ("Van", "Tor") for k in ("Spa", "Bar")]
+    from permitry.operators.clean import clean_licences
+
+    licences = clean_licences(spark.createDataFrame(rows, LICENCE))
+    history, model, published = trends.forecast(licences, (2000, 2010), (2011, 2012))
+    assert published.columns == ["BusinessType", "City", "Year", "Stability"] and published.count() == 8
+    assert math.isfinite(model.metrics["mae"])
+    history.unpersist()
