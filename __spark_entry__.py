@@ -178,40 +178,51 @@ def _addresses(spark, sf):
 
 
 def _cache(spark, sf):
-    """Customers of two segments as the address cache, one segment still pending."""
+    """Every customer's address as the cache; those of one segment are pending, overdrawn ones gave no result."""
     done = F.col("c_mktsegment") != "MACHINERY"
-    return _addresses(spark, sf).where(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE", "MACHINERY")).select(
+    return _addresses(spark, sf).select(
         done.alias("IsUpdated"), "HouseStreet", "CityProvince", "PostalCode",
         F.when(done, F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).otherwise(0.0)).alias("Latitude"),
         F.when(done, F.when(F.col("c_acctbal") > 0, -F.col("c_acctbal")).otherwise(0.0)).alias("Longitude"),
     )
 
 
-def _addressed_orders(spark, sf):
-    """Orders with their customer's address; the coordinates of pending orders are unknown."""
+def _addressed_rows(spark, sf):
+    """Orders with their customer's address, suppliers with one the cache does not know.
+
+    Pending orders and suppliers have no coordinates, finished orders only one of them.
+    """
     orders = star.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderstatus",
                                                     "o_totalprice")
     rows = lookup_join(orders, _addresses(spark, sf), "c_custkey", "inner")
     known = F.col("o_orderstatus") != "P"
-    return rows.select(
-        "o_orderkey", "HouseStreet", "CityProvince", "PostalCode",
+    ordered = rows.select(
+        F.col("o_orderkey").alias("id"), "HouseStreet", "CityProvince", "PostalCode",
         F.when(known, F.col("o_totalprice")).alias("Latitude"),
         F.when(F.col("o_orderstatus") == "O", -F.col("o_totalprice")).alias("Longitude"),
     )
+    unknown = F.lit(None).cast("double")
+    supplied = star.table(spark, sf, "supplier").select(
+        (-F.col("s_suppkey") - 1).alias("id"), F.col("s_name").alias("HouseStreet"),
+        F.lit("").alias("CityProvince"), F.col("s_nationkey").cast("string").alias("PostalCode"),
+        unknown.alias("Latitude"), unknown.alias("Longitude"),
+    )
+    return ordered.unionByName(supplied)
 
 
 def cache_fill(spark, sf):
-    return address.fill_coordinates(_addressed_orders(spark, sf), _cache(spark, sf))
+    return address.fill_coordinates(_addressed_rows(spark, sf), _cache(spark, sf))
 
 
 def _insert(mode):
     def run(spark, sf):
-        return address.insert_addresses(_cache(spark, sf), _addressed_orders(spark, sf), mode)
+        return address.insert_addresses(_cache(spark, sf), _addressed_rows(spark, sf), mode)
     return run
 
 
 def cache_apply(spark, sf):
-    found = _addresses(spark, sf).where(F.col("c_acctbal") > 5000).select(
+    """Geocodes of the pending addresses: the segment's balances and their halves."""
+    found = _addresses(spark, sf).where(F.col("c_mktsegment") == "MACHINERY").select(
         "HouseStreet", "CityProvince", "PostalCode", F.col("c_acctbal").alias("Latitude"),
         (F.col("c_acctbal") / 2).alias("Longitude"))
     return address.apply_geocodes(_cache(spark, sf), found)
@@ -516,12 +527,13 @@ cache AS (
   SELECT c_mktsegment <> 'MACHINERY' AS IsUpdated, HouseStreet, CityProvince, PostalCode,
          CASE WHEN c_mktsegment <> 'MACHINERY' THEN greatest(c_acctbal, 0.0) END AS Latitude,
          CASE WHEN c_mktsegment <> 'MACHINERY' THEN CASE WHEN c_acctbal > 0 THEN -c_acctbal ELSE 0.0 END END AS Longitude
-  FROM addr WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE', 'MACHINERY')),
+  FROM addr),
 ord AS (
-  SELECT o_orderkey, HouseStreet, CityProvince, PostalCode,
+  SELECT o_orderkey AS id, HouseStreet, CityProvince, PostalCode,
          CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS Latitude,
          CASE WHEN o_orderstatus = 'O' THEN -o_totalprice END AS Longitude
-  FROM orders JOIN addr ON o_custkey = c_custkey)"""
+  FROM orders JOIN addr ON o_custkey = c_custkey
+  UNION ALL SELECT -s_suppkey - 1, s_name, '', CAST(s_nationkey AS VARCHAR), NULL, NULL FROM supplier)"""
 
 _PENDING = "FALSE AS IsUpdated, HouseStreet, CityProvince, PostalCode, CAST(NULL AS DOUBLE) AS Latitude, CAST(NULL AS DOUBLE) AS Longitude"
 _SAME = "c.HouseStreet = a.HouseStreet AND c.CityProvince = a.CityProvince AND c.PostalCode = a.PostalCode"
@@ -639,7 +651,7 @@ def oracle_sql() -> dict[str, str]:
         "number_check": """SELECT event_id, try_cast(json_extract_string(props, '$.k') AS DOUBLE) IS NOT NULL AS KIsNumber,
             try_cast(event_type AS DOUBLE) IS NOT NULL AS TypeIsNumber, value IS NOT NULL AS ExponentIsNumber,
             FALSE AS TailIsNumber FROM events""",
-        "cache_fill": f"""WITH {_ADDRESS} SELECT o_orderkey, a.HouseStreet, a.CityProvince, a.PostalCode,
+        "cache_fill": f"""WITH {_ADDRESS} SELECT id, a.HouseStreet, a.CityProvince, a.PostalCode,
               CASE WHEN (a.Latitude IS NULL OR a.Longitude IS NULL) AND (c.Latitude <> 0 OR c.Longitude <> 0) THEN c.Latitude ELSE a.Latitude END AS Latitude,
               CASE WHEN (a.Latitude IS NULL OR a.Longitude IS NULL) AND (c.Latitude <> 0 OR c.Longitude <> 0) THEN c.Longitude ELSE a.Longitude END AS Longitude
             FROM ord a LEFT JOIN cache c ON {_SAME}""",
@@ -651,7 +663,7 @@ def oracle_sql() -> dict[str, str]:
         "cache_apply": f"""WITH {_ADDRESS} SELECT c.IsUpdated OR a.c_custkey IS NOT NULL AS IsUpdated, c.HouseStreet, c.CityProvince, c.PostalCode,
               CASE WHEN a.c_custkey IS NOT NULL THEN a.c_acctbal ELSE c.Latitude END AS Latitude,
               CASE WHEN a.c_custkey IS NOT NULL THEN a.c_acctbal / 2 ELSE c.Longitude END AS Longitude
-            FROM cache c LEFT JOIN (SELECT * FROM addr WHERE c_acctbal > 5000) a ON {_SAME}""",
+            FROM cache c LEFT JOIN (SELECT * FROM addr WHERE c_mktsegment = 'MACHINERY') a ON {_SAME}""",
         "pending_top_n": f"""WITH {_ADDRESS} SELECT HouseStreet, CityProvince, PostalCode,
               HouseStreet || ' ' || CityProvince || ' ' || PostalCode AS Address FROM cache WHERE NOT IsUpdated
             ORDER BY HouseStreet, CityProvince, PostalCode LIMIT 100""",

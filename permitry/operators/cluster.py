@@ -2,9 +2,11 @@
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Word2Vec
+from pyspark.ml.functions import vector_to_array
 
 from permitry.operators.vocabulary import token_table
 from permitry.schemas import STOP_WORDS
+from permitry.session import cut
 
 # Number of clusters and length of the word vectors.
 CLUSTERS = 30
@@ -21,16 +23,17 @@ def fit_word_vectors(token_rows, vector_size=VECTOR_SIZE, seed=42, partitions=8)
 
 def vector_table(model):
     """The learnt vectors as a ``(word, vec)`` table."""
-    from pyspark.ml.functions import vector_to_array
-
     found = model.getVectors()
     return found.select("word", vector_to_array("vector").alias("vec"))
 
 
 def cluster_types(types, k=CLUSTERS, column="BusinessType", vector_size=VECTOR_SIZE, stop_words=STOP_WORDS,
                   seed=42, partitions=8):
-    """Cluster number of each type: mean word vector, then k-means. Sort by cluster at the sink."""
-    rows = token_table(types, column, stop_words).where("business IS NOT NULL")
+    """Cluster number of each type: mean word vector, then k-means. Sort by cluster at the sink.
+
+    The tokens are written out once, training passes over them several times.
+    """
+    rows = cut(token_table(types, column, stop_words).where("business IS NOT NULL"))
     embedded = fit_word_vectors(rows, vector_size, seed, partitions).transform(rows)
     model = KMeans(featuresCol="result", k=k, predictionCol="cluster", seed=seed).fit(embedded)
     return model.transform(embedded).select("business", "cluster")

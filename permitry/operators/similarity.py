@@ -168,7 +168,7 @@ def _lexicon(left, right, vectors):
     seen = words(left, 0).unionByName(words(right, 1)).groupBy("word").agg(
         F.sum(1 - F.col("side")).alias("in_left"), F.sum("side").alias("in_right")
     )
-    known = cut(vectors.select("word", F.col("vec").cast("array<double>").alias("vec")).join(seen, "word"))
+    known = cut(vectors.select("word", F.col("vec").cast("array<float>").alias("vec")).join(seen, "word"))
     pivots = [row["vec"] for row in known.orderBy(F.xxhash64("word"), "word").limit(2).collect()]
     places = [euclidean("vec", F.lit(p).cast("array<double>")) for p in pivots]
     return known.withColumn("at", F.array(*places)) if places else None
@@ -233,7 +233,7 @@ def relaxed_distances(weights_a, vectors_a, weights_b, vectors_b):
     shapes = pd.Series([(len(a), len(b)) for a, b in zip(weights_a, weights_b)])
     out = np.empty(len(shapes))
     for where in shapes.groupby(shapes).indices.values():
-        a, b = (np.array([np.stack(v[i]) for i in where]) for v in (vectors_a, vectors_b))
+        a, b = (np.array([np.stack(v[i]) for i in where], dtype=float) for v in (vectors_a, vectors_b))
         wa, wb = (np.array([w[i] for i in where]) for w in (weights_a, weights_b))
         cost = np.empty((len(where), a.shape[1], b.shape[1]))
         for j in range(b.shape[1]):
@@ -251,19 +251,19 @@ def _relaxed(wa: pd.Series, va: pd.Series, wb: pd.Series, vb: pd.Series) -> pd.S
 _relaxed = _relaxed.asNondeterministic()
 
 
-def _reach(within, widest):
-    """How far to look for near words: up to four radii, but no further than half of the space."""
-    return max(within, SMALL, min(4 * within, widest / 2))
+def _reach(within, typical):
+    """How far to look for near words: up to four radii, but no further than half of a typical distance."""
+    return max(within, SMALL, min(4 * within, typical / 2))
 
 
-def _relaxed_join(left, right, lexicon, within, widest, cell, members=None):
+def _relaxed_join(left, right, lexicon, within, typical, cell, members=None):
     """Bag pairs with a relaxed distance of at most ``within``.
 
     Words of the left bag that are not within ``reach`` of the right bag travel further than that, so
     their share is at most ``within / reach``. A bag is therefore sent only to its first words whose
     share exceeds that bound, rare words first, and pairs that break the bound are never scored.
     """
-    reach = _reach(within, widest)
+    reach = _reach(within, typical)
     allowed = within / reach + SMALL
 
     running = F.transform(F.sequence(F.lit(1), F.size("words")), lambda i: F.aggregate(
@@ -282,10 +282,11 @@ def _relaxed_join(left, right, lexicon, within, widest, cell, members=None):
     return scored.where(F.col("score") <= within)
 
 
-def _widest(lexicon):
-    """A bound of all distances between the words."""
+def _distances(lexicon):
+    """A bound of all distances between the words, and a typical one."""
     length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda total, x: total + x * x))
-    return 2 * lexicon.agg(F.max(length)).first()[0] + SMALL
+    found = lexicon.agg(F.max(length), F.percentile_approx(F.element_at("at", 1), 0.5)).first()
+    return 2 * found[0] + SMALL, found[1]
 
 
 def _nothing(spark):
@@ -302,7 +303,8 @@ def relaxed_pairs(left, right, vectors, within, left_column="BusinessType", righ
     lexicon = _lexicon(a, b, vectors)
     if lexicon is None:
         return _nothing(left.sparkSession)
-    pairs = _relaxed_join(_weighted(a, lexicon), _weighted(b, lexicon), lexicon, within, _widest(lexicon), cell)
+    _, typical = _distances(lexicon)
+    pairs = _relaxed_join(_weighted(a, lexicon), _weighted(b, lexicon), lexicon, within, typical, cell)
     return pairs.select(F.col("name_l").alias("left"), F.col("name_r").alias("right"), F.col("score").alias("distance"))
 
 
@@ -337,12 +339,12 @@ def relaxed_top(left, right, vectors, n=1000, left_column="BusinessType", right_
     if lexicon is None:
         return _nothing(left.sparkSession)
     a, b = (_weighted(bag, lexicon, n) for bag in bags)
-    widest = _widest(lexicon)
+    widest, typical = _distances(lexicon)
     radius, sure = _first_radius(a, b, n, widest, cell)
     # room for pairs that round to the same distance as the last one
     radius += 10.0**-digits
     while True:
-        pairs = _relaxed_join(a, b, lexicon, min(radius, widest), widest, cell, n)
+        pairs = _relaxed_join(a, b, lexicon, min(radius, widest), typical, cell, n)
         best = cut(_best_names(pairs.withColumn("score", F.round("score", digits)), n, ascending=True))
         inside = F.col("score") < radius - 10.0**-digits
         if sure >= n or radius >= widest or best.where(inside).count() == n:

@@ -94,13 +94,13 @@ def merged_vocabulary(vocabulary_a, vocabulary_b, entities):
     return union_types(replace_types(vocabulary_a, entities), replace_types(vocabulary_b, entities))
 
 
-def type_to_cluster(types, entities, clusters, column="BusinessType"):
+def type_to_cluster(types, entities, clusters, column="BusinessType", heavy_rows=HEAVY_ROWS):
     """Each type with the cluster of its entity; types without a cluster get the empty text."""
-    entity = _mapped(types, column, entities, "__entity", None)
+    entity = _mapped(types, column, entities, "__entity", heavy_rows)
     with_entity = entity.withColumn("__type", _keep_or(entity, column, "__entity", F.col(column))).select(
         F.col(column).alias("__original"), F.col("__type").alias(column)
     )
-    joined = _mapped(with_entity, column, clusters, "__cluster", None)
+    joined = _mapped(with_entity, column, clusters, "__cluster", heavy_rows)
     return joined.select(
         F.col("__original").alias(column), _keep_or(joined, column, "__cluster", F.lit("")).alias("Cluster"),
     )

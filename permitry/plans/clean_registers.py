@@ -5,19 +5,21 @@ from permitry.operators.address import (
 )
 from permitry.operators.project import licences_from_register, licences_from_squeezed, unknown_addresses
 from permitry.operators.squeeze import squeeze
+from permitry.session import cut
 
 
 def _refreshed(cache, addresses, resolver, n):
     cache = insert_addresses(cache, addresses)
-    return geocode_pending(cache, resolver, n) if resolver is not None else cache
+    return cut(geocode_pending(cache, resolver, n) if resolver is not None else cache)
 
 
 def clean_snapshots(snapshots, cache, resolver=None, n=1000):
     """Squeezed licences of the snapshot register and the cache after this run.
 
-    With a ``resolver``, up to ``n`` pending addresses are geocoded first.
+    With a ``resolver``, up to ``n`` pending addresses are geocoded first. The squeezed table and the new
+    cache are written out once, the steps after them read both several times.
     """
-    squeezed = squeeze(snapshots)
+    squeezed = cut(squeeze(snapshots))
     cache = _refreshed(cache, split_to_merged_address(unknown_addresses(squeezed)), resolver, n)
     return fill_coordinates(licences_from_squeezed(squeezed), cache), cache
 

@@ -24,15 +24,15 @@ def statistics(licences, years=STATISTICS_YEARS):
 
 
 def write_statistics(licences, out, scopes=("all", "van", "tor"), years=STATISTICS_YEARS):
-    """Write every statistic of every scope under ``out``; the cleaned table is kept for all of them."""
-    kept = licences.persist()
+    """Write every statistic of every scope under ``out``, from one pass over the licences."""
+    kept = metrics.compact(licences).persist()
     try:
         for scope in scopes:
             origin = SCOPES[scope]
             rows = kept if origin is None else with_origin(kept, origin)
             for name, table in statistics(rows, years).items():
-                order = "year" if "year" in table.columns else table.columns[1]
-                write_metric(table.orderBy(order), out, scope, name)
+                in_order = metrics.by_year(table) if "year" in table.columns else table.orderBy(table.columns[1])
+                write_metric(in_order, out, scope, name)
     finally:
         kept.unpersist()
 

@@ -1,6 +1,5 @@
 """Session settings the operators are written for."""
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,12 +38,14 @@ def local_session(cores="*", partitions=8, memory="8g", app="permitry", **extra)
 def cut(df):
     """Write ``df`` to the shared checkpoint folder and continue from the written copy.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session
-    that names none gets a temporary one.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session that names
+    none gets a temporary one.
     """
-    context = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="permitry-", dir=os.environ.get("TMPDIR")))
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="permitry-"))
     return df.checkpoint()

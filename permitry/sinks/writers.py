@@ -21,7 +21,7 @@ def write_metric(df, out, scope, metric, single_file=False):
 
 def write_clusters(clusters, path, single_file=False):
     """Type and cluster number without header; types may hold commas, so cells are quoted as needed."""
-    write_csv(clusters.select("business", "cluster"), path, single_file, header=False)
+    write_csv(clusters.select("business", "cluster").orderBy("cluster"), path, single_file, header=False)
 
 
 def write_cluster_lines(clusters, path):

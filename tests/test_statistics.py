@@ -95,6 +95,15 @@ def test_one_scan_for_all_years(many):
     assert "PythonEval" not in plan and "ArrowEval" not in plan
 
 
+def test_compact_gives_the_same_statistics(many, rows):
+    small = metrics.compact(many)
+    assert small.count() < many.count()
+    for name, table in trends.statistics(small, (2000, 2012)).items():
+        assert rows(table) == rows(trends.statistics(many, (2000, 2012))[name]), name
+    assert rows(metrics.longevity_of_issued_per_city(small)) == rows(metrics.longevity_of_issued_per_city(many))
+    assert rows(metrics.top_types(small, ["Open"], 2)) == rows(metrics.top_types(many, ["Open"], 2))
+
+
 def test_row_longevity(many):
     aged = with_longevity(many, 2005).where("Longevity > 0 AND IssuedYear <= 2005")
     total = metrics.longevity(many, years=(2005, 2005)).agg(F.sum("NumBusiness")).first()[0]

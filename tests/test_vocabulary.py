@@ -105,8 +105,7 @@ def jaccard_by_hand(left, right, at_least):
     return sorted(out)
 
 
-@pytest.mark.parametrize("at_least", [0.0, 0.25, 0.5, 1.0])
-@pytest.mark.parametrize("cell", [4, 2000])
+@pytest.mark.parametrize("at_least,cell", [(0.0, 4), (0.0, 2000), (0.25, 4), (0.5, 2000), (1.0, 4)])
 def test_jaccard_pairs_equal_brute_force(spark, rows, at_least, cell):
     left, right = made_up(1, 60, "hot"), made_up(2, 50, "hot")
     found = similarity.jaccard_pairs(types(spark, *left, None, ""), types(spark, *right, left[0], left[0]),
@@ -159,8 +158,7 @@ def relaxed_by_hand(left, right):
     return out
 
 
-@pytest.mark.parametrize("within", [0.0, 0.8, 1.6, 50.0])
-@pytest.mark.parametrize("cell", [6, 2000])
+@pytest.mark.parametrize("within,cell", [(0.0, 2000), (0.8, 6), (1.6, 2000), (50.0, 6)])
 def test_relaxed_pairs_equal_brute_force(spark, rows, within, cell):
     left, right = made_up(5, 30, "hot"), made_up(6, 25, "hot")
     found = rows(similarity.relaxed_pairs(
@@ -170,7 +168,7 @@ def test_relaxed_pairs_equal_brute_force(spark, rows, within, cell):
     assert [t[2] for t in found] == pytest.approx([t[2] for t in expected])
 
 
-@pytest.mark.parametrize("n", [1, 40, 400, 100_000])
+@pytest.mark.parametrize("n", [1, 40, 100_000])
 def test_relaxed_top_equals_brute_force(spark, n):
     left, right = made_up(7, 30, "hot"), made_up(8, 25, "hot")
     left += [f"Hot{'-' * i}Spa" for i in range(1, 12)]
