@@ -15,6 +15,7 @@ from permitry.operators.cluster import cluster_types
 from permitry.operators.skew import lookup_join
 from permitry.operators.squeeze import squeeze
 from permitry.plans import starview as star
+from permitry.session import cut
 
 YEARS = (1995, 2001)
 FUTURE = (2002, 2011)
@@ -30,34 +31,37 @@ def _day(name):
 # ---- yearly statistics
 
 
+ISSUED, CLOSED = metrics.ISSUED_STATUSES, metrics.CLOSED_STATUSES
+
+
 def opens_per_year(spark, sf):
-    return metrics.opens_per_year(star.licences(spark, sf, expiry=False))
+    return metrics.opens_per_year(star.licences(spark, sf, expiry=False, statuses=ISSUED))
 
 
 def closes_per_year(spark, sf):
-    return metrics.closes_per_year(star.licences(spark, sf))
+    return metrics.closes_per_year(star.licences(spark, sf, statuses=CLOSED))
 
 
 def top_types_opens(spark, sf):
-    return metrics.top_types(star.licences(spark, sf, expiry=False), metrics.ISSUED_STATUSES)
+    return metrics.top_types(star.licences(spark, sf, expiry=False, statuses=ISSUED), ISSUED)
 
 
 def top_types_closes(spark, sf):
-    return metrics.top_types(star.licences(spark, sf, expiry=False), metrics.CLOSED_STATUSES)
+    return metrics.top_types(star.licences(spark, sf, expiry=False, statuses=CLOSED), CLOSED)
 
 
-def _by_priority(spark, sf):
+def _by_priority(spark, sf, statuses, expiry):
     """Licences typed by segment and priority: 25 types, so that a top five leaves some out."""
-    rows = star.licences(spark, sf)
+    rows = star.licences(spark, sf, expiry, statuses=statuses)
     return rows.withColumn("BusinessType", text.type_key("BusinessType", "BusinessSubType"))
 
 
 def top5_opens_per_year(spark, sf):
-    return metrics.top_opens_per_year(_by_priority(spark, sf))
+    return metrics.top_opens_per_year(_by_priority(spark, sf, ISSUED, False))
 
 
 def top5_closes_per_year(spark, sf):
-    return metrics.top_closes_per_year(_by_priority(spark, sf))
+    return metrics.top_closes_per_year(_by_priority(spark, sf, CLOSED, True))
 
 
 def longevity_all(spark, sf):
@@ -65,20 +69,20 @@ def longevity_all(spark, sf):
 
 
 def longevity_issued(spark, sf):
-    return metrics.longevity_of_issued_per_year(star.licences(spark, sf), YEARS)
+    return metrics.longevity_of_issued_per_year(star.licences(spark, sf, statuses=ISSUED), YEARS)
 
 
 def longevity_closed(spark, sf):
-    return metrics.longevity_of_closed_per_year(star.licences(spark, sf), YEARS)
+    return metrics.longevity_of_closed_per_year(star.licences(spark, sf, statuses=CLOSED), YEARS)
 
 
 def longevity_issued_by_city(spark, sf):
-    return metrics.longevity_of_issued_per_city(star.licences(spark, sf, region=True), YEARS)
+    return metrics.longevity_of_issued_per_city(star.licences(spark, sf, region=True, statuses=ISSUED), YEARS)
 
 
 def longevity_closed_by_city(spark, sf):
-    rows = star.licences(spark, sf, region=True)
-    return metrics.longevity(rows, metrics.CLOSED_STATUSES, ("DataSetOrigin",), YEARS)
+    rows = star.licences(spark, sf, region=True, statuses=CLOSED)
+    return metrics.longevity(rows, CLOSED, ("DataSetOrigin",), YEARS)
 
 
 def licence_longevity(spark, sf):
@@ -211,7 +215,8 @@ def _addressed_rows(spark, sf):
 
 
 def cache_fill(spark, sf):
-    return address.fill_coordinates(_addressed_rows(spark, sf), _cache(spark, sf))
+    # filling reads its rows in two branches, so the joined rows are written once
+    return address.fill_coordinates(cut(_addressed_rows(spark, sf)), _cache(spark, sf))
 
 
 def _insert(mode):

@@ -1,7 +1,7 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-Heavy keys are found with one ``approx_top_k`` aggregate over the key hash: a single pass, partial
-sketches per task, one row out. The list it returns has at most ``MAX_HEAVY`` entries, so everything
+Heavy keys are found with an ``approx_top_k`` aggregate over the key hash: a single pass over the key
+columns, one small sketch per task. The list it returns has at most ``MAX_HEAVY`` entries, so everything
 derived from it has a proven bound. Which keys are found affects only the plan, never the result.
 """
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 MAX_HEAVY = 1000
 TRACKED = 10_000
+MERGERS = 512
 HEAVY_ROWS = 2_000_000
 CELL = 2_000
 
@@ -20,12 +21,19 @@ def _key_hash(keys):
 
 
 def _heavy(hashes, min_rows):
-    """Side -> hash -> estimated rows of the hashes that hold at least ``min_rows`` rows of their side."""
-    sketch = F.expr(f"approx_top_k({_HASH}, {MAX_HEAVY}, {TRACKED})").alias("top")
-    return {
-        found["side"]: {item["item"]: item["count"] for item in found["top"] if item["count"] >= min_rows}
-        for found in hashes.groupBy("side").agg(sketch).collect()
-    }
+    """Side -> hash -> estimated rows of the hashes that hold at least ``min_rows`` rows of their side.
+
+    The sketches of the tasks are merged in ``MERGERS`` groups first, so no task merges all of them.
+    """
+    sketch = F.expr(f"approx_top_k({_HASH}, {MAX_HEAVY}, {TRACKED})")
+    merger = F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger")
+    parts = hashes.groupBy("side", merger).agg(F.explode(sketch).alias("top"))
+    counted = parts.groupBy("side", "top.item").agg(F.sum("top.count").alias("rows"))
+    heavy = counted.where(F.col("rows") >= min_rows).orderBy(F.desc("rows")).limit(MAX_HEAVY)
+    found = {}
+    for row in heavy.collect():
+        found.setdefault(row["side"], {})[row["item"]] = row["rows"]
+    return found
 
 
 def heavy_keys(df, keys, min_rows=HEAVY_ROWS):

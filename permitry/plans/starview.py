@@ -20,6 +20,9 @@ def places(spark, folder):
     return joined.select("n_nationkey", "n_name", "r_name")
 
 
+STATUS_OF = {"O": "Issued", "F": "Cancelled", "P": "Pending"}
+
+
 def licence_status(column):
     return F.when(column == "O", "Issued").when(column == "F", "Cancelled").otherwise("Pending")
 
@@ -42,17 +45,28 @@ def businesses(spark, folder, region=False, nation=False):
     return customer.join(place, "n_nationkey").withColumnRenamed("r_name", "DataSetOrigin")
 
 
-def licences(spark, folder, expiry=True, region=False):
-    """The licence table with parsed dates and years; ask only for the columns a query needs."""
-    orders = table(spark, folder, "orders").select(
+def licences(spark, folder, expiry=True, region=False, statuses=None):
+    """The licence table with parsed dates and years; ask only for the columns and statuses a query needs.
+
+    Statuses are asked for by their codes, which the scan can check. Open orders have no end, so the
+    shipments are not read for them alone.
+    """
+    orders = table(spark, folder, "orders")
+    codes = [code for code, status in STATUS_OF.items() if statuses is None or status in statuses]
+    if statuses is not None:
+        orders = orders.where(F.col("o_orderstatus").isin(codes))
+    orders = orders.select(
         "o_orderkey", "o_custkey", licence_status(F.col("o_orderstatus")).alias("Status"),
         F.to_date("o_orderdate").alias("IssuedDate"), F.col("o_orderpriority").alias("BusinessSubType"),
     )
     rows = lookup_join(orders, businesses(spark, folder, region), "o_custkey", "inner")
-    if expiry:
+    if expiry and codes == ["O"]:
+        rows = rows.withColumn("ExpiryDate", F.lit(None).cast("date"))
+    elif expiry:
         rows = rows.join(last_shipments(spark, folder), "o_orderkey", "left")
-        ended = F.when(F.col("Status") != "Issued", F.col("__shipped"))
-        rows = rows.withColumn("ExpiryDate", ended).withColumn("ExpiryYear", F.year("ExpiryDate")).drop("__shipped")
+        rows = rows.withColumn("ExpiryDate", F.when(F.col("Status") != "Issued", F.col("__shipped"))).drop("__shipped")
+    if expiry:
+        rows = rows.withColumn("ExpiryYear", F.year("ExpiryDate"))
     return rows.withColumns({"IssuedYear": F.year("IssuedDate"), "YearRecorded": F.year("IssuedDate")})
 
 
