@@ -326,18 +326,43 @@ def _first_radius(left, right, n, widest, cell):
     return radius, held
 
 
+def _unscored(left, right, known_left, known_right, n):
+    """The first ``n`` pairs, by name, in which a side has no known word.
+
+    Such a pair is a left name without known words next to any right name, or any left name next to a
+    right one without. The first ``n`` pairs hold no more than the first ``n`` names of either side.
+    """
+    def names(df, known, column):
+        return df.select(F.col(column).alias("name")).where(F.col(column).isNotNull()).distinct().join(
+            known.select(F.explode("name").alias("name"), F.lit(True).alias("known")), "name", "left")
+
+    (left, left_column), (right, right_column) = left, right
+    lefts, rights = names(left, known_left, left_column), names(right, known_right, right_column)
+
+    def first(df):
+        kept = df.orderBy("name").limit(n).agg(F.array_sort(F.collect_list("name")))
+        return kept.scalar()
+
+    partners = F.when(F.col("known").isNull(), first(rights)).otherwise(first(rights.where("known IS NULL")))
+    spread = lefts.select("name", partners.alias("partners")).where(F.size("partners") > 0).orderBy("name").limit(n)
+    pairs = spread.select(F.col("name").alias("left"), F.explode("partners").alias("right"))
+    return pairs.select("left", "right", F.lit(None).cast("double").alias("distance")).orderBy("left", "right").limit(n)
+
+
 def relaxed_top(left, right, vectors, n=1000, left_column="BusinessType", right_column="BusinessType",
                 stop_words=STOP_WORDS, digits=9, cell=CELL):
     """The ``n`` closest pairs of types by relaxed word-mover distance, ties by name.
 
     Up to ``n`` pairs alike by their words give a radius that surely holds as many pairs; where that is
     not enough, the radius doubles until it is or spans all vectors. Distances are rounded to ``digits``
-    so that ties do not hang on the last bits. Types without any known word are left out.
+    so that ties do not hang on the last bits. Types without any known word have no distance: their
+    pairs come last, with NULL, when there are fewer than ``n`` others.
     """
     bags = [_bags(df, c, stop_words, False, n) for df, c in ((left, left_column), (right, right_column))]
+    sides = (left, left_column), (right, right_column)
     lexicon = _lexicon(*bags, vectors)
     if lexicon is None:
-        return _nothing(left.sparkSession)
+        return _unscored(*sides, *(bag.limit(0) for bag in bags), n)
     a, b = (_weighted(bag, lexicon, n) for bag in bags)
     widest, typical = _distances(lexicon)
     radius, sure = _first_radius(a, b, n, widest, cell)
@@ -346,7 +371,11 @@ def relaxed_top(left, right, vectors, n=1000, left_column="BusinessType", right_
     while True:
         pairs = _relaxed_join(a, b, lexicon, min(radius, widest), typical, cell, n)
         best = cut(_best_names(pairs.withColumn("score", F.round("score", digits)), n, ascending=True))
-        inside = F.col("score") < radius - 10.0**-digits
-        if sure >= n or radius >= widest or best.where(inside).count() == n:
-            return best.select("left", "right", F.col("score").alias("distance"))
+        best = best.select("left", "right", F.col("score").alias("distance"))
+        inside = F.col("distance") < radius - 10.0**-digits
+        if sure >= n or best.where(inside).count() == n:
+            return best
+        if radius >= widest:
+            rest = _unscored(*sides, a, b, n - best.count()) if best.count() < n else None
+            return best if rest is None else best.unionByName(rest).orderBy(F.asc_nulls_last("distance"), "left", "right")
         radius *= 2

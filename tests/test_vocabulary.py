@@ -168,13 +168,16 @@ def test_relaxed_pairs_equal_brute_force(spark, rows, within, cell):
     assert [t[2] for t in found] == pytest.approx([t[2] for t in expected])
 
 
-@pytest.mark.parametrize("n", [1, 40, 100_000])
+@pytest.mark.parametrize("n", [1, 40, 1460, 100_000])
 def test_relaxed_top_equals_brute_force(spark, n):
     left, right = made_up(7, 30, "hot"), made_up(8, 25, "hot")
-    left += [f"Hot{'-' * i}Spa" for i in range(1, 12)]
-    right += [f"Spa{'.' * i}Hot" for i in range(1, 9)]
+    left += [f"Hot{'-' * i}Spa" for i in range(1, 12)] + ["Gym", ""]
+    right += [f"Spa{'.' * i}Hot" for i in range(1, 9)] + ["Unheard"]
+    left, right = sorted(set(left)), sorted(set(right))
     scored = [(a, b, round(d, 9)) for a, b, d in relaxed_by_hand(left, right)]
-    expected = sorted(scored, key=lambda t: (t[2], t[0], t[1]))[:n]
+    done = {t[:2] for t in scored}
+    unscored = sorted((a, b, None) for a, b in itertools.product(left, right) if (a, b) not in done)
+    expected = (sorted(scored, key=lambda t: (t[2], t[0], t[1])) + unscored)[:n]
     found = similarity.relaxed_top(types(spark, *left), types(spark, *right), vector_table(spark), n, stop_words=[])
     got = [tuple(r) for r in found.collect()]
     assert [t[:2] for t in got] == [t[:2] for t in expected]
@@ -191,7 +194,8 @@ def test_relaxed_without_shared_words(spark):
 def test_relaxed_without_vectors(spark):
     none = vector_table(spark).limit(0)
     assert similarity.relaxed_pairs(types(spark, "Spa"), types(spark, "Spa"), none, 1.0).count() == 0
-    assert similarity.relaxed_top(types(spark, "Spa"), types(spark, "Spa"), none, 5).count() == 0
+    found = similarity.relaxed_top(types(spark, "Spa", "Bar"), types(spark, "Law", "Spa"), none, 3).collect()
+    assert [tuple(r) for r in found] == [("Bar", "Law", None), ("Bar", "Spa", None), ("Spa", "Law", None)]
 
 
 def licences(spark, origin, *kinds):
