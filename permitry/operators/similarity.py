@@ -6,6 +6,8 @@ join on the keys. A pair sharing several keys is kept only at the first shared o
 shuffle is needed to remove repeats.
 """
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Window
@@ -57,14 +59,26 @@ def _side(df, suffix):
 
 
 def _join_on_keys(left, right, condition, cell):
-    """Pairs that share an element of their ordered ``keys``, once each.
+    """Pairs of rows that share an element of their ordered ``keys``, once each.
 
-    ``probe`` holds the keys a row is sent to; the first shared element of ``keys`` must be among them.
+    ``probe`` holds the keys a row is sent to, each followed by the ``kind`` of the left and of the right
+    row it is meant for. The first shared element of two rows must be probed by both.
     """
     a = _side(left, "l").withColumn("key_l", F.explode("probe_l"))
     b = _side(right, "r").withColumn("key_r", F.explode("probe_r"))
-    first_shared = F.element_at(F.array_intersect("keys_l", "keys_r"), 1) == F.col("key_l")
-    return grid_join(_spread(a, "key_l"), _spread(b, "key_r"), "key_l", "key_r", condition & first_shared, cell)
+    first_shared = F.element_at(F.array_intersect("keys_l", "keys_r"), 1)
+    once = F.col("key_l") == _key(first_shared, F.col("kind_l"), F.col("kind_r"))
+    return grid_join(_spread(a, "key_l"), _spread(b, "key_r"), "key_l", "key_r", condition & once, cell)
+
+
+def _key(word, left_kind, right_kind):
+    return F.concat_ws(":", word, left_kind, right_kind)
+
+
+def _probe_all(df, words="keys"):
+    """All rows of one kind, sent to all their words."""
+    anyone = F.lit(0)
+    return df.withColumn("kind", anyone).withColumn("probe", F.transform(words, lambda w: _key(w, anyone, anyone)))
 
 
 def _heavy(members):
@@ -88,27 +102,54 @@ def _by_rarity(left, right, members=None):
     return ordered(left), ordered(right)
 
 
+EXACT_SIZES, STEP = 8, 1.25
+
+
+def _size_class(size):
+    """Class of a bag size: single sizes up to eight, then steps of a quarter."""
+    steps = F.floor(F.log(size / F.lit(float(EXACT_SIZES))) / math.log(STEP))
+    return F.when(size <= EXACT_SIZES, size).otherwise(EXACT_SIZES + steps).cast("int")
+
+
+def _least_size(size_class):
+    """No size of the class is smaller."""
+    least = F.floor(EXACT_SIZES * F.pow(F.lit(STEP), size_class - EXACT_SIZES) * (1 - SMALL))
+    return F.when(size_class <= EXACT_SIZES, size_class).otherwise(least)
+
+
+def _probe_prefixes(df, at_least, is_left):
+    """Rows with their size class, sent to the first words that a partner of some size class must share.
+
+    Bags of sizes ``a`` and ``b`` that reach the threshold ``t`` share at least ``t / (1 + t) * (a + b)``
+    words, so the first shared word lies among the first ``a`` minus that number plus one.
+    """
+    size, own = F.size("keys"), _size_class(F.size("keys"))
+    smallest = F.greatest(F.lit(1), F.ceil(size * at_least - SMALL).cast("int"))
+    partners = F.sequence(_size_class(smallest), _size_class(F.floor(size / F.lit(at_least) + SMALL).cast("int")))
+
+    def prefix(other):
+        shared = F.greatest(size * at_least, (size + _least_size(other)) * (at_least / (1 + at_least)))
+        length = F.greatest(F.lit(0), F.least(size, size + 1 - F.ceil(shared - SMALL).cast("int")))
+        kinds = (own, other) if is_left else (other, own)
+        return F.transform(F.slice("keys", F.lit(1), length), lambda word: _key(word, *kinds))
+
+    return df.withColumn("kind", own).withColumn("probe", F.flatten(F.transform(partners, prefix)))
+
+
 def _jaccard_join(left, right, at_least, cell):
     """Bag pairs with a Jaccard similarity of at least ``at_least`` (above zero when that is 0).
 
-    Prefix filter: bags that reach the threshold share a word among the first
-    ``size - ceil(threshold * size) + 1`` words of both, rare words first, so frequent words are seldom
-    joined on.
+    With a threshold the bags are sent only to their rarest words, so frequent words are seldom joined on.
     """
-    def probing(df):
-        if at_least == 0:
-            return df.withColumn("probe", F.col("keys"))
-        need = F.greatest(F.lit(1), F.ceil(F.size("keys") * F.lit(float(at_least)) - SMALL).cast("int"))
-        return df.withColumn("probe", F.slice("keys", F.lit(1), F.size("keys") - need + 1))
-
     size_l, size_r = F.size("keys_l"), F.size("keys_r")
     shared = F.size(F.array_intersect("keys_l", "keys_r"))
     score = shared / (size_l + size_r - shared)
-    reaches = F.lit(True)
-    if at_least > 0:
-        sizes_fit = (size_l >= size_r * at_least - SMALL) & (size_r >= size_l * at_least - SMALL)
-        reaches = sizes_fit & (score >= at_least - SMALL)
-    return _join_on_keys(probing(left), probing(right), reaches, cell).withColumn("score", score)
+    if at_least == 0:
+        pairs = _join_on_keys(_probe_all(left), _probe_all(right), F.lit(True), cell)
+    else:
+        a, b = _probe_prefixes(left, at_least, True), _probe_prefixes(right, at_least, False)
+        pairs = _join_on_keys(a, b, score >= at_least - SMALL, cell)
+    return pairs.withColumn("score", score)
 
 
 def jaccard_pairs(left, right, at_least=0.0, left_column="BusinessType", right_column="BusinessType",
@@ -141,7 +182,7 @@ def _best_names(bag_pairs, n, ascending):
 
 
 def jaccard_top(left, right, n=1000, left_column="BusinessType", right_column="BusinessType",
-                stop_words=STOP_WORDS, thresholds=(0.5, 0.2, 0.0), cell=CELL):
+                stop_words=STOP_WORDS, thresholds=(0.5, 0.25, 0.1, 0.0), cell=CELL):
     """The ``n`` most similar pairs of types, ties by name.
 
     The threshold falls step by step until enough pairs reach it. Only the last step, needed when there
@@ -269,10 +310,11 @@ def _relaxed_join(left, right, lexicon, within, typical, cell, members=None):
     running = F.transform(F.sequence(F.lit(1), F.size("words")), lambda i: F.aggregate(
         F.slice("weights", F.lit(1), i), F.lit(0.0), lambda total, w: total + w))
     enough = F.size(F.filter(running, lambda share: share <= allowed)) + 1
-    a = left.select("name", "weights", "vectors", F.col("words").alias("keys"),
-                    F.slice("words", F.lit(1), enough).alias("probe"))
-    b = _near_bags(right, cut(near_words(lexicon, reach, cell)), members).select(
-        "name", "weights", "vectors", F.col("near").alias("keys"), F.col("near").alias("probe"))
+    sent = left.select("name", "weights", "vectors", F.col("words").alias("keys"),
+                       F.slice("words", F.lit(1), enough).alias("first"))
+    a = _probe_all(sent, "first").drop("first")
+    near = _near_bags(right, cut(near_words(lexicon, reach, cell)), members)
+    b = _probe_all(near.select("name", "weights", "vectors", F.col("near").alias("keys")))
     far = F.zip_with("keys_l", "weights_l", lambda word, w: F.when(F.array_contains("keys_r", word), 0.0).otherwise(w))
     far_share = F.aggregate(far, F.lit(0.0), lambda total, w: total + w)
     pairs = _join_on_keys(a, b, far_share <= allowed, cell)
@@ -312,7 +354,7 @@ def _first_radius(left, right, n, widest, cell):
     """The largest distance among the pairs most alike by their words, and how many pairs that are."""
     a, b = (df.withColumnRenamed("words", "keys") for df in (left, right))
     radius, held = widest / 32, 0
-    for at_least in (0.5, 0.2):
+    for at_least in (0.5, 0.25):
         pairs = _jaccard_join(a, b, at_least, cell)
         alike = pairs.orderBy(F.desc("score"), "name_l", "name_r").limit(n)
         found = alike.select(

@@ -113,6 +113,19 @@ def test_jaccard_pairs_equal_brute_force(spark, rows, at_least, cell):
     assert rows(found) == jaccard_by_hand(left, sorted({*right, left[0]}), at_least)
 
 
+@pytest.mark.parametrize("at_least", [0.2, 0.45])
+def test_jaccard_pairs_of_long_texts(spark, rows, at_least):
+    chance = random.Random(9)
+    words = [f"w{i}" for i in range(70)]
+
+    def texts(count):
+        return sorted({" ".join(chance.sample(words, chance.randint(1, 60))) for _ in range(count)})
+
+    left, right = texts(60), texts(50)
+    found = similarity.jaccard_pairs(types(spark, *left), types(spark, *right), at_least, stop_words=[])
+    assert rows(found) == jaccard_by_hand(left, right, at_least)
+
+
 @pytest.mark.parametrize("n", [1, 17, 300, 100_000])
 def test_jaccard_top_equals_brute_force(spark, n):
     left, right = made_up(3, 50, "hot"), made_up(4, 40, "hot")
