@@ -174,7 +174,7 @@ def number_check(spark, sf):
 
 def _addresses(spark, sf):
     """An address per customer."""
-    rows = star.table(spark, sf, "customer").join(F.broadcast(star.places(spark, sf)), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = star.table(spark, sf, "customer").join(star.places(spark, sf), F.col("c_nationkey") == F.col("n_nationkey"))
     return rows.select(
         F.col("c_name").alias("HouseStreet"), F.concat_ws(",", "n_name", "r_name").alias("CityProvince"),
         F.col("n_nationkey").cast("string").alias("PostalCode"), "c_acctbal", "c_custkey", "c_mktsegment",

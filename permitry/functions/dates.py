@@ -6,12 +6,13 @@ from permitry.functions.text import _col
 
 
 def parse_date(c):
-    """Date from text: an ISO day in the first ten characters, else ``dd-Mon-yyyy``, else NULL."""
+    """Date from text: an ISO day in the first ten characters, else ``dd-Mon-yyyy``, else NULL.
+
+    Only ISO days have a dash in the fifth place, so each text is parsed with one pattern.
+    """
     text = _col(c)
-    return F.coalesce(
-        F.try_to_date(F.substring(text, 1, 10), "yyyy-M-d"),
-        F.try_to_date(text, "d-MMM-yyyy"),
-    )
+    iso = F.try_to_date(F.substring(text, 1, 10), "yyyy-M-d")
+    return F.when(F.substring(text, 5, 1) == "-", iso).otherwise(F.try_to_date(text, "d-MMM-yyyy"))
 
 
 def year_of(c):

@@ -14,9 +14,9 @@ def table(spark, folder, name):
 
 
 def places(spark, folder):
-    """Nation key, nation and region: 25 and 5 rows whatever the scale."""
+    """Nation key, nation and region."""
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    joined = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    joined = nation.join(region, nation.n_regionkey == region.r_regionkey)
     return joined.select("n_nationkey", "n_name", "r_name")
 
 
@@ -41,8 +41,7 @@ def businesses(spark, folder, region=False, nation=False):
     )
     if not (region or nation):
         return customer.drop("n_nationkey")
-    place = F.broadcast(places(spark, folder))
-    return customer.join(place, "n_nationkey").withColumnRenamed("r_name", "DataSetOrigin")
+    return customer.join(places(spark, folder), "n_nationkey").withColumnRenamed("r_name", "DataSetOrigin")
 
 
 def licences(spark, folder, expiry=True, region=False, statuses=None):
