@@ -1,7 +1,9 @@
-"""Session settings the operators are written for."""
+"""Session settings the operators are written for, and tables kept in the folder that all executors share."""
 
-import tempfile
+import sys
+import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -13,6 +15,11 @@ SETTINGS = {
 }
 
 
+def ship():
+    """Send functions of this package to the workers by value: nothing has to be installed there."""
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
+
 def tune(spark):
     """Apply the runtime SQL settings to a session somebody else built."""
     for key, value in SETTINGS.items():
@@ -27,6 +34,7 @@ def local_session(cores="*", partitions=8, memory="8g", app="permitry", **extra)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
@@ -35,17 +43,41 @@ def local_session(cores="*", partitions=8, memory="8g", app="permitry", **extra)
     return spark
 
 
-def cut(df):
-    """Write ``df`` to the shared checkpoint folder and continue from the written copy.
+def _delete_at_end(spark, folder):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session that names
-    none gets a temporary one.
+def shared_folder(spark):
+    """The folder for intermediate tables, always one that all executors share.
+
+    It is the one of ``spark.checkpoint.dir``. A session without that setting uses the warehouse, which is
+    shared by definition; its part is deleted when the application ends.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="permitry-"))
+        if folder is None:
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate/{context.applicationId}"
+            _delete_at_end(spark, folder)
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut(df):
+    """Write ``df`` to the shared checkpoint folder and continue from the written copy."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df):
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    Unlike ``cut`` the copy is compressed and later steps read only the columns they use. It is deleted when
+    the application ends.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    _delete_at_end(spark, folder)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
