@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,20 @@ from permitry.operators.squeeze import squeeze
 from permitry.plans import starview as star
 from permitry.session import cut
 
+
+def _optional(name):
+    """The module, or None if it is not part of this copy; errors inside it are not hidden."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as error:
+        if error.name is None or not f"{name}.".startswith(f"{error.name}."):
+            raise
+        return None
+
+
+_llm = _optional("permitry.llm.queries")
+_pipeline = _optional("corpus_pipeline")
+
 YEARS = (1995, 2001)
 FUTURE = (2002, 2011)
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
@@ -459,6 +474,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named["cache_upsert"] = _insert("keep")
     named["cache_upsert_append"] = _insert("append")
     named["cache_upsert_replace"] = _insert("replace")
+    if _llm:
+        named.update(_llm.queries())
+    if _llm and _pipeline:
+        named["pipeline"] = _pipeline.run
     return named
 
 
@@ -598,6 +617,15 @@ clu AS (SELECT brand AS key, 'cluster-' || CAST(arg_min(p_size, ordinal) AS VARC
 
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL; queries that train a model have none."""
+    named = _own_sql()
+    if _llm:
+        named.update(_llm.oracle_sql())
+    if _llm and _pipeline and _pipeline.ORACLE_SQL:
+        named["pipeline"] = _pipeline.ORACLE_SQL
+    return named
+
+
+def _own_sql():
     top_by_priority = f"""WITH {_LIC}, typed AS (SELECT {_SQUEEZE_KEY} AS BusinessType, Status, IssuedYear,
         CAST(year(ExpiryDate) AS INTEGER) AS ExpiryYear FROM lic)"""
     words_count = 'SELECT word, count(*) AS "count" FROM ({}) GROUP BY word'
