@@ -2,20 +2,34 @@
 
 from pyspark.sql import functions as F
 
-from permitry.llm import substrings
+from permitry.llm import exact, ngram_join, substrings
 
 
 def _table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_exact_dedup(spark, sf):
+    return exact.find_copies(_table(spark, sf, "documents"))
+
+
+def op7_ngram_jaccard_join(spark, sf):
+    return ngram_join.near_copies(_table(spark, sf, "documents"))
+
+
 def op10_substring_dedup(spark, sf):
     found = substrings.repeated_passages(_table(spark, sf, "documents"))
     return found.drop("removed_spans")
 
 
-QUERIES = [op10_substring_dedup]
-SQL = {}
+QUERIES = [op3_exact_dedup, op7_ngram_jaccard_join, op10_substring_dedup]
+SQL = {
+    "op3_exact_dedup": r"""WITH d AS (
+            SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+        SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = min(doc_id) OVER same AS kept, text_sha256
+        FROM d WINDOW same AS (PARTITION BY text_sha256)""",
+}
 
 
 def queries():
