@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from permitry.llm import exact, ngram_join, substrings
+from permitry.llm import exact, ngram_join, packing, substrings
 
 
 def _table(spark, sf, name):
@@ -13,6 +13,17 @@ def op3_exact_dedup(spark, sf):
     return exact.find_copies(_table(spark, sf, "documents"))
 
 
+def tokenizer(name="byte_bpe_50k.json"):
+    """Content of a public tokenizer file."""
+    import public_tokenizers
+    with open(public_tokenizers.path(name)) as file:
+        return file.read()
+
+
+def op5_best_fit_packing(spark, sf):
+    return packing.pack(_table(spark, sf, "documents"), tokenizer())
+
+
 def op7_ngram_jaccard_join(spark, sf):
     return ngram_join.near_copies(_table(spark, sf, "documents"))
 
@@ -22,7 +33,7 @@ def op10_substring_dedup(spark, sf):
     return found.drop("removed_spans")
 
 
-QUERIES = [op3_exact_dedup, op7_ngram_jaccard_join, op10_substring_dedup]
+QUERIES = [op3_exact_dedup, op5_best_fit_packing, op7_ngram_jaccard_join, op10_substring_dedup]
 SQL = {
     "op3_exact_dedup": r"""WITH d AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
