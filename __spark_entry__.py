@@ -30,7 +30,7 @@ def _optional(name):
 
 
 _llm = _optional("permitry.llm.queries")
-_pipeline = _optional("corpus_pipeline")
+_pipeline = _optional("corpus_pipeline") if _llm else None
 
 YEARS = (1995, 2001)
 FUTURE = (2002, 2011)
