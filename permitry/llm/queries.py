@@ -2,17 +2,38 @@
 
 from pyspark.sql import functions as F
 
-from permitry.llm import exact, ngram_join, packing, substrings
+from permitry.llm import exact, html_text, licences, ngram_join, ordinal, packing, quality_rules, sentence_pieces, substrings, toxicity
 
 
 def _table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def piece_model(name="piece_bpe_32k.model"):
+    """Content of a public SentencePiece model."""
+    import public_tokenizers
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+def op1_sentencepiece(spark, sf):
+    return sentence_pieces.encode(_table(spark, sf, "documents"), piece_model(), with_ids=False)
+
+
+def op2_toxicity(spark, sf):
+    return toxicity.scored(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 def op3_exact_dedup(spark, sf):
     return exact.find_copies(_table(spark, sf, "documents"))
 
 
+def op4_quality_classifier(spark, sf):
+    """Grades: 0 for low quality, 1 for good but toxic, 2 for good and clean; kept from grade 1 on."""
+    grade = F.col("quality") * (2 - F.col("toxic"))
+    return ordinal.graded(_table(spark, sf, "documents"), _table(spark, sf, "labels"), grade, target=1)
+
+
 def tokenizer(name="byte_bpe_50k.json"):
     """Content of a public tokenizer file."""
     import public_tokenizers
@@ -24,16 +45,28 @@ def op5_best_fit_packing(spark, sf):
     return packing.pack(_table(spark, sf, "documents"), tokenizer())
 
 
+def op6_licence_scan(spark, sf):
+    return licences.scan(_table(spark, sf, "documents")).drop("matches")
+
+
 def op7_ngram_jaccard_join(spark, sf):
     return ngram_join.near_copies(_table(spark, sf, "documents"))
 
 
+def op8_html_extraction(spark, sf):
+    return html_text.extract(_table(spark, sf, "pages"))
+
+
+def op9_quality_rules(spark, sf):
+    return quality_rules.judged(_table(spark, sf, "documents"))
+
+
 def op10_substring_dedup(spark, sf):
     found = substrings.repeated_passages(_table(spark, sf, "documents"))
     return found.drop("removed_spans")
 
 
-QUERIES = [op3_exact_dedup, op5_best_fit_packing, op7_ngram_jaccard_join, op10_substring_dedup]
+QUERIES = [op1_sentencepiece, op2_toxicity, op3_exact_dedup, op4_quality_classifier, op5_best_fit_packing, op6_licence_scan, op7_ngram_jaccard_join, op8_html_extraction, op9_quality_rules, op10_substring_dedup]
 SQL = {
     "op3_exact_dedup": r"""WITH d AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)

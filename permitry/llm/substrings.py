@@ -38,8 +38,8 @@ class _Chunk:
     """The words of a chunk as numbers, one document after the other."""
 
     def __init__(self, blob, numbers, window):
-        self.ids, texts = exchange.unpacked(blob)
-        self.words = [t.split() for t in texts]
+        self.ids, self.texts = exchange.unpacked(blob)
+        self.words = [t.split() for t in self.texts]
         self.counts = np.array([len(w) for w in self.words], np.int64)
         self.ends = np.cumsum(self.counts)
         self.window, self.block = window, (window + 1) // 2
@@ -121,8 +121,8 @@ def _result(batches, window, bits, key_bits, schema, with_text):
             removed = words.covered(again, window, len(chunk.numbers))
             sums = np.concatenate(([0], np.cumsum(removed)))
             out = {"n_words": chunk.counts, "n_removed": sums[chunk.ends] - sums[chunk.ends - chunk.counts]}
-            kept, runs = [], []
-            for own, end, gone in zip(chunk.words, chunk.ends, out["n_removed"]):
+            kept, runs, texts = [], [], []
+            for text, own, end, gone in zip(chunk.texts, chunk.words, chunk.ends, out["n_removed"]):
                 if gone:
                     mask = removed[end - len(own):end]
                     runs.append(list(map(list, zip(*(x.tolist() for x in words.spans(mask))))))
@@ -130,10 +130,11 @@ def _result(batches, window, bits, key_bits, schema, with_text):
                 else:
                     runs.append([])
                 kept.append(b" ".join(own))
+                texts.append(kept[-1] if gone else text)
             out["removed_spans"] = runs
             out["kept_sha256"] = [hashlib.sha256(text).hexdigest() for text in kept]
             if with_text:
-                out["kept_text"] = [text.decode() for text in kept]
+                out["kept_text"] = [text.decode() for text in texts]
             arrays = [chunk.ids] + [pa.array(out[f.name], f.type) for f in schema if f.name != schema[0].name]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
@@ -141,7 +142,7 @@ def _result(batches, window, bits, key_bits, schema, with_text):
 def repeated_passages(docs, id_column="doc_id", text_column="text", window=WINDOW, with_text=False):
     """One row per document: id, n_words, n_removed, removed_spans (word positions, end exclusive), kept_sha256.
 
-    ``with_text`` adds kept_text, the kept words joined by one space.
+    ``with_text`` adds kept_text: the text as it is if nothing was removed, else the kept words joined by one space.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -172,3 +173,10 @@ def repeated_passages(docs, id_column="doc_id", text_column="text", window=WINDO
     named = pa.schema([(id_column if f.name == "id" else f.name, f.type) for f in schema])
     both = packed.select("chunk", "blob").join(answers, "chunk", "left")
     return both.mapInArrow(partial(_result, schema=named, with_text=with_text, **settings), types)
+
+
+def drop_passages(docs, text_column="text", window=WINDOW):
+    """All documents with all their columns, their texts without the passages that occur elsewhere."""
+    others = F.struct(*[F.col(c) for c in docs.columns if c != text_column]).alias("id")
+    found = repeated_passages(docs.select(others, text_column), "id", text_column, window, with_text=True)
+    return found.select(*[F.col("kept_text" if c == text_column else f"id.`{c}`").alias(c) for c in docs.columns])
