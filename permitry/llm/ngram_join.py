@@ -5,16 +5,16 @@
 2. The rest is reduced to its distinct shingle sets, so copies cost nothing further.
 3. Groups: sets with the same smallest shared shingle form a group; near copies nearly always do. A large group
    is dealt into parts of about ``PART`` sets, and each part also gets the group's leaders, a few fixed
-   members. Links inside a part are found exactly, leaders first.
-4. Matrix: members of a part that are linked already form a cell; the matrix holds for each token the cells whose
-   union of prefix tokens has it, with the smallest and largest set in the cell. A set of n shingles needs
-   ceil(t * n) common ones, so it and its partner share one of their n - ceil(t * n) + 1 rarest: two cells
-   can only hold a link if they share a prefix token and their sizes fit.
-5. Only such pairs of cells with different labels are opened and checked, up to the first link, as one link
-   joins both labels. Components of the labels give the result.
+   members. Links inside a part are found exactly; labels name what is connected so far.
+4. Matrix: for each token the parts whose union of prefix tokens has it, with bounds on the sizes of their sets and
+   their labels. A set of n shingles needs ceil(t * n) common ones, so it and its partner share one of their
+   n - ceil(t * n) + 1 rarest: two parts can only hold a link if they share a prefix token. Its shared
+   shingles also bound how large the partner may be.
+5. Only such pairs of parts are opened, and only if they have different labels; their overlaps are counted by a
+   product of two 0/1 matrices. One link joins two labels; components of the labels give the result.
 
-Links between sets already known to be connected are never listed, so a group of m near copies costs about m
-checks, not m * m. Intersections are counted on 64-bit shingle fingerprints.
+Pairs of sets are never rows of a table: a group of m near copies costs at most (m / PART) ** 2 pairs of parts, and one
+of parts that are already connected costs none. Intersections are counted on 64-bit shingle fingerprints.
 
 Defined cases: NULL and empty texts have no shingles and no link; a text with fewer words than n is one shingle;
 repeated rows are linked; a NULL id never names a component unless all its ids are NULL; an empty table gives
@@ -33,11 +33,12 @@ from permitry.llm import exchange, words
 from permitry.llm.components import components
 from permitry.session import written
 
-#: From so many places on a shingle is common: ordered last when the rarest shingles are taken.
-COMMON = 64
 PART = 256
 LEADERS = 4
 SETS_PER_TASK = 1500
+PAIRS_PER_TASK = 200
+#: Columns of the 0/1 matrices that are multiplied at once.
+_COLUMNS = 4096
 
 
 def shingles(text, n, numbers):
@@ -85,46 +86,52 @@ def _sets(batches, n, percent, bits, key_bits, schema):
                 [ids, *(pa.array(values, field.type) for values, field in zip(out, list(schema)[1:]))], schema=schema)
 
 
-class _Set:
-    def __init__(self, row, percent):
-        self.key, self.n, self.percent = row["key"], row["n"], percent
-        self.tokens = exchange.unpack_sorted(row["tokens"])
-
-    def with_prefix(self, codes):
-        """The shared tokens among the rarest ones; unique shingles come first and need no place here."""
-        size = self.n - needed(self.n, self.percent) + 1 - (self.n - len(self.tokens))
-        order = np.lexsort((self.tokens, exchange.unsqueezed(codes, np.uint8)))[:size]
-        self.prefix = self.tokens[order].tolist()
-        return self
-
-    def links(self, other):
-        if self.n * 100 < other.n * self.percent or other.n * 100 < self.n * self.percent:
-            return False
-        both = len(np.intersect1d(self.tokens, other.tokens, assume_unique=True))
-        return both * 100 >= self.percent * (self.n + other.n - both)
-
-
-def _root(parents, i):
-    while parents[i] != i:
-        parents[i] = parents[parents[i]]
-        i = parents[i]
-    return i
-
-
-def _labels(members):
-    """For each set the index of the first set it is connected with; the members come leaders first."""
-    parents, having = list(range(len(members))), {}
-    for i, own in enumerate(members):
-        for j in sorted({j for token in own.prefix for j in having.get(token, ())}):
-            a, b = _root(parents, i), _root(parents, j)
-            if a != b and own.links(members[j]):
-                parents[max(a, b)] = min(a, b)
-        for token in own.prefix:
-            having.setdefault(token, []).append(i)
-    return [_root(parents, i) for i in range(len(members))]
-
-
-_MEMBERS = "key binary, copy boolean, part_id bigint, label binary, n bigint, prefix array<bigint>, tokens binary"
+def _prefix(n, tokens, codes, percent):
+    """The shared tokens among the rarest ones; unique shingles come first and need no place here."""
+    size = n - needed(n, percent) + 1 - (n - len(tokens))
+    return tokens[np.lexsort((tokens, codes))[:size]]
+
+
+def linked(left, right, percent):
+    """Matrix of links between two lists of (n, shared tokens)."""
+    n, m = (np.array([size for size, _ in side])[:, None] for side in (left, right))
+    s, t = (np.array([len(tokens) for _, tokens in side])[:, None] for side in (left, right))
+    possible = (100 + percent) * np.minimum(s, t.T) >= percent * (n + m.T)
+    rows, columns = np.flatnonzero(possible.any(1)), np.flatnonzero(possible.any(0))
+    found = np.zeros(possible.shape, bool)
+    if not len(rows):
+        return found
+    tokens = [np.concatenate([side[i][1] for i in own]) for side, own in ((left, rows), (right, columns))]
+    of = [np.repeat(np.arange(len(own)), [len(side[i][1]) for i in own]) for side, own in ((left, rows), (right, columns))]
+    both = np.intersect1d(np.unique(tokens[0]), np.unique(tokens[1]), assume_unique=True)
+    overlap = np.zeros((len(rows), len(columns)), np.float32)
+    for first in range(0, len(both), _COLUMNS):
+        block = both[first:first + _COLUMNS]
+        sides = []
+        for own, members, count in zip(tokens, of, overlap.shape):
+            at = np.minimum(np.searchsorted(block, own), len(block) - 1)
+            there = block[at] == own
+            sides.append(np.zeros((count, len(block)), np.float32))
+            sides[-1][members[there], at[there]] = 1
+        overlap += sides[0] @ sides[1].T
+    enough = (100 + percent) * overlap.astype(np.int64) >= percent * (n[rows] + m[columns].T)
+    found[np.ix_(rows, columns)] = enough
+    return found
+
+
+def _labels(links):
+    """For each row of a symmetric matrix the smallest row it is connected with."""
+    labels = np.full(len(links), -1)
+    for i in range(len(links)):
+        if labels[i] < 0:
+            todo = np.array([i])
+            while len(todo):
+                labels[todo] = i
+                todo = np.flatnonzero(links[todo].any(0) & (labels < 0))
+    return labels
+
+
+_MEMBERS = "key binary, copy boolean, part_id bigint, label binary, n bigint, shared bigint, prefix array<bigint>, tokens binary"
 
 
 def _within_parts(table, percent):
@@ -135,36 +142,28 @@ def _within_parts(table, percent):
     out = []
     for rows in parts.values():
         rows.sort(key=lambda row: (not row["leader"], row["key"]))
-        members = [_Set(row, percent).with_prefix(row["codes"]) for row in rows]
-        for row, own, label in zip(rows, members, _labels(members)):
-            prefix = np.array(own.prefix, np.uint64).view(np.int64)
-            out.append({"key": own.key, "copy": row["copy"], "part_id": row["part_id"], "label": members[label].key,
-                        "n": own.n, "prefix": prefix, "tokens": row["tokens"]})
+        sets = [(row["n"], exchange.unpack_sorted(row["tokens"])) for row in rows]
+        labels = _labels(linked(sets, sets, percent)) if len(sets) > 1 else [0]
+        for row, (n, tokens), label in zip(rows, sets, labels):
+            prefix = _prefix(n, tokens, exchange.unsqueezed(row["codes"], np.uint8), percent).view(np.int64)
+            out.append({"key": row["key"], "copy": row["copy"], "part_id": row["part_id"], "label": rows[label]["key"],
+                        "n": n, "shared": len(tokens), "prefix": prefix, "tokens": row["tokens"]})
     return pa.Table.from_pylist(out, pa.schema([
         ("key", pa.binary()), ("copy", pa.bool_()), ("part_id", pa.int64()), ("label", pa.binary()), ("n", pa.int64()),
-        ("prefix", pa.list_(pa.int64())), ("tokens", pa.binary())]))
+        ("shared", pa.int64()), ("prefix", pa.list_(pa.int64())), ("tokens", pa.binary())]))
 
 
-def _between_cells(table, percent):
-    """Pairs of labels that are linked, from opened pairs of cells."""
-    pairs = {}
+def _between_parts(table, percent):
+    """Pairs of labels that are linked, from opened pairs of parts."""
+    pairs, edges = {}, set()
     for row in table.to_pylist():
         pairs.setdefault(row["pair"], ([], []))[row["side"]].append(row)
-    sets = {row["key"]: _Set(row, percent) for rows in pairs.values() for side in rows for row in side}
-    edges = set()
-    for left, right in pairs.values():
-        if not left or not right or (left[0]["label"], right[0]["label"]) in edges:
-            continue
-        having = {}
-        for row in left:
-            for token in row["prefix"]:
-                having.setdefault(token, set()).add(row["key"])
-        for row in right:
-            near = {key for token in row["prefix"] for key in having.get(token, ())}
-            if any(sets[row["key"]].links(sets[key]) for key in near):
-                edges.add((left[0]["label"], right[0]["label"]))
-                break
-    edges = sorted(edges)
+    for sides in pairs.values():
+        if all(sides):
+            sets = [[(row["n"], exchange.unpack_sorted(row["tokens"])) for row in rows] for rows in sides]
+            for i, j in zip(*np.nonzero(linked(*sets, percent))):
+                edges.add((sides[0][i]["label"], sides[1][j]["label"]))
+    edges = sorted((a, b) for a, b in edges if a != b)
     return pa.table({"a": pa.array([a for a, _ in edges], pa.binary()), "b": pa.array([b for _, b in edges], pa.binary())})
 
 
@@ -202,22 +201,19 @@ def link_labels(sets, percent):
     known = members.join(leaders, "key", "left_semi").select("key", "label")
     members = written(_relabelled(members.where("not copy"), known))
 
-    cells = members.select(F.explode("prefix").alias("token"), "part_id", "label", "n").groupBy("token", "part_id", "label")
-    matrix = cells.agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    left = matrix.toDF("token", "part_l", "label_l", "lo_l", "hi_l")
-    right = matrix.toDF("token", "part_r", "label_r", "lo_r", "hi_r")
-    fits = (F.col("label_l") < F.col("label_r")) & (F.col("hi_l") * 100 >= F.col("lo_r") * percent) & (
-        F.col("hi_r") * 100 >= F.col("lo_l") * percent)
-    pairs = left.join(right, (left["token"] == right["token"]) & fits)
-    pairs = written(pairs.select("part_l", "label_l", "part_r", "label_r").distinct()
-                    .withColumn("pair", F.monotonically_increasing_id()))
-    sides = pairs.select("pair", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("part_l").alias("part_id"), F.col("label_l").alias("label")),
-        F.struct(F.lit(1).alias("side"), F.col("part_r").alias("part_id"), F.col("label_r").alias("label")))).alias("s"))
-    opened = sides.select("pair", "s.*").join(members, ["part_id", "label"])
-    tasks = max(16, -(-pairs.count() // SETS_PER_TASK))
-    edges = _in_tasks(opened.select("pair", "side", "key", "label", "n", "prefix", "tokens"), "pair", tasks).applyInArrow(
-        partial(_between_cells, percent=percent), "a binary, b binary")
+    tokens = members.select(F.explode("prefix").alias("token"), "part_id", "label", "n", "shared")
+    matrix = tokens.groupBy("token", "part_id").agg(
+        F.min("label").alias("first"), F.max("label").alias("last"), F.min("n").alias("n"), F.max("shared").alias("shared"))
+    left, right = (matrix.toDF("token", *(f"{c}_{side}" for c in matrix.columns[1:])) for side in "lr")
+    fits = (F.col("part_id_l") < F.col("part_id_r")) & (
+        (100 + percent) * F.least("shared_l", "shared_r") >= percent * (F.col("n_l") + F.col("n_r")))
+    same = (F.col("first_l") == F.col("last_l")) & (F.col("first_r") == F.col("last_r")) & (F.col("first_l") == F.col("first_r"))
+    pairs = left.join(right, (left["token"] == right["token"]) & fits & ~same)
+    pairs = written(pairs.select("part_id_l", "part_id_r").distinct().withColumn("pair", F.monotonically_increasing_id()))
+    sides = pairs.select("pair", F.posexplode(F.array("part_id_l", "part_id_r")).alias("side", "part_id"))
+    opened = sides.join(members, "part_id").select("pair", "side", "label", "n", "tokens")
+    tasks = max(16, -(-pairs.count() // PAIRS_PER_TASK))
+    edges = _in_tasks(opened, "pair", tasks).applyInArrow(partial(_between_parts, percent=percent), "a binary, b binary")
     return _relabelled(members.select("key", "label"), edges)
 
 
@@ -232,7 +228,8 @@ def near_copies(docs, id_column="doc_id", text_column="text", n=4, percent=85):
     key_bits = min(64, max(bits, int(np.ceil(np.log2(size / 2 + 2))) + 10))
     settings = {"n": n, "bits": bits, "key_bits": key_bits}
     sent = packed.select("chunk", "blob").mapInArrow(partial(_send, **settings), exchange.BLOCK)
-    replies = exchange.meet(sent, lambda places, flags: (places > 1) + np.uint8(1) * (places >= COMMON))
+    # 0 for a unique shingle, else the class of its frequency: how often 1 doubles to reach its places
+    replies = exchange.meet(sent, lambda places, flags: np.ceil(np.log2(places)))
 
     types = T.StructType([
         T.StructField("id", kind), T.StructField("n", T.LongType()), T.StructField("key", T.BinaryType()),
@@ -245,7 +242,18 @@ def near_copies(docs, id_column="doc_id", text_column="text", n=4, percent=85):
     sets = rows.where("key is not null").groupBy("key").agg(F.max(F.struct("n", "home", "tokens", "codes")).alias("s"))
     labels = link_labels(written(sets.select("key", "s.*")), percent)
 
-    named = rows.select("id", "n", "key").join(labels, "key", "left")
-    linked = named.where("label is not null").groupBy("label").agg(F.min("id").alias("component"))
-    return named.join(linked, "label", "left").select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    named = rows.where("key is not null").select("id", "n", "key").join(labels, "key")
+    least = named.groupBy("label").agg(F.min("id").alias("component_id"))
+    alone = rows.where("key is null").select("id", "n", F.col("id").alias("component_id"))
+    found = named.join(least, "label").select("id", "n", "component_id").unionByName(alone)
+    return found.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs, id_column="doc_id", text_column="text", n=4, percent=85):
+    """The document with the smallest id of each component, with all its columns; a NULL id comes last."""
+    row = F.monotonically_increasing_id().alias("row")
+    rows = written(docs.select(row, F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.struct("*").alias("doc")))
+    named = rows.withColumn("key", F.struct(F.isnull("id").alias("none"), "id", "row"))
+    found = near_copies(named, "key", "text", n, percent)
+    dropped = found.where("component_id.row <> key.row").select("key.row")
+    return rows.select("row", "doc").join(dropped, "row", "left_anti").select("doc.*")
