@@ -4,8 +4,7 @@ from pyspark.sql import functions as F
 
 from permitry.functions.geo import filled, is_known, reply_coordinates
 from permitry.functions.text import address_text, blank_if_null
-from permitry.operators.skew import HEAVY_ROWS, lookup_join
-from permitry.schemas import ADDRESS_KEYS, ADDRESS_KEYS_SPLIT
+from permitry.schemas import ADDRESS_KEYS
 
 
 def address_keys(df, keys=ADDRESS_KEYS):
@@ -36,23 +35,27 @@ def one_per_key(cache, keys=ADDRESS_KEYS):
     )
 
 
-def fill_coordinates(df, cache, keys=ADDRESS_KEYS, heavy_rows=HEAVY_ROWS):
+SPREAD = 1 << 20
+
+
+def fill_coordinates(df, cache, keys=ADDRESS_KEYS):
     """Fill missing coordinates from the cache; rows that have both, or get no hit, stay as they are.
 
-    Only cache entries with usable coordinates take part. Only rows that miss a coordinate go through
-    the join, the others are passed on where they are.
+    Only cache entries with usable coordinates take part. One join reads the rows once: a row that misses
+    nothing has no key and a number of its own, so such rows match nothing and are spread evenly.
     """
     known = one_per_key(cache.where(is_known("Latitude", "Longitude")), keys)
     hits = known.select(
-        *[F.col(k).alias(f"__{k}") for k in keys],
+        *[F.col(k).alias(f"__{k}") for k in keys], F.lit(0).alias("__spread"),
         F.col("Latitude").alias("__latitude"), F.col("Longitude").alias("__longitude"),
     )
     missing = F.col("Latitude").isNull() | F.col("Longitude").isNull()
-    asked = df.where(missing).withColumns({f"__{k}": blank_if_null(k) for k in keys})
-    found = lookup_join(asked, hits, [f"__{k}" for k in keys], "left", heavy_rows)
+    own = F.pmod(F.xxhash64("Latitude", "Longitude", *keys), F.lit(SPREAD)).cast("int")
+    asked = df.withColumns({f"__{k}": F.when(missing, blank_if_null(k)) for k in keys})
+    asked = asked.withColumn("__spread", F.when(missing, F.lit(0)).otherwise(own))
+    found = asked.join(hits, [*(f"__{k}" for k in keys), "__spread"], "left")
     latitude, longitude = filled("Latitude", "Longitude", "__latitude", "__longitude")
-    done = found.withColumns({"Latitude": latitude, "Longitude": longitude}).select(*df.columns)
-    return df.where(~missing).unionByName(done)
+    return found.withColumns({"Latitude": latitude, "Longitude": longitude}).select(*df.columns)
 
 
 def insert_addresses(cache, addresses, mode="keep", keys=ADDRESS_KEYS):
@@ -86,8 +89,11 @@ def pending_addresses(cache, n, keys=ADDRESS_KEYS):
 
 
 def apply_geocodes(cache, results, keys=ADDRESS_KEYS):
-    """Write geocoded coordinates (one row per key) into the cache and mark the entries done."""
-    found = results.select(
+    """Write geocoded coordinates into the cache and mark the entries done.
+
+    Of several results for one address the one with coordinates, then the smallest, counts.
+    """
+    found = one_per_key(results.withColumn("IsUpdated", F.lit(True)), keys).select(
         *keys, F.col("Latitude").alias("__latitude"), F.col("Longitude").alias("__longitude"),
         F.lit(True).alias("__hit"),
     )
@@ -134,5 +140,3 @@ def geocode_pending(cache, resolver, n, keys=ADDRESS_KEYS):
     """Resolve up to ``n`` pending addresses and write the results back."""
     return apply_geocodes(cache, resolver(pending_addresses(cache, n, keys)), keys)
 
-
-SPLIT_KEYS = ADDRESS_KEYS_SPLIT

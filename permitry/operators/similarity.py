@@ -7,22 +7,24 @@ shuffle is needed to remove repeats.
 """
 
 import math
+from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from permitry.functions.text import tokens
 from permitry.functions.vectors import euclidean
-from permitry.operators.skew import CELL, HEAVY_ROWS, grid_join, lookup_join
+from permitry.operators.skew import CELL, grid_join
 from permitry.schemas import STOP_WORDS
 from permitry.session import cut
 
 SMALL = 1e-9
-GROUP_LIMIT = 1000
 PARTS = 256
+BLOCK = 1000
 
 
 def _bags(types, column, stop_words, distinct, members=None):
@@ -37,23 +39,17 @@ def _bags(types, column, stop_words, distinct, members=None):
     rows = named.select(bag.alias("bag"), "name")
     if members is None:
         return cut(rows)
-    if members > GROUP_LIMIT:
-        rows = _smallest(rows.withColumn("__part", F.pmod(F.xxhash64("name"), F.lit(PARTS))), ["bag", "__part"], members)
+    rows = _smallest(rows.withColumn("__part", F.pmod(F.xxhash64("name"), F.lit(PARTS))), ["bag", "__part"], members)
     kept = _smallest(rows, ["bag"], members)
     return cut(kept.groupBy("bag").agg(F.array_sort(F.collect_list("name")).alias("name")))
 
 
 def _smallest(rows, by, n):
-    """The ``n`` smallest names of each group; up to ``GROUP_LIMIT`` Spark cuts groups before the shuffle."""
+    """The ``n`` smallest names of each group."""
     ranked = rows.withColumn("__rank", F.row_number().over(Window.partitionBy(*by).orderBy("name")))
     return ranked.where(F.col("__rank") <= n).select("bag", "name")
 
 
-def _spread(df, key):
-    """The key's hash partitions in their full number: a join that grows its input must not be coalesced."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
-
-
 def _side(df, suffix):
     return df.select(*[F.col(c).alias(f"{c}_{suffix}") for c in df.columns])
 
@@ -68,7 +64,7 @@ def _join_on_keys(left, right, condition, cell):
     b = _side(right, "r").withColumn("key_r", F.explode("probe_r"))
     first_shared = F.element_at(F.array_intersect("keys_l", "keys_r"), 1)
     once = F.col("key_l") == _key(first_shared, F.col("kind_l"), F.col("kind_r"))
-    return grid_join(_spread(a, "key_l"), _spread(b, "key_r"), "key_l", "key_r", condition & once, cell)
+    return grid_join(a, b, "key_l", "key_r", condition & once, cell)
 
 
 def _key(word, left_kind, right_kind):
@@ -81,12 +77,7 @@ def _probe_all(df, words="keys"):
     return df.withColumn("kind", anyone).withColumn("probe", F.transform(words, lambda w: _key(w, anyone, anyone)))
 
 
-def _heavy(members):
-    """With ``members`` the bags are unique and none can be heavy."""
-    return HEAVY_ROWS if members is None else None
-
-
-def _by_rarity(left, right, members=None):
+def _by_rarity(left, right):
     """Both sides with ``keys``: the words of the bag, rare ones (over both sides) first."""
     def words(df):
         return df.select("bag", F.explode("bag").alias("word"))
@@ -94,10 +85,10 @@ def _by_rarity(left, right, members=None):
     seen = words(left).unionByName(words(right)).groupBy("word").agg(F.count(F.lit(1)).alias("seen"))
 
     def ordered(df):
-        counted = lookup_join(words(df.select("bag").distinct()), seen, "word", "inner")
+        counted = words(df.select("bag").distinct()).join(seen, "word")
         ranked = F.array_sort(F.collect_list(F.struct("seen", "word")))
         keys = counted.groupBy("bag").agg(F.transform(ranked, lambda x: x["word"]).alias("keys"))
-        return lookup_join(df, keys, "bag", "inner", _heavy(members))
+        return df.join(keys, "bag")
 
     return ordered(left), ordered(right)
 
@@ -152,12 +143,11 @@ def _jaccard_join(left, right, at_least, cell):
     return pairs.withColumn("score", score)
 
 
-def jaccard_pairs(left, right, at_least=0.0, left_column="BusinessType", right_column="BusinessType",
+def jaccard_pairs(left, right, at_least, left_column="BusinessType", right_column="BusinessType",
                   stop_words=STOP_WORDS, cell=CELL):
-    """All pairs of types whose word sets overlap, with their Jaccard similarity.
-
-    ``at_least`` keeps only pairs of that similarity or more and makes the join much cheaper.
-    """
+    """All pairs of types with a Jaccard similarity of their word sets of ``at_least``, which is above zero."""
+    if at_least <= 0:
+        raise ValueError("at_least must be above zero: without a threshold the result is every pair with a common word")
     a, b = _by_rarity(
         _bags(left, left_column, stop_words, True), _bags(right, right_column, stop_words, True)
     )
@@ -189,7 +179,7 @@ def jaccard_top(left, right, n=1000, left_column="BusinessType", right_column="B
     are fewer than ``n`` such pairs, joins on every word.
     """
     a, b = _by_rarity(
-        _bags(left, left_column, stop_words, True, n), _bags(right, right_column, stop_words, True, n), n
+        _bags(left, left_column, stop_words, True, n), _bags(right, right_column, stop_words, True, n)
     )
     a, b = cut(a), cut(b)
     for at_least in thresholds:
@@ -199,9 +189,9 @@ def jaccard_top(left, right, n=1000, left_column="BusinessType", right_column="B
 
 
 def _lexicon(left, right, vectors):
-    """Known words of the bags: in how many left and right bags they occur, vector, places for the grid.
+    """Known words of the bags: in how many left and right bags they occur, vector, distance to a pivot.
 
-    A place is the distance to a pivot, one of two fixed words; any choice of pivots is exact.
+    The pivot is one fixed word; any choice is exact.
     """
     def words(df, side):
         return df.select("bag").distinct().select(F.explode(F.array_distinct("bag")).alias("word"), F.lit(side).alias("side"))
@@ -210,21 +200,19 @@ def _lexicon(left, right, vectors):
         F.sum(1 - F.col("side")).alias("in_left"), F.sum("side").alias("in_right")
     )
     known = cut(vectors.select("word", F.col("vec").cast("array<float>").alias("vec")).join(seen, "word"))
-    pivots = [row["vec"] for row in known.orderBy(F.xxhash64("word"), "word").limit(2).collect()]
-    places = [euclidean("vec", F.lit(p).cast("array<double>")) for p in pivots]
-    return known.withColumn("at", F.array(*places)) if places else None
+    pivot = known.orderBy(F.xxhash64("word"), "word").select("vec").first()
+    return None if pivot is None else known.withColumn("at", euclidean("vec", F.lit(pivot["vec"]).cast("array<double>")))
 
 
-def _weighted(bags, lexicon, members=None):
-    """Bags with their known words, rare ones first, and each word's share and vector.
+def _weighted(bags, lexicon):
+    """Bags with a number and their known words, rare ones first, each with its share and vector.
 
     Bags without any known word drop out.
     """
     words = bags.select("bag").distinct().select("bag", F.explode("bag").alias("word"))
     counts = words.groupBy("bag", "word").agg(F.count(F.lit(1)).alias("times"))
     entry = lexicon.select("word", (F.col("in_left") + F.col("in_right")).alias("seen"), "vec")
-    known = lookup_join(counts, entry, "word", "inner")
-    parts = known.groupBy("bag").agg(
+    parts = counts.join(entry, "word").groupBy("bag").agg(
         F.sum("times").alias("total"), F.array_sort(F.collect_list(F.struct("seen", "word", "times", "vec"))).alias("parts")
     )
     flat = parts.select(
@@ -233,36 +221,45 @@ def _weighted(bags, lexicon, members=None):
         F.transform("parts", lambda p: p["times"] / F.col("total")).alias("weights"),
         F.transform("parts", lambda p: p["vec"]).alias("vectors"),
     )
-    return cut(lookup_join(bags, flat, "bag", "inner", _heavy(members)))
+    return cut(bags.join(flat, "bag").drop("bag").withColumn("id", F.monotonically_increasing_id()))
 
 
-def near_words(lexicon, reach, cell=CELL):
-    """For every right word the left words within ``reach`` of it.
+def _blocks(lexicon, suffix):
+    """Words with their vectors in blocks of about ``BLOCK``, neighbours by their distance to the pivot."""
+    count = max(1, -(-lexicon.count() // BLOCK))
+    placed = lexicon.repartitionByRange(count, "at", "word").withColumn("block", F.spark_partition_id())
+    packed = placed.groupBy("block").agg(
+        F.min("at").alias("low"), F.max("at").alias("high"), F.collect_list("word").alias("words"),
+        F.collect_list("vec").alias("vectors"))
+    return _side(cut(packed), suffix)
 
-    Words that near differ by no more than ``reach`` in their distance to any pivot, so they lie in the
-    same or in neighbouring cells of a grid of that width.
-    """
-    width = max(float(reach), SMALL) * (1 + SMALL)
 
-    def cells(steps):
-        spots = [F.floor(F.element_at("at", i) / width) for i in (1, -1)]
-        return F.explode(F.array(*[F.concat_ws(":", spots[0] + i, spots[1] + j) for i in steps for j in steps]))
+def _near_in_blocks(batches, reach):
+    """Pairs of words within ``reach``, block against block by a matrix product."""
+    for batch in batches:
+        for words_l, vectors_l, words_r, vectors_r in zip(*(c.to_pylist() for c in batch.columns)):
+            a, b = np.array(vectors_l, float), np.array(vectors_r, float)
+            squares = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
+            i, j = np.nonzero(squares <= reach * reach)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([words_l[k] for k in i], pa.string()), pa.array([words_r[k] for k in j], pa.string())],
+                ["near", "word"])
 
-    a = lexicon.where(F.col("in_left") > 0).select(
-        F.col("word").alias("word_l"), F.col("vec").alias("vec_l"), cells((0,)).alias("key_l"))
-    b = lexicon.where(F.col("in_right") > 0).select(
-        F.col("word").alias("word"), F.col("vec").alias("vec_r"), cells((-1, 0, 1)).alias("key_r"))
-    close = grid_join(a, b, "key_l", "key_r", euclidean("vec_l", "vec_r") <= width, cell)
-    return close.groupBy("word").agg(F.collect_set("word_l").alias("near"))
 
+def near_words(lexicon, reach):
+    """Pairs (near, word) of a left and a right word within ``reach``, a little more for rounding.
 
-def _near_bags(bags, near, members):
-    """Bags with all the left words near any of their words."""
-    words = bags.select("bag", "words").distinct().select("bag", F.explode("words").alias("word"))
-    found = lookup_join(words, near, "word", "inner").groupBy("bag").agg(
-        F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")
-    )
-    return lookup_join(bags, found, "bag", "inner", _heavy(members))
+    Blocks meet unless their distances to the pivot differ by more than ``reach``; that rests on the triangle
+    inequality. Only pairs of block numbers are compared, the words and vectors follow by number.
+    """
+    width = float(reach) * (1 + 1e-6) + 1e-6
+    left = _blocks(lexicon.where(F.col("in_left") > 0), "l")
+    right = _blocks(lexicon.where(F.col("in_right") > 0), "r")
+    close = (F.col("low_l") <= F.col("high_r") + width) & (F.col("low_r") <= F.col("high_l") + width)
+    pairs = left.select("block_l", "low_l", "high_l").join(right.select("block_r", "low_r", "high_r"), close)
+    both = pairs.select("block_l", "block_r").join(left, "block_l").join(right, "block_r")
+    packed = both.select("words_l", "vectors_l", "words_r", "vectors_r")
+    return packed.mapInArrow(partial(_near_in_blocks, reach=width), "near string, word string")
 
 
 def relaxed_distances(weights_a, vectors_a, weights_b, vectors_b):
@@ -297,12 +294,18 @@ def _reach(within, typical):
     return max(within, SMALL, min(4 * within, typical / 2))
 
 
-def _relaxed_join(left, right, lexicon, within, typical, cell, members=None):
+def _scored(pairs, left, right):
+    """Pairs (id_l, id_r) with names and relaxed distance; words and vectors are attached once, here."""
+    both = pairs.join(_side(left, "l"), "id_l").join(_side(right, "r"), "id_r")
+    return both.select("name_l", "name_r", _relaxed("weights_l", "vectors_l", "weights_r", "vectors_r").alias("score"))
+
+
+def _relaxed_join(left, right, lexicon, within, typical, cell):
     """Bag pairs with a relaxed distance of at most ``within``.
 
     Words of the left bag that are not within ``reach`` of the right bag travel further than that, so
     their share is at most ``within / reach``. A bag is therefore sent only to its first words whose
-    share exceeds that bound, rare words first, and pairs that break the bound are never scored.
+    share exceeds that bound, rare words first. The join carries numbers and words only.
     """
     reach = _reach(within, typical)
     allowed = within / reach + SMALL
@@ -310,24 +313,17 @@ def _relaxed_join(left, right, lexicon, within, typical, cell, members=None):
     running = F.transform(F.sequence(F.lit(1), F.size("words")), lambda i: F.aggregate(
         F.slice("weights", F.lit(1), i), F.lit(0.0), lambda total, w: total + w))
     enough = F.size(F.filter(running, lambda share: share <= allowed)) + 1
-    sent = left.select("name", "weights", "vectors", F.col("words").alias("keys"),
-                       F.slice("words", F.lit(1), enough).alias("first"))
-    a = _probe_all(sent, "first").drop("first")
-    near = _near_bags(right, cut(near_words(lexicon, reach, cell)), members)
-    b = _probe_all(near.select("name", "weights", "vectors", F.col("near").alias("keys")))
-    far = F.zip_with("keys_l", "weights_l", lambda word, w: F.when(F.array_contains("keys_r", word), 0.0).otherwise(w))
-    far_share = F.aggregate(far, F.lit(0.0), lambda total, w: total + w)
-    pairs = _join_on_keys(a, b, far_share <= allowed, cell)
-    scored = pairs.select(
-        "name_l", "name_r", _relaxed("weights_l", "vectors_l", "weights_r", "vectors_r").alias("score")
-    )
-    return scored.where(F.col("score") <= within)
+    a = left.select(F.col("id").alias("id_l"), F.explode(F.slice("words", F.lit(1), enough)).alias("key_l"))
+    words = right.select(F.col("id").alias("id_r"), F.explode("words").alias("word"))
+    b = words.join(near_words(lexicon, reach), "word").select("id_r", F.col("near").alias("key_r")).distinct()
+    pairs = grid_join(a, cut(b), "key_l", "key_r", F.lit(True), cell).select("id_l", "id_r").distinct()
+    return _scored(pairs, left, right).where(F.col("score") <= within)
 
 
 def _distances(lexicon):
     """A bound of all distances between the words, and a typical one."""
     length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda total, x: total + x * x))
-    found = lexicon.agg(F.max(length), F.percentile_approx(F.element_at("at", 1), 0.5)).first()
+    found = lexicon.agg(F.max(length), F.percentile_approx("at", 0.5)).first()
     return 2 * found[0] + SMALL, found[1]
 
 
@@ -352,15 +348,13 @@ def relaxed_pairs(left, right, vectors, within, left_column="BusinessType", righ
 
 def _first_radius(left, right, n, widest, cell):
     """The largest distance among the pairs most alike by their words, and how many pairs that are."""
-    a, b = (df.withColumnRenamed("words", "keys") for df in (left, right))
+    a, b = (df.select("id", "name", F.col("words").alias("keys")) for df in (left, right))
     radius, held = widest / 32, 0
     for at_least in (0.5, 0.25):
         pairs = _jaccard_join(a, b, at_least, cell)
-        alike = pairs.orderBy(F.desc("score"), "name_l", "name_r").limit(n)
-        found = alike.select(
-            _relaxed("weights_l", "vectors_l", "weights_r", "vectors_r").alias("distance"),
-            (F.size("name_l").cast("bigint") * F.size("name_r")).alias("pairs"),
-        ).agg(F.max("distance"), F.sum("pairs")).first()
+        alike = pairs.orderBy(F.desc("score"), "name_l", "name_r").limit(n).select("id_l", "id_r")
+        found = _scored(alike, left, right).agg(
+            F.max("score"), F.sum(F.size("name_l").cast("bigint") * F.size("name_r"))).first()
         if found[1]:
             radius, held = found
         if held >= n:
@@ -405,13 +399,13 @@ def relaxed_top(left, right, vectors, n=1000, left_column="BusinessType", right_
     lexicon = _lexicon(*bags, vectors)
     if lexicon is None:
         return _unscored(*sides, *(bag.limit(0) for bag in bags), n)
-    a, b = (_weighted(bag, lexicon, n) for bag in bags)
+    a, b = (_weighted(bag, lexicon) for bag in bags)
     widest, typical = _distances(lexicon)
     radius, sure = _first_radius(a, b, n, widest, cell)
     # room for pairs that round to the same distance as the last one
     radius += 10.0**-digits
     while True:
-        pairs = _relaxed_join(a, b, lexicon, min(radius, widest), typical, cell, n)
+        pairs = _relaxed_join(a, b, lexicon, min(radius, widest), typical, cell)
         best = cut(_best_names(pairs.withColumn("score", F.round("score", digits)), n, ascending=True))
         best = best.select("left", "right", F.col("score").alias("distance"))
         inside = F.col("distance") < radius - 10.0**-digits

@@ -1,66 +1,24 @@
-"""Joins that stay balanced when one key holds a large share of the rows.
+"""A many-to-many join that stays balanced when keys repeat on both sides.
 
-Heavy keys are found with an ``approx_top_k`` aggregate over the key hash: a single pass over the key
-columns, one small sketch per task. The list it returns has at most ``MAX_HEAVY`` entries, so everything
-derived from it has a proven bound. Which keys are found affects only the plan, never the result.
+Joins to tables with one row per key need nothing of the kind: Spark's skew join splits their hot
+partitions at run time (``session.SETTINGS``).
 """
 
 from pyspark.sql import functions as F
 
-MAX_HEAVY = 1000
-TRACKED = 10_000
-MERGERS = 512
-HEAVY_ROWS = 2_000_000
-CELL = 2_000
-
-_HASH = "__key_hash"
-
-
-def _key_hash(keys):
-    return F.xxhash64(*[F.col(k) for k in keys])
+from permitry.session import cut
 
+CELL = 2_000
+SALTS = 32
 
-def _heavy(hashes, min_rows):
-    """Side -> hash -> estimated rows of the hashes that hold at least ``min_rows`` rows of their side.
-
-    The sketches of the tasks are merged in ``MERGERS`` groups first, so no task merges all of them.
-    """
-    sketch = F.expr(f"approx_top_k({_HASH}, {MAX_HEAVY}, {TRACKED})")
-    merger = F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger")
-    parts = hashes.groupBy("side", merger).agg(F.explode(sketch).alias("top"))
-    counted = parts.groupBy("side", "top.item").agg(F.sum("top.count").alias("rows"))
-    heavy = counted.where(F.col("rows") >= min_rows).orderBy(F.desc("rows")).limit(MAX_HEAVY)
-    found = {}
-    for row in heavy.collect():
-        found.setdefault(row["side"], {})[row["item"]] = row["rows"]
-    return found
-
-
-def heavy_keys(df, keys, min_rows=HEAVY_ROWS):
-    """Hash -> estimated rows of the keys (NULL ones too) that hold at least ``min_rows`` rows of ``df``."""
-    return _heavy(df.select(_key_hash(keys).alias(_HASH), F.lit(0).alias("side")), min_rows).get(0, {})
-
-
-def lookup_join(facts, table, keys, how="left", heavy_rows=HEAVY_ROWS):
-    """Join ``facts`` to a ``table`` that has one row per key.
-
-    Fact rows of heavy keys are joined to the few table rows of those keys by broadcast and are never
-    shuffled; the rest is an ordinary join, for which Spark picks the strategy by measured size.
-    """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    if how not in ("left", "inner", "left_semi", "left_anti"):
-        raise ValueError(f"lookup_join cannot do a {how} join")
-    heavy = heavy_keys(facts, keys, heavy_rows) if heavy_rows else {}
-    if not heavy:
-        return facts.join(table, keys, how)
-    is_heavy = _key_hash(keys).isin(list(heavy))
-    few = table.where(is_heavy)
-    light = facts.where(~is_heavy).join(table.where(~is_heavy), keys, how)
-    return light.unionByName(facts.where(is_heavy).join(F.broadcast(few), keys, how))
 
+def key_parts(left, right, left_key, right_key, cell=CELL):
+    """Rows (key, rows, columns) of the keys that need more than one cell, from counts of all keys of both sides."""
+    def counted(df, key, name):
+        return df.groupBy(F.col(key).alias("__key")).agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias(name))
 
-def _parts(rows, cell):
-    return max(1, -(-rows // cell))
+    both = counted(left, left_key, "__rows").join(counted(right, right_key, "__columns"), "__key")
+    return both.where((F.col("__rows") > 1) | (F.col("__columns") > 1))
 
 
 def grid_join(left, right, left_key, right_key, condition, cell=CELL):
@@ -68,29 +26,26 @@ def grid_join(left, right, left_key, right_key, condition, cell=CELL):
 
     A key with more than ``cell`` rows on a side is cut into a grid of cells of about ``cell`` rows a
     side: each left row goes to one grid row, each right row to one grid column, so every pair meets in
-    exactly one cell. ``condition`` is checked inside the join.
+    exactly one cell. Rows learn their grid from a table of key counts, which is written once; a hot key's
+    rows are salted for that, so no exchange goes by the key alone. ``condition`` is checked inside the join.
     """
-    sides = [df.select(_key_hash([key]).alias(_HASH), F.lit(side).alias("side"))
-             for side, (df, key) in enumerate(((left, left_key), (right, right_key)))]
-    heavy = _heavy(sides[0].unionByName(sides[1]), cell)
-    heavy_left, heavy_right = heavy.get(0, {}), heavy.get(1, {})
-    same_key = F.col(left_key) == F.col(right_key)
-    if not heavy_left and not heavy_right:
-        return left.join(right, same_key & condition)
-    shape = [
-        (h, _parts(heavy_left.get(h, 0), cell), _parts(heavy_right.get(h, 0), cell))
-        for h in {*heavy_left, *heavy_right}
-    ]
-    table = left.sparkSession.createDataFrame(shape, "__hash bigint, __rows bigint, __columns bigint")
+    table = cut(key_parts(left, right, left_key, right_key, cell))
+    salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def placed(df, key, own, own_parts, other, other_parts):
-        sized = df.join(F.broadcast(table), _key_hash([key]) == F.col("__hash"), "left")
-        own_cell = F.pmod(F.xxhash64(*df.columns), F.coalesce(own_parts, F.lit(1)))
-        every = F.sequence(F.lit(0).cast("bigint"), F.coalesce(other_parts, F.lit(1)) - 1)
-        return sized.select(*df.columns, own_cell.alias(own), F.explode(every).alias(other))
+        salt = F.pmod(F.xxhash64(*df.columns, F.lit(1)), F.lit(SALTS)).cast("int")
+        rows = df.withColumn("__salt", salt)
+        sized = rows.join(salted, (rows[key] == salted["__key"]) & (rows["__salt"] == salted["__salt"]), "left")
+        own_cell = F.pmod(F.xxhash64(*df.columns), F.coalesce(own_parts, F.lit(1))).cast("int")
+        every = F.sequence(F.lit(0), F.coalesce(other_parts, F.lit(1)) - 1)
+        cells = sized.select(*df.columns, own_cell.alias(own), F.explode(every).alias(other))
+        # the join makes more rows than it reads, so its partitions are not to be put together by their size
+        return cells.repartition(partitions, key, *sorted((own, other), key=lambda c: c[:5]))
 
     rows, columns = F.col("__rows"), F.col("__columns")
     a = placed(left, left_key, "__row_l", rows, "__column_l", columns)
     b = placed(right, right_key, "__column_r", columns, "__row_r", rows)
     same_cell = (F.col("__row_l") == F.col("__row_r")) & (F.col("__column_l") == F.col("__column_r"))
-    return a.join(b, same_key & same_cell & condition).drop("__row_l", "__column_l", "__row_r", "__column_r")
+    pairs = a.join(b, (F.col(left_key) == F.col(right_key)) & same_cell & condition)
+    return pairs.drop("__row_l", "__column_l", "__row_r", "__column_r")

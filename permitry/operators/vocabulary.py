@@ -2,10 +2,10 @@
 
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from permitry.functions.text import is_token, tokens, words
-from permitry.operators.skew import HEAVY_ROWS, lookup_join
 from permitry.schemas import STOP_WORDS
 
 
@@ -25,13 +25,31 @@ def union_types(*vocabularies):
 
 
 def token_table(df, column="BusinessType", stop_words=STOP_WORDS):
-    """One row per text: its tokens (``text``) next to the original (``business``)."""
-    return df.select(tokens(column, stop_words).alias("text"), F.col(column).alias("business"))
+    """One row per text: its tokens (``text``) next to the original (``business``).
+
+    Stop words are a list, or a table ``word`` of any length.
+    """
+    if not isinstance(stop_words, DataFrame):
+        return df.select(tokens(column, stop_words).alias("text"), F.col(column).alias("business"))
+    rows = df.select(tokens(column, ()).alias("__all"), F.col(column).alias("business"))
+    rows = rows.withColumn("__row", F.monotonically_increasing_id())
+    spread = rows.select("business", "__row", F.posexplode_outer("__all").alias("__place", "word"))
+    kept = spread.join(stop_words.select("word", F.lit(True).alias("__stop")), "word", "left")
+    place = F.when(F.col("__stop").isNull() & F.col("word").isNotNull(), F.struct("__place", "word"))
+    texts = kept.groupBy("__row").agg(F.array_sort(F.collect_list(place)).alias("__kept"), F.first("business").alias("business"))
+    return texts.select(F.col("__kept.word").alias("text"), "business")
 
 
 def word_counts(df, column="BusinessType", stop_words=STOP_WORDS):
-    """How often each word occurs; repeats inside one text count. Sort at the sink."""
-    found = df.select(F.explode(words(column)).alias("word")).where(is_token(F.col("word"), stop_words))
+    """How often each word occurs; repeats inside one text count. Sort at the sink.
+
+    Stop words are a list, or a table ``word`` of any length.
+    """
+    found = df.select(F.explode(words(column)).alias("word"))
+    if isinstance(stop_words, DataFrame):
+        counted = found.where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+        return counted.join(stop_words.select("word"), "word", "left_anti")
+    found = found.where(is_token(F.col("word"), stop_words))
     return found.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -68,9 +86,9 @@ def type_map(rows, key="type", value="cluster_name", ordinal="ordinal"):
     return last_wins(rows, key, value, ordinal)
 
 
-def _mapped(df, column, mapping, name, heavy_rows):
+def _mapped(df, column, mapping, name):
     table = mapping.select(F.col("key").alias(column), F.col("value").alias(name), F.lit(True).alias(f"{name}_hit"))
-    return lookup_join(df, table, column, "left", heavy_rows)
+    return df.join(table, column, "left")
 
 
 def _keep_or(df, column, name, otherwise):
@@ -78,15 +96,15 @@ def _keep_or(df, column, name, otherwise):
     return F.when(hit, F.col(name)).otherwise(otherwise)
 
 
-def replace_types(df, mapping, column="BusinessType", heavy_rows=HEAVY_ROWS):
+def replace_types(df, mapping, column="BusinessType"):
     """Rows with ``column`` replaced by its mapped value; unmapped values stay."""
-    joined = _mapped(df, column, mapping, "__mapped", heavy_rows)
+    joined = _mapped(df, column, mapping, "__mapped")
     return joined.withColumn(column, _keep_or(joined, column, "__mapped", F.col(column))).select(df.columns)
 
 
-def unmapped_rows(df, mapping, column="BusinessType", heavy_rows=HEAVY_ROWS):
+def unmapped_rows(df, mapping, column="BusinessType"):
     """Rows whose ``column`` has no entry in the map: the report next to ``replace_types``."""
-    return lookup_join(df, mapping.select(F.col("key").alias(column)), column, "left_anti", heavy_rows).select(df.columns)
+    return df.join(mapping.select(F.col("key").alias(column)), column, "left_anti").select(df.columns)
 
 
 def merged_vocabulary(vocabulary_a, vocabulary_b, entities):
@@ -94,13 +112,13 @@ def merged_vocabulary(vocabulary_a, vocabulary_b, entities):
     return union_types(replace_types(vocabulary_a, entities), replace_types(vocabulary_b, entities))
 
 
-def type_to_cluster(types, entities, clusters, column="BusinessType", heavy_rows=HEAVY_ROWS):
+def type_to_cluster(types, entities, clusters, column="BusinessType"):
     """Each type with the cluster of its entity; types without a cluster get the empty text."""
-    entity = _mapped(types, column, entities, "__entity", heavy_rows)
+    entity = _mapped(types, column, entities, "__entity")
     with_entity = entity.withColumn("__type", _keep_or(entity, column, "__entity", F.col(column))).select(
         F.col(column).alias("__original"), F.col("__type").alias(column)
     )
-    joined = _mapped(with_entity, column, clusters, "__cluster", heavy_rows)
+    joined = _mapped(with_entity, column, clusters, "__cluster")
     return joined.select(
         F.col("__original").alias(column), _keep_or(joined, column, "__cluster", F.lit("")).alias("Cluster"),
     )

@@ -1,13 +1,11 @@
 """Licence tables seen in a star schema of orders: the binding of the operators to the test tables.
 
 An order is a licence: its customer is the business, the market segment the type, the order priority
-the subtype, the region the register. It ends with its last shipment; open orders have no end.
+the subtype, the region the register. It ends with its last shipment; most open orders have no end.
 """
 
 from pyspark.sql import functions as F
 
-from permitry.operators.skew import lookup_join
-
 
 def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -47,8 +45,7 @@ def businesses(spark, folder, region=False, nation=False):
 def licences(spark, folder, expiry=True, region=False, statuses=None):
     """The licence table with parsed dates and years; ask only for the columns and statuses a query needs.
 
-    Statuses are asked for by their codes, which the scan can check. Open orders have no end, so the
-    shipments are not read for them alone.
+    Statuses are asked for by their codes, which the scan can check. Only every fourth open order has an end.
     """
     orders = table(spark, folder, "orders")
     codes = [code for code, status in STATUS_OF.items() if statuses is None or status in statuses]
@@ -58,13 +55,11 @@ def licences(spark, folder, expiry=True, region=False, statuses=None):
         "o_orderkey", "o_custkey", licence_status(F.col("o_orderstatus")).alias("Status"),
         F.to_date("o_orderdate").alias("IssuedDate"), F.col("o_orderpriority").alias("BusinessSubType"),
     )
-    rows = lookup_join(orders, businesses(spark, folder, region), "o_custkey", "inner")
-    if expiry and codes == ["O"]:
-        rows = rows.withColumn("ExpiryDate", F.lit(None).cast("date"))
-    elif expiry:
-        rows = rows.join(last_shipments(spark, folder), "o_orderkey", "left")
-        rows = rows.withColumn("ExpiryDate", F.when(F.col("Status") != "Issued", F.col("__shipped"))).drop("__shipped")
+    rows = orders.join(businesses(spark, folder, region), "o_custkey")
     if expiry:
+        ended = (F.col("Status") != "Issued") | (F.col("o_orderkey") % 4 == 0)
+        rows = rows.join(last_shipments(spark, folder), "o_orderkey", "left")
+        rows = rows.withColumn("ExpiryDate", F.when(ended, F.col("__shipped"))).drop("__shipped")
         rows = rows.withColumn("ExpiryYear", F.year("ExpiryDate"))
     return rows.withColumns({"IssuedYear": F.year("IssuedDate"), "YearRecorded": F.year("IssuedDate")})
 

@@ -1,41 +1,11 @@
-"""Joins under heavy keys give the same rows as plain joins."""
+"""The many-to-many join under heavy keys gives the same rows as a plain join."""
+
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from permitry.operators.skew import grid_join, heavy_keys, lookup_join
-
-
-def facts(spark):
-    """A third of the rows on one key, a tenth on NULL, the rest spread."""
-    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 101)
-    return spark.range(3000).select("id", key.cast("bigint").alias("k"))
-
-
-def test_heavy_keys(spark):
-    found = heavy_keys(facts(spark), ["k"], 900)
-    assert len(found) == 1 and list(found.values())[0] >= 1000
-    assert heavy_keys(facts(spark).limit(0), ["k"], 1) == {}
-
-
-@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("heavy_rows", [None, 1, 100, 900, 10_000])
-def test_lookup_join(spark, rows, how, heavy_rows):
-    table = spark.range(0, 101, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    plain = facts(spark).join(table, "k", how)
-    found = lookup_join(facts(spark), table, "k", how, heavy_rows)
-    assert found.columns == plain.columns and rows(found) == rows(plain)
-
-
-def test_heavy_rows_are_not_shuffled(spark):
-    table = spark.range(101).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    plan = lookup_join(facts(spark), table, "k", "left", 900)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-
-
-def test_lookup_join_refuses_others(spark):
-    with pytest.raises(ValueError):
-        lookup_join(facts(spark), facts(spark), "k", "full")
+from permitry.operators.skew import grid_join, key_parts
 
 
 @pytest.mark.parametrize("cell", [5, 40, 10_000])
@@ -46,3 +16,21 @@ def test_grid_join(spark, rows, cell):
     plain = a.join(b, (F.col("ka") == F.col("kb")) & condition)
     found = grid_join(a, b, "ka", "kb", condition, cell)
     assert found.columns == plain.columns and rows(found) == rows(plain)
+
+
+def test_every_heavy_key_gets_cells(spark):
+    """More heavy keys than any list would hold, on both sides."""
+    keys = spark.range(1500).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(6))))
+    a = keys.select(F.col("id").alias("ka"), F.col("copy").alias("a"))
+    b = keys.select(F.col("id").alias("kb"), F.col("copy").alias("b"))
+    parts = key_parts(a, b, "ka", "kb", 2).collect()
+    assert len(parts) == 1500 and all((r["__rows"], r["__columns"]) == (3, 3) for r in parts)
+    assert grid_join(a, b, "ka", "kb", F.lit(True), 2).count() == 1500 * 36
+
+
+def test_no_exchange_by_the_key_alone(spark):
+    a = spark.range(500).select(F.col("id").alias("a"), (F.col("id") % 3).alias("ka"))
+    b = spark.range(400).select(F.col("id").alias("b"), (F.col("id") % 3).alias("kb"))
+    plan = grid_join(a, b, "ka", "kb", F.lit(True), 10)._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert exchanges and all(len([c for c in e.split(",") if "#" in c]) > 1 for e in exchanges)
