@@ -3,7 +3,9 @@
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
+from permitry.functions.vectors import euclidean
 from permitry.operators.vocabulary import token_table
 from permitry.schemas import STOP_WORDS
 from permitry.session import cut
@@ -13,8 +15,9 @@ CLUSTERS = 30
 VECTOR_SIZE = 300
 
 
-def fit_word_vectors(token_rows, vector_size=VECTOR_SIZE, seed=42, partitions=8):
-    """Word vectors learnt from token lists, trained in ``partitions`` parts."""
+def fit_word_vectors(token_rows, vector_size=VECTOR_SIZE, seed=42, partitions=None):
+    """Word vectors learnt from token lists, by default in as many parts as the rows have."""
+    partitions = partitions or token_rows.rdd.getNumPartitions()
     learner = Word2Vec(
         vectorSize=vector_size, minCount=0, seed=seed, numPartitions=partitions, inputCol="text", outputCol="result",
     )
@@ -27,8 +30,30 @@ def vector_table(model):
     return found.select("word", vector_to_array("vector").alias("vec"))
 
 
+def mean_vectors(token_rows, vectors):
+    """Mean of the given vectors ``(word, vec)`` over a text's tokens, unknown ones counting as zero: ``(business, vec)``.
+
+    Texts without any known word are left out.
+    """
+    words = token_rows.select("business", F.size("text").alias("__size"), F.explode("text").alias("word"))
+    parts = words.join(vectors, "word").select("business", "__size", F.posexplode("vec").alias("__at", "__x"))
+    sums = parts.groupBy("business", "__size", "__at").agg((F.sum("__x") / F.col("__size")).alias("__x"))
+    listed = sums.groupBy("business").agg(F.array_sort(F.collect_list(F.struct("__at", "__x"))).alias("__all"))
+    return listed.select("business", F.col("__all.__x").alias("vec"))
+
+
+def nearest_centre(rows, centres, vector="vec"):
+    """Adds ``cluster``: the number of the nearest of the given centres ``(cluster, centre)``, the first of equal ones.
+
+    Centres are the few of a clustering; Spark decides whether to broadcast them.
+    """
+    numbered = centres.agg(F.array_sort(F.collect_list(F.struct("cluster", "centre"))).alias("__centres"))
+    away = F.transform("__centres", lambda c: F.struct(euclidean(F.col(vector), c["centre"]).alias("away"), c["cluster"].alias("cluster")))
+    return rows.join(numbered).withColumn("cluster", F.array_min(away)["cluster"]).drop("__centres")
+
+
 def cluster_types(types, k=CLUSTERS, column="BusinessType", vector_size=VECTOR_SIZE, stop_words=STOP_WORDS,
-                  seed=42, partitions=8):
+                  seed=42, partitions=None):
     """Cluster number of each type: mean word vector, then k-means. Sort by cluster at the sink.
 
     The tokens are written out once, training passes over them several times.

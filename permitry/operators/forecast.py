@@ -10,8 +10,10 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from permitry.schemas import FORECAST_YEARS
+from permitry.session import cut
 
 LABEL = "AvgLongevity"
+DEALS = 64
 
 # Settings of the regression.
 MAX_ITER, REG_PARAM, ELASTIC_NET, FOLDS = 1, 0.3, 0.8, 2
@@ -61,48 +63,50 @@ def evaluate(predictions, label=LABEL, prediction="prediction"):
     return {"rmse": of("rmse"), "mae": of("mae")}
 
 
-def error_table(predictions, label=LABEL, prediction="prediction", by=()):
-    """RMSE and MAE as a table, overall or for each group of ``by``."""
+def error_table(predictions, label=LABEL, prediction="prediction", by=(), weight=None):
+    """RMSE and MAE as a table, overall or for each group of ``by``; ``weight`` tells how many rows a row stands for."""
     error = F.col(prediction) - F.col(label)
+    times = F.lit(1) if weight is None else F.col(weight)
+    n = F.sum(times)
     return predictions.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(error * error)).alias("rmse"), F.avg(F.abs(error)).alias("mae"),
+        n.alias("n"), F.sqrt(F.sum(error * error * times) / n).alias("rmse"), (F.sum(F.abs(error) * times) / n).alias("mae"),
     )
 
 
 def fit_stability(df, max_iter=MAX_ITER, reg_params=(REG_PARAM,), elastic_nets=(ELASTIC_NET,), folds=FOLDS, seed=42,
                   one_hot_city=False, degree=None):
-    """Fit the features and the cross-validated regression, with errors on the training rows."""
-    stages = feature_stages(one_hot_city, degree)
-    rows = df.persist()
-    try:
-        features = Pipeline(stages=stages).fit(rows)
-        transformed = features.transform(rows)
-        column = "features" if degree is not None else "norm_features"
-        linear = LinearRegression(maxIter=max_iter, featuresCol=column, labelCol=LABEL)
-        grid = (
-            ParamGridBuilder().addGrid(linear.regParam, list(reg_params))
-            .addGrid(linear.elasticNetParam, list(elastic_nets)).build()
-        )
-        search = CrossValidator(
-            estimator=Pipeline(stages=[linear]), estimatorParamMaps=grid, numFolds=folds, seed=seed,
-            evaluator=RegressionEvaluator(metricName="rmse", labelCol=LABEL),
-        )
-        model = search.fit(transformed.select(column, LABEL))
-        metrics = evaluate(model.transform(transformed))
-    finally:
-        rows.unpersist()
-    return StabilityModel(features, model, metrics)
+    """Fit the features and the cross-validated regression, with errors on the training rows.
+
+    ``df`` is read several times: give a written table, as ``session.cut`` returns it.
+    """
+    features = Pipeline(stages=feature_stages(one_hot_city, degree)).fit(df)
+    transformed = features.transform(df)
+    column = "features" if degree is not None else "norm_features"
+    linear = LinearRegression(maxIter=max_iter, featuresCol=column, labelCol=LABEL)
+    grid = (
+        ParamGridBuilder().addGrid(linear.regParam, list(reg_params))
+        .addGrid(linear.elasticNetParam, list(elastic_nets)).build()
+    )
+    search = CrossValidator(
+        estimator=Pipeline(stages=[linear]), estimatorParamMaps=grid, numFolds=folds, seed=seed,
+        evaluator=RegressionEvaluator(metricName="rmse", labelCol=LABEL),
+    )
+    model = search.fit(transformed.select(column, LABEL))
+    return StabilityModel(features, model, evaluate(model.transform(transformed)))
 
 
 def future_grid(df, years=FORECAST_YEARS):
-    """One row per type, city and future year: the distinct types spread over the cities and years.
+    """One row per type, city and future year: every distinct type with every distinct city.
 
-    The cities are the few register tags of the table; they reach the types as one array value.
+    The table is read once, for its distinct pairs of type and city; both lists come from the written pairs. The
+    types are dealt to ``DEALS`` parts, each of which gets all cities.
     """
     first, last = years
-    types = df.select("BusinessType").distinct()
-    cities = df.select("DataSetOrigin").distinct().agg(F.array_sort(F.collect_list("DataSetOrigin")))
-    with_city = types.select("BusinessType", F.explode(cities.scalar()).alias("DataSetOrigin"))
+    pairs = cut(df.select("BusinessType", "DataSetOrigin").distinct())
+    types = pairs.select("BusinessType").distinct()
+    types = types.withColumn("__deal", F.pmod(F.xxhash64("BusinessType"), F.lit(DEALS)).cast("int"))
+    deals = F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))).alias("__deal")
+    with_city = types.join(pairs.select("DataSetOrigin").distinct().select("DataSetOrigin", deals), "__deal")
     years_of = F.explode(F.sequence(F.lit(first), F.lit(last)))
     return with_city.select("BusinessType", "DataSetOrigin", years_of.alias("year"))
 
@@ -110,12 +114,9 @@ def future_grid(df, years=FORECAST_YEARS):
 def with_last_count(grid, history):
     """Adds ``NumBusiness``: the last observed one of the city and type, else the city's mean."""
     last = history.groupBy("DataSetOrigin", "BusinessType").agg(F.max_by("NumBusiness", "year").alias("__last"))
-    means = history.groupBy("DataSetOrigin").agg(F.avg("NumBusiness").alias("mean")).agg(
-        F.map_from_entries(F.collect_list(F.struct("DataSetOrigin", "mean")))
-    )
-    joined = grid.join(last, ["DataSetOrigin", "BusinessType"], "left")
-    city_mean = F.try_element_at(means.scalar(), F.col("DataSetOrigin"))
-    count = F.coalesce(F.col("__last").cast("double"), city_mean)
+    means = history.groupBy("DataSetOrigin").agg(F.avg("NumBusiness").alias("__mean"))
+    joined = grid.join(last, ["DataSetOrigin", "BusinessType"], "left").join(means, "DataSetOrigin", "left")
+    count = F.coalesce(F.col("__last").cast("double"), "__mean")
     return joined.select("year", "BusinessType", "DataSetOrigin", count.alias("NumBusiness"))
 
 

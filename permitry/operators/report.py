@@ -22,11 +22,15 @@ def years_text(days):
 
 
 def pivot_cities(records, cities=(ORIGIN_A, ORIGIN_B), ordinal="ordinal"):
-    """One row per type (upper and lower case are one) with the years of each city; the last record wins."""
-    lowered = records.withColumn("BusinessType", F.lower("BusinessType"))
+    """One row per type (upper and lower case are one) with the years of each city; the last record wins.
+
+    Of records with the same ordinal the one whose type comes last in writing, then the larger one, wins. A type
+    with no record in any of ``cities`` is a row without years.
+    """
+    lowered = records.withColumns({"__kind": F.lower("BusinessType"), "__place": F.struct(ordinal, "BusinessType", "Stability")})
     days = [F.max_by(F.when(F.col("City") == c, F.col("Stability")),
-                     F.when(F.col("City") == c, F.col(ordinal))).alias(c) for c in cities]
-    latest = lowered.where(F.col("City").isin(list(cities))).groupBy("BusinessType").agg(*days)
+                     F.when(F.col("City") == c, F.col("__place"))).alias(c) for c in cities]
+    latest = lowered.groupBy(F.col("__kind").alias("BusinessType")).agg(*days)
     return latest.select("BusinessType", *[years_text(c).alias(c) for c in cities])
 
 

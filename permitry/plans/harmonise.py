@@ -32,7 +32,10 @@ def map_types(licences_a, licences_b, entity_labels, cluster_labels):
 
 
 def finish(licences_a, licences_b, map_rows):
-    """Step 7: all licences with cluster names as types, and the rows whose type has no entry."""
+    """Step 7: all licences with cluster names as types, and the rows whose type has no entry.
+
+    Both are plain joins with the map, which Spark broadcasts when it is small.
+    """
     mapping = type_map(map_rows)
     merged = merge_licences(licences_a, licences_b)
     return replace_types(merged, mapping), unmapped_rows(merged, mapping)

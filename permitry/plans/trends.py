@@ -5,6 +5,7 @@ from permitry.operators.clean import with_origin
 from permitry.operators.forecast import fit_stability, predict_trends
 from permitry.operators.report import stability_records
 from permitry.schemas import FORECAST_YEARS, ORIGIN_A, ORIGIN_B, STATISTICS_YEARS
+from permitry.session import cut
 from permitry.sinks.writers import write_metric
 
 SCOPES = {"all": None, "van": ORIGIN_A, "tor": ORIGIN_B}
@@ -25,20 +26,17 @@ def statistics(licences, years=STATISTICS_YEARS):
 
 def write_statistics(licences, out, scopes=("all", "van", "tor"), years=STATISTICS_YEARS):
     """Write every statistic of every scope under ``out``, from one pass over the licences."""
-    kept = metrics.compact(licences).persist()
-    try:
-        for scope in scopes:
-            origin = SCOPES[scope]
-            rows = kept if origin is None else with_origin(kept, origin)
-            for name, table in statistics(rows, years).items():
-                in_order = metrics.by_year(table) if "year" in table.columns else table.orderBy(table.columns[1])
-                write_metric(in_order, out, scope, name)
-    finally:
-        kept.unpersist()
+    kept = cut(metrics.compact(licences))
+    for scope in scopes:
+        origin = SCOPES[scope]
+        rows = kept if origin is None else with_origin(kept, origin)
+        for name, table in statistics(rows, years).items():
+            in_order = metrics.by_year(table) if "year" in table.columns else table.orderBy(table.columns[1])
+            write_metric(in_order, out, scope, name)
 
 
 def forecast(licences, years=STATISTICS_YEARS, future=FORECAST_YEARS, **fitting):
     """Longevity of issued licences per city, the fitted model and the published predictions."""
-    history = metrics.longevity_of_issued_per_city(licences, years).persist()
+    history = cut(metrics.longevity_of_issued_per_city(licences, years))
     model = fit_stability(history, **fitting)
     return history, model, stability_records(predict_trends(history, model, future))

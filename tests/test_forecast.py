@@ -45,6 +45,22 @@ def test_fit(history):
     assert table.rmse == pytest.approx(model.metrics["rmse"]) and table.mae == pytest.approx(model.metrics["mae"])
 
 
+def test_a_cache_of_the_caller_survives(history):
+    kept = history.select("*").persist()
+    try:
+        kept.count()
+        forecast.predict_trends(kept, forecast.fit_stability(kept), (2011, 2012)).count()
+        assert kept.storageLevel.useMemory
+    finally:
+        kept.unpersist()
+
+
+def test_weighted_errors(spark):
+    rows = spark.createDataFrame([("a", 1.0, 2.0, 3), ("a", 5.0, 2.0, 1)], "k string, AvgLongevity double, prediction double, n int")
+    spread = rows.withColumn("n", F.explode(F.sequence(F.lit(1), "n")))
+    assert forecast.error_table(rows, by=("k",), weight="n").collect() == forecast.error_table(spread, by=("k",)).collect()
+
+
 def test_fit_options(history):
     wide = forecast.fit_stability(history, one_hot_city=True, degree=2, max_iter=5)
     scored = wide.transform(history)
