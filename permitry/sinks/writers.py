@@ -48,6 +48,12 @@ def write_type_map(vocabularies, entities, clusters, path, single_file=False):
     write_csv(mapped, path, single_file, header=False)
 
 
+def write_predictions(records, path, single_file=False):
+    """Published predictions as JSON records BusinessType, City, Year, Stability, a line each."""
+    rows = records.select("BusinessType", "City", F.col("Year").cast("int").alias("Year"), "Stability")
+    (rows.coalesce(1) if single_file else rows).write.mode("overwrite").json(path)
+
+
 def write_final(df, path):
     """A final licence table with every cell quoted."""
     write_csv(df, path, quote_all=True)

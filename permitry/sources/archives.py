@@ -2,6 +2,7 @@
 
 import csv
 import io
+import re
 import zipfile
 
 import pandas as pd
@@ -11,49 +12,70 @@ from permitry.functions.dates import year_from_file_name
 from permitry.functions.text import drop_quotes
 from permitry.schemas import SNAPSHOT_TEXT
 
-BATCH = 5000
+BLOCK = 1 << 20
+#: Cells of a record that are parsed; a wanted column further right is refused.
+WIDTH = 128
+_RECORD = re.compile(r'(?:[^"\r\n]+|"[^"]*"?)+')
 
 
-def member_rows(content, columns):
-    """Rows of every CSV member of a zip archive: member name and the asked columns by header name.
+def _whole_records(block):
+    """Where the last record of a block ends that is surely complete: a line end outside quotes; 0 if there is none."""
+    end = block.rfind("\n") + 1
+    while end and block.count('"', 0, end) % 2:
+        end = block.rfind("\n", 0, end - 1) + 1
+    return end
 
-    Members are decoded as they are read; rows of a single field are dropped.
+
+def member_blocks(content):
+    """Blocks of records of every CSV member of a zip archive: member name, header cells and a list of records.
+
+    Members are decoded as they are read, a megabyte at a time; line breaks inside quotes belong to the record.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         for name in archive.namelist():
             if name.endswith("/"):
                 continue
             with archive.open(name) as raw:
-                lines = csv.reader(io.TextIOWrapper(raw, "utf-8", errors="replace", newline=""))
-                place = {column: i for i, column in enumerate(next(lines, []))}
-                spots = [place.get(column) for column in columns]
-                for cells in lines:
-                    if len(cells) > 1:
-                        yield [name.rsplit("/", 1)[-1]] + [
-                            cells[i] or None if i is not None and i < len(cells) else None for i in spots
-                        ]
+                text, header, held = io.TextIOWrapper(raw, "utf-8", errors="replace", newline=""), None, ""
+                while chunk := text.read(BLOCK):
+                    held += chunk
+                    end = _whole_records(held)
+                    records, held = _RECORD.findall(held[:end]), held[end:]
+                    if records and header is None:
+                        header = next(csv.reader([records.pop(0)]))
+                    if records:
+                        yield name.rsplit("/", 1)[-1], header, records
+                records = _RECORD.findall(held)
+                if records and header is not None:
+                    yield name.rsplit("/", 1)[-1], header, records
 
 
-def read_zipped_snapshots(spark, folder, default_year, columns=SNAPSHOT_TEXT, pattern="*.zip"):
+def read_zipped_snapshots(spark, folder, default_year, columns=SNAPSHOT_TEXT, pattern="*.zip", comma_to_space=False):
     """Yearly snapshots straight from the zip archives of a folder, in the form of the CSV reader.
 
-    Archives are spread over the tasks; an archive cannot be split.
+    Archives are spread over the tasks and only cut into records there; Spark parses the records. An archive cannot be
+    split, and one of more than 2 GB cannot be read as a file of bytes: unpack such a one first.
     """
     archives = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("content")
-    names = ["member", *columns]
 
     def unzip(frames):
         for frame in frames:
             for content in frame["content"]:
-                batch = []
-                for row in member_rows(content, columns):
-                    batch.append(row)
-                    if len(batch) == BATCH:
-                        yield pd.DataFrame(batch, columns=names, dtype=object)
-                        batch = []
-                if batch:
-                    yield pd.DataFrame(batch, columns=names, dtype=object)
-
-    rows = archives.mapInPandas(unzip, ", ".join(f"`{c}` string" for c in names))
+                for member, header, records in member_blocks(content):
+                    spots = [header.index(c) + 1 if c in header else 0 for c in columns]
+                    if max(spots) > WIDTH:
+                        raise ValueError(f"{member} has a wanted column behind the first {WIDTH}")
+                    yield pd.DataFrame({"member": member, "spots": [spots] * len(records), "record": records})
+
+    rows = archives.mapInPandas(unzip, "member string, spots array<int>, record string")
+    layout = ", ".join(f"_{i} string" for i in range(WIDTH))
+    cells = F.from_csv("record", layout, {"escape": '"', "mode": "PERMISSIVE"})
+    parsed = rows.withColumn("cells", cells).withColumn("cells", F.array(*[F.col(f"cells._{i}") for i in range(WIDTH)]))
+    # a record of a single field has no comma outside quotes
+    more = F.regexp_replace("record", '"[^"]*"', "").contains(",")
     year = year_from_file_name("member", default_year)
-    return rows.select(*[drop_quotes(c).alias(c) for c in columns], year.alias("YearRecorded"))
+    wanted = []
+    for i, name in enumerate(columns, 1):
+        spot = F.element_at("spots", i)
+        wanted.append(drop_quotes(F.when(spot > 0, F.element_at("cells", F.greatest(spot, F.lit(1)))), comma_to_space).alias(name))
+    return parsed.where(more).select(*wanted, year.alias("YearRecorded"))

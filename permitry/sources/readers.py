@@ -1,6 +1,9 @@
 """File readers. CSV cells are text unless a schema says otherwise; doubled quotes are understood."""
 
+import csv
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,9 +52,15 @@ def read_business_types(spark, path_a, path_b):
     return business_types(read_csv(spark, path_a)), business_types(read_csv(spark, path_b))
 
 
-def _file_names(spark, folder, pattern):
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
-    return sorted(row["path"] for row in listed.collect())
+def _headers(spark, folder, pattern):
+    """Header lines of a folder's files with the files that have them: one job over the files' first blocks."""
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder)
+    first = lines.where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("path"), F.struct(F.monotonically_increasing_id().alias("row"), "value").alias("line"))
+    headers = first.groupBy("path").agg(F.min("line.row").alias("row"), F.min("line").alias("line"))
+    grouped = headers.groupBy(F.col("line.value").alias("header")).agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    # the paths come as web addresses
+    return [(row["header"], [unquote(path) for path in row["paths"]]) for row in grouped.orderBy("header").collect()]
 
 
 def _more_than_one_field(first_columns):
@@ -67,11 +76,6 @@ def read_yearly_snapshots(spark, folder, default_year, pattern="*.csv", comma_to
     Files are grouped by header, each group is read in one scan, and missing columns become NULL. Rows of
     a single field are dropped, double quotes deleted; the draft form also turns commas into spaces.
     """
-    groups = {}
-    for path in _file_names(spark, folder, pattern):
-        header = tuple(_csv(spark, multi_line, header=True).csv(path).columns)
-        groups.setdefault(header, []).append(path)
-
     def group(header, paths):
         layout = T.StructType([T.StructField(c, T.StringType()) for c in (*header, _RAW)])
         rows = (
@@ -83,7 +87,7 @@ def read_yearly_snapshots(spark, folder, default_year, pattern="*.csv", comma_to
         cells = [drop_quotes(F.col(f"`{c}`"), comma_to_space).alias(c) for c in header]
         return kept.select(*cells, year.alias("YearRecorded"))
 
-    tables = [group(header, paths) for header, paths in groups.items()]
+    tables = [group(next(csv.reader([header])), paths) for header, paths in _headers(spark, folder, pattern)]
     if not tables:
         raise FileNotFoundError(f"no {pattern} files in {folder}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
@@ -98,12 +102,9 @@ def typed_snapshots(df, columns=SNAPSHOT_TEXT):
     return df.select(*[cell(c) for c in columns], "YearRecorded")
 
 
-def read_stop_words(spark, path, most=10_000):
-    """Stop words, one a line, as a list; a file longer than a word list can be is refused."""
-    lines = [row["value"] for row in spark.read.text(path).limit(most + 1).collect()]
-    if len(lines) > most:
-        raise ValueError(f"{path} has more than {most} lines")
-    return sorted({line for line in lines if line})
+def read_stop_words(spark, path):
+    """Stop words, one a line, as a table ``word``; ``word_counts`` and ``token_table`` take it of any length."""
+    return spark.read.text(path).where("value <> ''").select(F.col("value").alias("word")).distinct()
 
 
 def with_ordinal(df):
@@ -131,9 +132,9 @@ def read_type_map(spark, path):
     return read_labels(spark, path, ["type", "cluster_name"]).fillna("", ["cluster_name"])
 
 
-def read_predictions(spark, path):
-    """Published predictions, a JSON array, with an ``ordinal``."""
-    return with_ordinal(spark.read.schema(PREDICTIONS).option("multiLine", True).json(path))
+def read_predictions(spark, path, lines=False):
+    """Published predictions with an ``ordinal``: a JSON array, or with ``lines`` a record a line."""
+    return with_ordinal(spark.read.schema(PREDICTIONS).option("multiLine", not lines).json(path))
 
 
 def read_word_vectors(spark, path):
@@ -142,8 +143,7 @@ def read_word_vectors(spark, path):
 
 
 def read_address_cache(spark, path, keys=ADDRESS_KEYS):
-    """The newest version of the address cache."""
-    layout = address_cache(keys).add("version", T.IntegerType())
-    versions = spark.read.schema(layout).parquet(path)
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.where(F.col("version") == newest).drop("version")
+    """The newest version of the address cache; versions are told by the names of their folders."""
+    files = spark.read.schema(address_cache(keys)).parquet(path).inputFiles()
+    newest = max(int(found[1]) for found in (re.search(r"/version=(\d+)/[^/]*$", name) for name in files) if found)
+    return spark.read.schema(address_cache(keys)).parquet(f"{path}/version={newest}")

@@ -10,7 +10,7 @@ from permitry.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores=8, partitions=4)
+    session = local_session(cores=int(os.environ.get("TEST_CORES", "8")), partitions=4)
     yield session
     session.stop()
 

@@ -1,5 +1,6 @@
 """Readers and writers."""
 
+import io
 import json
 import zipfile
 
@@ -79,8 +80,32 @@ def test_zipped_snapshots(spark, rows, folder, tmp_path):
     assert rows(found) == rows(plain)
 
 
+@pytest.mark.parametrize("size", [5, 12, 1000])
+def test_zip_records_across_blocks(size, monkeypatch):
+    monkeypatch.setattr(archives, "BLOCK", size)
+    records = ['Ann,"1\n2"', "B,", '"a ""b"", c",x', "single", '"line\r\nbreak",y']
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as archive:
+        archive.writestr("sub/2012.csv", "\r\n".join(["BusinessName,City", *records]) + "\r\n\r\n")
+        archive.writestr("empty.csv", "")
+    found = list(archives.member_blocks(content.getvalue()))
+    assert [r for _, _, block in found for r in block] == records
+    assert {(name, tuple(header)) for name, header, _ in found} == {("2012.csv", ("BusinessName", "City"))}
+
+
+def test_zip_draft_and_width(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("2012.csv", 'BusinessName,City\n"A, ""B""",V\n')
+    found = archives.read_zipped_snapshots(spark, str(tmp_path), 2017, ["BusinessName"], comma_to_space=True)
+    assert [r.BusinessName for r in found.collect()] == ["A  B"]
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("2012.csv", ",".join([f"c{i}" for i in range(archives.WIDTH + 1)]) + "\n1,2\n")
+    with pytest.raises(Exception, match="wanted column"):
+        archives.read_zipped_snapshots(spark, str(tmp_path), 2017, [f"c{archives.WIDTH}"]).collect()
+
+
 def test_zip_members_in_batches(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(archives, "BATCH", 3)
+    monkeypatch.setattr(archives, "BLOCK", 7)
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
         archive.writestr("2012.csv", "\n".join(["BusinessName,City", *[f"N{i},V" for i in range(10)]]))
     found = archives.read_zipped_snapshots(spark, str(tmp_path), 2017, ["City", "BusinessName", "Status"])
@@ -176,9 +201,11 @@ def test_cluster_labels_and_type_map(spark, rows, tmp_path):
 
 def test_stop_words(spark, tmp_path):
     (tmp_path / "s.txt").write_text("\n".join(STOP_WORDS) + "\n")
-    assert readers.read_stop_words(spark, str(tmp_path / "s.txt")) == sorted(set(STOP_WORDS))
-    with pytest.raises(ValueError):
-        readers.read_stop_words(spark, str(tmp_path / "s.txt"), most=10)
+    table = readers.read_stop_words(spark, str(tmp_path / "s.txt"))
+    assert sorted(r.word for r in table.collect()) == sorted(set(STOP_WORDS))
+    texts = spark.createDataFrame([("The car and the Car wash",), ("of the",), (None,), ("x car x",)], "BusinessType string")
+    for count in (vocabulary.word_counts, vocabulary.token_table):
+        assert sorted(map(str, count(texts, stop_words=table).collect())) == sorted(map(str, count(texts).collect()))
 
 
 def test_predictions(spark, rows, tmp_path):
@@ -186,6 +213,9 @@ def test_predictions(spark, rows, tmp_path):
                {"BusinessType": "SPA", "City": "Van", "Year": 2017, "Stability": 730.0}]
     (tmp_path / "p.json").write_text(json.dumps(records, indent=2))
     found = readers.read_predictions(spark, str(tmp_path / "p.json"))
+    writers.write_predictions(found, str(tmp_path / "out"), single_file=True)
+    again = readers.read_predictions(spark, str(tmp_path / "out"), lines=True)
+    assert rows(again.drop("ordinal")) == rows(found.drop("ordinal"))
     assert rows(found, "BusinessType", "Year", "Stability") == [("SPA", 2017, 730.0), ("Spa", 2017, 365.0)]
     assert found.orderBy("ordinal").first().Stability == 365.0
 
