@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import importlib
+import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from permitry.functions import dates, geo, text, vectors
 from permitry.functions.bands import stability_band
 from permitry.operators import address, forecast, metrics, project, report, similarity, vocabulary
-from permitry.operators.clean import clean_licences, with_longevity
-from permitry.operators.cluster import cluster_types
-from permitry.operators.skew import lookup_join
+from permitry.operators.clean import clean_licences, with_longevity, with_origin
+from permitry.operators.cluster import cluster_types, mean_vectors, nearest_centre
 from permitry.operators.squeeze import squeeze
 from permitry.plans import starview as star
+from permitry.schemas import ADDRESS_KEYS_SPLIT
 from permitry.session import cut
 
 
@@ -36,7 +39,7 @@ YEARS = (1995, 2001)
 FUTURE = (2002, 2011)
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
-ENTRY_FOLDER = "/root/testdata/sf0.001"
+ENTRY_FOLDER = os.environ.get("PERMITRY_TABLES", "/root/testdata/sf0.001")
 
 
 def _day(name):
@@ -132,7 +135,7 @@ def _register(spark, sf):
     """Orders laid out as the positional register; open orders have no expiry, names hold quotes."""
     orders = star.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
                                                     "o_orderpriority")
-    rows = lookup_join(orders, star.businesses(spark, sf, nation=True), "o_custkey", "inner")
+    rows = orders.join(star.businesses(spark, sf, nation=True), "o_custkey")
     ended = rows.join(star.last_shipments(spark, sf), "o_orderkey", "left")
     style = "dd-MMM-yyyy"
     cells = {
@@ -149,7 +152,11 @@ def register_projection(spark, sf):
 
 
 def clean_register_dates(spark, sf):
-    rows = clean_licences(project.licences_from_register(_register(spark, sf), cutoff=None))
+    """Some issue dates are too short or no dates, some names are missing: such licences are dropped."""
+    rows = project.licences_from_register(_register(spark, sf), cutoff=None)
+    day, nameless = F.col("IssuedDate"), (F.col("Status") == "Open") & (F.col("CityProvince") == "CHINA")
+    issued = F.when(day.startswith("05"), F.substring(day, 1, 7)).when(day.startswith("11"), "not a date").otherwise(day)
+    rows = clean_licences(rows.withColumns({"IssuedDate": issued, "BusinessName": F.when(~nameless, F.col("BusinessName"))}))
     return rows.select("BusinessName", "Status", _day("IssuedDate"), _day("ExpiryDate"),
                        "IssuedYear", F.coalesce("ExpiryYear", F.lit(0)).alias("ExpiryYear"))
 
@@ -168,11 +175,14 @@ def parse_dates(spark, sf):
 
 
 def missing_with_address(spark, sf):
-    return project.unknown_addresses(star.snapshots(spark, sf))
+    """Every fifth order has no address part at all."""
+    there = F.col("o_orderkey") % 5 != 0
+    rows = star.snapshots(spark, sf)
+    return project.unknown_addresses(rows.withColumns({p: F.when(there, F.col(p)) for p in ADDRESS_KEYS_SPLIT}))
 
 
 def unknown_count(spark, sf):
-    found = project.unknown_addresses(star.snapshots(spark, sf))
+    found = missing_with_address(spark, sf)
     return found.agg(F.count(F.lit(1)).alias("UnknownAddresses"))
 
 
@@ -213,7 +223,7 @@ def _addressed_rows(spark, sf):
     """
     orders = star.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderstatus",
                                                     "o_totalprice")
-    rows = lookup_join(orders, _addresses(spark, sf), "c_custkey", "inner")
+    rows = orders.join(_addresses(spark, sf), "c_custkey")
     known = F.col("o_orderstatus") != "P"
     ordered = rows.select(
         F.col("o_orderkey").alias("id"), "HouseStreet", "CityProvince", "PostalCode",
@@ -230,8 +240,7 @@ def _addressed_rows(spark, sf):
 
 
 def cache_fill(spark, sf):
-    # filling reads its rows in two branches, so the joined rows are written once
-    return address.fill_coordinates(cut(_addressed_rows(spark, sf)), _cache(spark, sf))
+    return address.fill_coordinates(_addressed_rows(spark, sf), _cache(spark, sf))
 
 
 def _insert(mode):
@@ -291,7 +300,7 @@ def token_counts_documents(spark, sf):
 
 
 def jaccard_pairs(spark, sf):
-    return similarity.jaccard_pairs(star.brand_vocabulary(spark, sf), star.type_vocabulary(spark, sf))
+    return similarity.jaccard_pairs(star.brand_vocabulary(spark, sf), star.type_vocabulary(spark, sf), at_least=0.2)
 
 
 def jaccard_pairs_half(spark, sf):
@@ -358,7 +367,7 @@ def apply_type_map(spark, sf):
     """Line items typed by part, type replaced by its label cluster where the part is labelled."""
     lines = star.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     parts = star.part_labels(spark, sf).select(F.col("ordinal").alias("l_partkey"), F.col("brand").alias("BusinessType"))
-    facts = lookup_join(lines, parts, "l_partkey", "inner")
+    facts = lines.join(parts, "l_partkey")
     return vocabulary.replace_types(facts, _clusters(spark, sf)).groupBy("BusinessType").agg(F.count(F.lit(1)).alias("Rows"))
 
 
@@ -386,7 +395,7 @@ def merged_vocabulary(spark, sf):
 
 
 def cluster_business_types(spark, sf):
-    return cluster_types(vocab_union(spark, sf), k=30, vector_size=50)
+    return cluster_types(vocab_union(spark, sf))
 
 
 # ---- forecast and report
@@ -397,7 +406,7 @@ def future_grid(spark, sf):
 
 
 def future_counts(spark, sf):
-    history = longevity_issued_by_city(spark, sf)
+    history = cut(longevity_issued_by_city(spark, sf))
     return forecast.with_last_count(forecast.future_grid(history, FUTURE), history)
 
 
@@ -414,28 +423,28 @@ def stability_pivot(spark, sf):
 
 def stability_bands(spark, sf):
     rows = longevity_issued_by_city(spark, sf)
-    years = F.round(F.col("AvgLongevityYears") * 4, 2)
+    years = F.round("AvgLongevityYears", 2)
     return rows.select("DataSetOrigin", "year", "BusinessType", years.alias("Years"), stability_band(years).alias("Band"))
 
 
 def error_metrics(spark, sf):
     """Errors of predicting every licence's longevity by the mean of its group and year."""
     rows = with_longevity(star.licences(spark, sf), F.col("IssuedYear") + 1).where(F.col("Longevity") > 0)
-    means = rows.groupBy("BusinessType", "IssuedYear").agg(
-        (F.sum("Longevity").cast("double") / F.count(F.lit(1))).alias("prediction"))
-    scored = lookup_join(rows.select("BusinessType", "IssuedYear", "Longevity"), means, ["BusinessType", "IssuedYear"], "inner")
-    errors = forecast.error_table(scored, "Longevity", by=("BusinessType",))
+    days = rows.groupBy("BusinessType", "IssuedYear", "Longevity").agg(F.count(F.lit(1)).alias("rows"))
+    group = Window.partitionBy("BusinessType", "IssuedYear")
+    mean = F.sum(F.col("Longevity") * F.col("rows")).over(group).cast("double") / F.sum("rows").over(group)
+    errors = forecast.error_table(days.withColumn("prediction", mean), "Longevity", by=("BusinessType",), weight="rows")
     return errors.select("BusinessType", "n", F.round("rmse", 6).alias("rmse"), F.round("mae", 6).alias("mae"))
 
 
 def fit_stability(spark, sf):
-    history = longevity_issued_by_city(spark, sf)
+    history = cut(longevity_issued_by_city(spark, sf))
     model = forecast.fit_stability(history)
     return model.transform(history).select("DataSetOrigin", "year", "BusinessType", "NumBusiness", "AvgLongevity", "prediction")
 
 
 def predict_trends(spark, sf):
-    history = longevity_issued_by_city(spark, sf)
+    history = cut(longevity_issued_by_city(spark, sf))
     model = forecast.fit_stability(history)
     return forecast.predict_trends(history, model, FUTURE)
 
@@ -450,6 +459,95 @@ def regression_metrics(spark, sf):
     return forecast.error_table(fit_stability(spark, sf), by=("DataSetOrigin",))
 
 
+# ---- the deterministic steps of training, and small rules
+
+
+def feature_vectors(spark, sf):
+    """Inputs of the regression: indices by frequency, one-hot slot of the type, parts of the unit vector."""
+    history = cut(longevity_issued_by_city(spark, sf))
+    rows = Pipeline(stages=forecast.feature_stages()).fit(history).transform(history)
+    unit = vector_to_array("norm_features")
+    rows = rows.withColumns({"unit": unit, "hot": vector_to_array("BusinessTypeHot")})
+    return rows.select(
+        "DataSetOrigin", "BusinessType", "year", "NumBusiness", "DataSetOriginIndex", "BusinessTypeIndex",
+        F.array_position("hot", 1.0).cast("int").alias("HotSlot"), F.round(F.element_at("unit", 1), 9).alias("CityPart"),
+        F.round(F.element_at("unit", -2), 9).alias("YearPart"), F.round(F.element_at("unit", -1), 9).alias("NumberPart"))
+
+
+def type_vectors(spark, sf):
+    """Mean word vector of every type, its first two parts and its length."""
+    rows = vocabulary.token_table(star.type_vocabulary(spark, sf))
+    found = mean_vectors(rows, star.word_vectors(spark, sf, vocabulary.word_counts(star.type_vocabulary(spark, sf))))
+    return found.select(F.col("business").alias("BusinessType"), F.round(F.element_at("vec", 1), 6).alias("First"),
+                        F.round(F.element_at("vec", 2), 6).alias("Second"), F.round(vectors.norm("vec"), 6).alias("Length"))
+
+
+def nearest_cluster(spark, sf):
+    """Every embedding with the nearest of thirty given centres."""
+    rows = star.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    centres = rows.where(F.col("vec_id") < 30).select(F.col("vec_id").alias("cluster"), F.col("vec").alias("centre"))
+    return nearest_centre(rows, centres).select("vec_id", "cluster")
+
+
+def near_vectors(spark, sf):
+    """Pairs of embeddings that are near each other, as the word-mover join looks for near words."""
+    rows = star.table(spark, sf, "embeddings")
+    lexicon = rows.select(F.col("vec_id").cast("string").alias("word"), F.col("embedding").alias("vec"), F.lit(1).alias("in_left"),
+                          F.lit(1).alias("in_right"), vectors.norm("embedding").alias("at"))
+    found = similarity.near_words(lexicon, 0.9)
+    return found.select(F.col("near").cast("bigint").alias("near"), F.col("word").cast("bigint").alias("vec_id"))
+
+
+def licences_of_city(spark, sf):
+    return with_origin(star.licences(spark, sf, expiry=False, region=True), "ASIA").select("o_orderkey", "DataSetOrigin", "Status")
+
+
+def merged_licences(spark, sf):
+    """Licences of both registers in one table."""
+    return project.merge_licences(canonical_projection(spark, sf), register_projection(spark, sf))
+
+
+def cache_fill_six_keys(spark, sf):
+    """As ``cache_fill`` with addresses of six parts, one of them never known."""
+    six = {"House": "HouseStreet", "Street": "c_mktsegment", "City": "CityProvince", "Province": "c_custkey", "PostalCode": "PostalCode"}
+
+    def parts(rows, country):
+        return rows.withColumns({part: F.col(source).cast("string") for part, source in six.items()}).withColumn("Country", country)
+
+    orders = star.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderstatus", "o_totalprice")
+    rows = parts(orders.join(_addresses(spark, sf), "c_custkey"), F.lit(None).cast("string")).select(
+        F.col("o_orderkey").alias("id"), *ADDRESS_KEYS_SPLIT, F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("Latitude"),
+        F.when(F.col("o_orderstatus") == "O", -F.col("o_totalprice")).alias("Longitude"))
+    known = F.col("c_acctbal") > 0
+    cache = parts(_addresses(spark, sf), F.lit("")).select(
+        known.alias("IsUpdated"), *ADDRESS_KEYS_SPLIT, F.when(known, F.col("c_acctbal")).alias("Latitude"),
+        F.when(known, -F.col("c_acctbal")).alias("Longitude"))
+    return address.fill_coordinates(rows, cache, ADDRESS_KEYS_SPLIT).select("id", "House", "Latitude", "Longitude")
+
+
+def quote_rules(spark, sf):
+    quoted = F.concat(F.lit('"'), "p_name", F.lit('", "'), "p_type", F.lit('",'), "p_brand")
+    return star.table(spark, sf, "part").select(
+        "p_partkey", text.quotes_to_space(quoted).alias("NoQuotes"), text.separators_to_space(quoted).alias("NoSeparators"),
+        text.drop_quotes(quoted).alias("Dropped"), text.drop_quotes(quoted, comma_to_space=True).alias("Draft"))
+
+
+def year_from_name(spark, sf):
+    """Years of made-up file names; every third has none."""
+    day = F.date_format("o_orderdate", "yyyy")
+    name = F.when(F.col("o_orderkey") % 3 == 0, "licences.csv").otherwise(F.concat(day, F.lit("business_licences.csv")))
+    rows = star.table(spark, sf, "orders").select("o_orderkey", name.alias("Name"))
+    return rows.select("o_orderkey", dates.year_from_file_name("Name", 2017).cast("int").alias("Year"))
+
+
+def most_frequent_words(spark, sf):
+    return vocabulary.by_count(token_counts_documents(spark, sf)).limit(100)
+
+
+def largest_groups_by_year(spark, sf):
+    return metrics.by_year(longevity_issued(spark, sf), "BusinessType").select("year", "BusinessType", "NumBusiness").limit(20)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: longevity of issued licences by city, year and type."""
     return longevity_issued_by_city(spark, ENTRY_FOLDER)
@@ -464,7 +562,9 @@ _QUERIES = [
     jaccard_pairs_half, jaccard_top_n, rwmd_pairs, rwmd_top_n, word_cosine, first_wins, last_wins, entity_map,
     business_types, apply_type_map, unmapped_types, type_to_cluster, vocab_union, vocab_append, merged_vocabulary,
     cluster_business_types, future_grid, future_counts, stability_pivot, stability_bands, error_metrics, fit_stability,
-    predict_trends, stability_report, regression_metrics,
+    predict_trends, stability_report, regression_metrics, feature_vectors, type_vectors, nearest_cluster, near_vectors,
+    licences_of_city, merged_licences, cache_fill_six_keys, quote_rules, year_from_name, most_frequent_words,
+    largest_groups_by_year,
 ]
 
 
@@ -491,7 +591,7 @@ lic AS (
          c_mktsegment AS BusinessType, o_orderpriority AS BusinessSubType,
          CASE o_orderstatus WHEN 'O' THEN 'Issued' WHEN 'F' THEN 'Cancelled' ELSE 'Pending' END AS Status,
          CAST(o_orderdate AS DATE) AS IssuedDate,
-         CASE WHEN o_orderstatus <> 'O' THEN shipped END AS ExpiryDate,
+         CASE WHEN o_orderstatus <> 'O' OR o_orderkey % 4 = 0 THEN shipped END AS ExpiryDate,
          CAST(year(o_orderdate) AS INTEGER) AS IssuedYear
   FROM orders JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
@@ -638,7 +738,7 @@ def _own_sql():
     unknown = """SELECT House, Street, City, Province, Country, PostalCode, LocalArea FROM (
         SELECT CAST(o_orderkey AS VARCHAR) AS House, BusinessSubType AS Street, n_name AS City, DataSetOrigin AS Province,
                CAST(NULL AS VARCHAR) AS Country, CAST(n_nationkey AS VARCHAR) AS PostalCode, CAST(NULL AS VARCHAR) AS LocalArea
-        FROM lic WHERE Status = 'Pending')"""
+        FROM lic WHERE Status = 'Pending' AND o_orderkey % 5 <> 0)"""
     return {
         "opens_per_year": f"""WITH {_LIC} SELECT BusinessType, IssuedYear, count(*) AS NumOpens FROM lic
             WHERE Status IN {_ISSUED} GROUP BY ALL""",
@@ -675,15 +775,17 @@ def _own_sql():
         "clean_register_dates": f"""WITH {_REGISTER} SELECT head || ' ' || tail AS BusinessName,
             CASE WHEN expiry IS NULL THEN 'Open' ELSE 'Closed' END AS Status, CAST(issued_day AS VARCHAR) AS IssuedDate,
             CAST(expiry_day AS VARCHAR) AS ExpiryDate, CAST(year(issued_day) AS INTEGER) AS IssuedYear,
-            CAST(coalesce(year(expiry_day), 0) AS INTEGER) AS ExpiryYear FROM reg""",
+            CAST(coalesce(year(expiry_day), 0) AS INTEGER) AS ExpiryYear FROM reg
+            WHERE day(issued_day) NOT IN (5, 11) AND NOT (expiry IS NULL AND city = 'CHINA')""",
         "parse_dates": f"""WITH w AS (SELECT o_orderkey, {written} AS Written FROM orders),
             p AS (SELECT *, CAST(coalesce(try_strptime(substr(Written, 1, 10), '%Y-%m-%d'), try_strptime(Written, '%d-%b-%Y')) AS DATE) AS d FROM w)
             SELECT o_orderkey, Written, CAST(d AS VARCHAR) AS Parsed, CAST(coalesce(year(d), 0) AS INTEGER) AS Year FROM p""",
         "missing_with_address": f"WITH {_LIC} {unknown}",
         "unknown_count": f"WITH {_LIC} SELECT count(*) AS UnknownAddresses FROM ({unknown})",
         "number_check": """SELECT event_id, try_cast(json_extract_string(props, '$.k') AS DOUBLE) IS NOT NULL AS KIsNumber,
-            try_cast(event_type AS DOUBLE) IS NOT NULL AS TypeIsNumber, value IS NOT NULL AS ExponentIsNumber,
-            FALSE AS TailIsNumber FROM events""",
+            try_cast(event_type AS DOUBLE) IS NOT NULL AS TypeIsNumber, 
+            try_cast('-' || CAST(value AS VARCHAR) || 'e3' AS DOUBLE) IS NOT NULL AS ExponentIsNumber,
+            try_cast(json_extract_string(props, '$.k') || ' x' AS DOUBLE) IS NOT NULL AS TailIsNumber FROM events""",
         "cache_fill": f"""WITH {_ADDRESS} SELECT id, a.HouseStreet, a.CityProvince, a.PostalCode,
               CASE WHEN (a.Latitude IS NULL OR a.Longitude IS NULL) AND (c.Latitude <> 0 OR c.Longitude <> 0) THEN c.Latitude ELSE a.Latitude END AS Latitude,
               CASE WHEN (a.Latitude IS NULL OR a.Longitude IS NULL) AND (c.Latitude <> 0 OR c.Longitude <> 0) THEN c.Longitude ELSE a.Longitude END AS Longitude
@@ -713,7 +815,7 @@ def _own_sql():
         "token_counts": f"WITH {_TYPES} " + words_count.format(
             _words_sql("(SELECT * FROM types UNION ALL SELECT * FROM brands)", "BusinessType")),
         "token_counts_documents": words_count.format(_words_sql("documents", "text")),
-        "jaccard_pairs": _jaccard_sql(""),
+        "jaccard_pairs": _jaccard_sql("WHERE score >= 0.2"),
         "jaccard_pairs_half": _jaccard_sql("WHERE score >= 0.5"),
         "jaccard_top_n": _jaccard_sql('ORDER BY score DESC, "left", "right" LIMIT 1000'),
         "rwmd_pairs": _rwmd_sql("WHERE distance <= 0.75"),
@@ -744,7 +846,7 @@ def _own_sql():
         "stability_pivot": f"""WITH hist AS ({_ISSUED_BY_CITY}), marked AS (SELECT *,
               year = max(year) OVER (PARTITION BY DataSetOrigin, BusinessType) AS newest FROM hist)
             SELECT lower(BusinessType) AS BusinessType, {pivot} FROM marked GROUP BY 1""",
-        "stability_bands": f"""WITH hist AS ({_ISSUED_BY_CITY}), r AS (SELECT *, round(AvgLongevityYears * 4, 2) AS Years FROM hist)
+        "stability_bands": f"""WITH hist AS ({_ISSUED_BY_CITY}), r AS (SELECT *, round(AvgLongevityYears, 2) AS Years FROM hist)
             SELECT DataSetOrigin, year, BusinessType, Years, CASE WHEN least(floor(Years + 0.5), 15) < 5 THEN 'red'
               WHEN least(floor(Years + 0.5), 15) < 10 THEN 'yellow' ELSE 'green' END AS Band FROM r""",
         "error_metrics": f"""WITH {_LIC}, aged AS (SELECT BusinessType, IssuedYear, date_diff('day', IssuedDate,
@@ -753,4 +855,57 @@ def _own_sql():
               WINDOW w AS (PARTITION BY BusinessType, IssuedYear))
             SELECT BusinessType, count(*) AS n, round(sqrt(avg((p - d) * (p - d))), 6) AS rmse, round(avg(abs(p - d)), 6) AS mae
             FROM scored GROUP BY BusinessType""",
+    } | _more_sql()
+
+
+def _more_sql():
+    """SQL of the deterministic steps of training and of the small rules."""
+    def by_frequency(column):
+        return f"(SELECT {column}, CAST(row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS DOUBLE) AS i FROM hist GROUP BY {column})"
+
+    sign = "o_orderstatus = 'O'"
+    quoted = "('\"' || p_name || '\", \"' || p_type || '\",' || p_brand)"
+    return {
+        "feature_vectors": f"""WITH hist AS ({_ISSUED_BY_CITY}),
+            f AS (SELECT hist.*, c.i AS ci, t.i AS ti, (SELECT count(DISTINCT BusinessType) FROM hist) AS kinds
+              FROM hist JOIN {by_frequency('DataSetOrigin')} c USING (DataSetOrigin) JOIN {by_frequency('BusinessType')} t USING (BusinessType)),
+            g AS (SELECT *, sqrt(ci * ci + CASE WHEN ti < kinds - 1 THEN 1 ELSE 0 END + CAST(year AS DOUBLE) * year
+              + CAST(NumBusiness AS DOUBLE) * NumBusiness) AS long FROM f)
+            SELECT DataSetOrigin, BusinessType, year, NumBusiness, ci AS DataSetOriginIndex, ti AS BusinessTypeIndex,
+              CAST(CASE WHEN ti < kinds - 1 THEN ti + 1 ELSE 0 END AS INTEGER) AS HotSlot, round(ci / long, 9) AS CityPart,
+              round(year / long, 9) AS YearPart, round(NumBusiness / long, 9) AS NumberPart FROM g""",
+        "type_vectors": f"""WITH {_TYPES}, w AS ({_words_sql('types', 'BusinessType')}),
+            vec AS (SELECT word, CAST(embedding AS DOUBLE[]) AS v FROM (SELECT DISTINCT word FROM w)
+              JOIN embeddings ON vec_id = CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % (SELECT count(*) FROM embeddings)),
+            parts AS (SELECT t, generate_subscripts(v, 1) AS k, unnest(v) AS x FROM w JOIN vec USING (word)),
+            mean AS (SELECT t, k, sum(x) / (SELECT count(*) FROM w AS own WHERE own.t = parts.t) AS x FROM parts GROUP BY t, k)
+            SELECT t AS BusinessType, round(max(x) FILTER (k = 1), 6) AS First, round(max(x) FILTER (k = 2), 6) AS Second,
+              round(sqrt(sum(x * x)), 6) AS Length FROM mean GROUP BY t""",
+        "nearest_cluster": """SELECT e.vec_id, arg_min(c.vec_id, list_distance(CAST(e.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[]))) AS cluster
+            FROM embeddings e CROSS JOIN (SELECT * FROM embeddings WHERE vec_id < 30) c GROUP BY e.vec_id""",
+        "near_vectors": """SELECT a.vec_id AS near, b.vec_id FROM embeddings a CROSS JOIN embeddings b
+            WHERE list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) <= 0.9""",
+        "licences_of_city": f"WITH {_LIC} SELECT o_orderkey, DataSetOrigin, Status FROM lic WHERE DataSetOrigin = 'ASIA'",
+        "cache_fill_six_keys": f"""SELECT o_orderkey AS id, c_name AS House,
+              CASE WHEN NOT ({sign}) AND c_acctbal > 0 THEN c_acctbal WHEN o_orderstatus <> 'P' THEN o_totalprice END AS Latitude,
+              CASE WHEN NOT ({sign}) AND c_acctbal > 0 THEN -c_acctbal WHEN {sign} THEN -o_totalprice END AS Longitude
+            FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+        "quote_rules": f"""SELECT p_partkey, translate({quoted}, '\"', ' ') AS NoQuotes, translate({quoted}, ',\"', '  ') AS NoSeparators,
+              replace({quoted}, '\"', '') AS Dropped, replace(replace({quoted}, '\"', ''), ',', ' ') AS Draft FROM part""",
+        "year_from_name": """SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 2017 ELSE year(o_orderdate) END AS INTEGER) AS Year
+            FROM orders""",
+        "most_frequent_words": f"""SELECT word, count(*) AS "count" FROM ({_words_sql('documents', 'text')}) GROUP BY word
+            ORDER BY "count" DESC, word LIMIT 100""",
+        "largest_groups_by_year": f"""SELECT year, BusinessType, NumBusiness FROM ({_longevity_sql(f"Status IN {_ISSUED}")})
+            ORDER BY year, NumBusiness DESC, BusinessType LIMIT 20""",
+        "merged_licences": f"""WITH {_LIC}, s AS ({_squeeze_sql(_SQUEEZE_KEY)}), reg AS (
+              SELECT c_mktsegment AS type, ' ' || c_name || ' ' AS tail, strftime(o_orderdate, '%d-%b-%Y') AS issued,
+                     CAST(o_orderkey AS VARCHAR) AS head, o_orderpriority AS street, n_name AS city, CAST(n_nationkey AS VARCHAR) AS postal,
+                     CASE WHEN o_orderstatus <> 'O' THEN strftime(shipped, '%d-%b-%Y') END AS expiry
+              FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+              LEFT JOIN ship ON l_orderkey = o_orderkey)
+            SELECT 'Van' AS DataSetOrigin, BusinessName, LastStatus AS Status, IssueDate AS IssuedDate, ExpiryDate, BusinessType,
+                   House || ' ' || Street AS HouseStreet, City || ',' || Province AS CityProvince, PostalCode, Latitude, Longitude FROM s
+            UNION ALL SELECT 'Tor', head || ' ' || tail, CASE WHEN expiry IS NULL THEN 'Open' ELSE 'Closed' END, issued,
+                   coalesce(expiry, '31-DEC-2017'), type, street, city, postal, NULL, NULL FROM reg""",
     }
