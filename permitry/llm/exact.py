@@ -20,6 +20,7 @@ untouched, whatever their names.
 
 from pyspark.sql import functions as F
 
+from permitry.llm.rows import numbered
 from permitry.session import written
 
 SHARE = 1000
@@ -62,20 +63,21 @@ def verdicts(rows):
         F.coalesce(F.col("first.row") == F.col("row"), F.lit(True)).alias("kept"), "digest")
 
 
-def _numbered(docs, id_column, text_column, *more):
-    digest = F.sha2(normalised(F.col(text_column)), 256).alias("digest")
-    return written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"), digest, *more))
+def _digests(numbered_rows, id_column, text_column):
+    """Written rows (row, id, digest): the texts are read once."""
+    digest = F.sha2(normalised(F.col(f"doc.`{text_column}`")), 256).alias("digest")
+    return written(numbered_rows.select("row", F.col(f"doc.`{id_column}`").alias("id"), digest))
 
 
 def find_copies(docs, id_column="doc_id", text_column="text"):
     """One row per document: id, keep_id, group_size, kept, text_sha256."""
-    found = verdicts(_numbered(docs, id_column, text_column))
+    found = verdicts(_digests(numbered(docs.select(id_column, text_column)), id_column, text_column))
     return found.select(
         F.col("id").alias(id_column), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
 def drop_copies(docs, id_column="doc_id", text_column="text"):
     """The documents that stay, with all their columns."""
-    rows = _numbered(docs, id_column, text_column, F.struct("*").alias("doc"))
-    dropped = verdicts(rows.select("row", "id", "digest")).where(~F.col("kept")).select("row")
-    return rows.select("row", "doc").join(dropped, "row", "left_anti").select("doc.*")
+    rows = numbered(docs)
+    dropped = verdicts(_digests(rows, id_column, text_column)).where(~F.col("kept")).select("row")
+    return rows.join(dropped, "row", "left_anti").select("doc.*")

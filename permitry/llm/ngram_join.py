@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from permitry.llm import exchange, words
 from permitry.llm.components import components
+from permitry.llm.rows import numbered
 from permitry.session import written
 
 PART = 256
@@ -251,9 +252,8 @@ def near_copies(docs, id_column="doc_id", text_column="text", n=4, percent=85):
 
 def keep_one(docs, id_column="doc_id", text_column="text", n=4, percent=85):
     """The document with the smallest id of each component, with all its columns; a NULL id comes last."""
-    row = F.monotonically_increasing_id().alias("row")
-    rows = written(docs.select(row, F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.struct("*").alias("doc")))
-    named = rows.withColumn("key", F.struct(F.isnull("id").alias("none"), "id", "row"))
-    found = near_copies(named, "key", "text", n, percent)
+    rows, own = numbered(docs), F.col(f"doc.`{id_column}`")
+    key = F.struct(F.isnull(own).alias("none"), own.alias("id"), "row").alias("key")
+    found = near_copies(rows.select(key, F.col(f"doc.`{text_column}`").alias("text")), "key", "text", n, percent)
     dropped = found.where("component_id.row <> key.row").select("key.row")
-    return rows.select("row", "doc").join(dropped, "row", "left_anti").select("doc.*")
+    return rows.join(dropped, "row", "left_anti").select("doc.*")

@@ -49,12 +49,14 @@ def _sigmoid(x):
 def fit(texts, labels):
     """Keys and weights that are not zero, of FTRL-proximal over the rows in the order given."""
     numbers, seen, shift = words.Numbers(), np.zeros(1 << _COUNT_BITS, np.uint8), np.uint64(64 - _COUNT_BITS)
-    found = []
     for text in texts:
-        found.append(np.unique(np.append(features(text, numbers), BIAS)))
-        slots = np.unique(found[-1] >> shift)
+        slots = np.unique(features(text, numbers) >> shift)
         seen[slots] = np.minimum(seen[slots] + 1, FEWEST)
-    found = [own[(seen[own >> shift] >= FEWEST) | (own == BIAS)] for own in found]
+    # found a second time rather than held: most features are rare and go
+    found = []
+    for text in texts:
+        own = features(text, numbers)
+        found.append(np.unique(np.append(own[seen[own >> shift] >= FEWEST], BIAS)))
     keys, place = np.unique(np.concatenate(found), return_inverse=True)
     rows = np.split(place, np.cumsum([len(f) for f in found])[:-1])
     z, n = np.zeros(len(keys)), np.zeros(len(keys))
