@@ -64,20 +64,18 @@ def shared_folder(spark):
     return context.getCheckpointDir()
 
 
-def cut(df):
-    """Write ``df`` to the shared checkpoint folder and continue from the written copy."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def written(df):
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    Unlike ``cut`` the copy is compressed and later steps read only the columns they use. It is deleted when
-    the application ends.
+    Unlike a checkpoint it is computed once, compressed, and read by column. The table is deleted when the
+    application ends.
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     _delete_at_end(spark, folder)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+#: Cut the lineage of a table that several steps read.
+cut = written
