@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 BUCKET_ENTRIES = 1 << 21
 
 

@@ -39,7 +39,7 @@ _SPACE = "▁"
 _EDGE = re.compile(f"(?<=[^{_SPACE}]){_SPACE}")
 _START = -1
 _LONGEST = 64
-_CACHED = 200_000
+_CACHED = 100_000
 
 
 class Pieces:

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(batch, column, size=SLICE_BYTES):

@@ -7,7 +7,7 @@ A word is a maximal run of bytes outside ``[\\x20\\x09-\\x0D]`` of the UTF-8 tex
 import numpy as np
 import xxhash
 
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 100_000
 _MASK = (1 << 64) - 1
 #: Odd bases of the two fingerprints; B ** d - 1 has few factors of two for any distance d.
 BASES = (0x9E3779B97F4A7C15 | 5, 0xC2B2AE3D27D4EB4B | 5)
