@@ -3,28 +3,33 @@
 from pyspark.sql import functions as F
 
 from permitry.llm import exact, ngram_join, packing, queries, substrings, toxicity
-from permitry.session import written
+from permitry.session import tune, written
 
 
 def drop_toxic(spark, docs, sf_dir):
+    tune(spark)
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_exact_copies(spark, docs, sf_dir):
+    tune(spark)
     return exact.drop_copies(docs)
 
 
 def drop_near_copies(spark, docs, sf_dir):
+    tune(spark)
     return ngram_join.keep_one(docs)
 
 
 def drop_shared_passages(spark, docs, sf_dir):
     """Texts without passages that occur elsewhere; their lengths are counted anew."""
+    tune(spark)
     cut = substrings.drop_passages(docs)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack(spark, docs, sf_dir):
+    tune(spark)
     return packing.pack(docs, queries.tokenizer())
 
 
