@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 import os
 from collections.abc import Callable
@@ -19,7 +20,7 @@ from permitry.operators.cluster import cluster_types, mean_vectors, nearest_cent
 from permitry.operators.squeeze import squeeze
 from permitry.plans import starview as star
 from permitry.schemas import ADDRESS_KEYS_SPLIT
-from permitry.session import cut
+from permitry.session import cut, tune
 
 
 def _optional(name):
@@ -550,7 +551,7 @@ def largest_groups_by_year(spark, sf):
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: longevity of issued licences by city, year and type."""
-    return longevity_issued_by_city(spark, ENTRY_FOLDER)
+    return longevity_issued_by_city(tune(spark), ENTRY_FOLDER)
 
 
 _QUERIES = [
@@ -578,7 +579,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         named.update(_llm.queries())
     if _llm and _pipeline:
         named["pipeline"] = _pipeline.run
-    return named
+    return {name: _tuned(query) for name, query in named.items()}
+
+
+def _tuned(query):
+    """The query under the settings the operators are written for."""
+    @functools.wraps(query)
+    def run(spark, sf):
+        return query(tune(spark), sf)
+    return run
 
 
 # ---- the same in SQL
