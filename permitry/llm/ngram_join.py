@@ -244,7 +244,8 @@ def near_copies(docs, id_column="doc_id", text_column="text", n=4, percent=85):
     labels = link_labels(written(sets.select("key", "s.*")), percent)
 
     named = rows.where("key is not null").select("id", "n", "key").join(labels, "key")
-    least = named.groupBy("label").agg(F.min("id").alias("component_id"))
+    # written, so that the join below has two plain sides and Spark can split a label that many rows have
+    least = written(named.groupBy("label").agg(F.min("id").alias("component_id")))
     alone = rows.where("key is null").select("id", "n", F.col("id").alias("component_id"))
     found = named.join(least, "label").select("id", "n", "component_id").unionByName(alone)
     return found.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id")
