@@ -71,7 +71,7 @@ def _digests(numbered_rows, id_column, text_column):
 
 def find_copies(docs, id_column="doc_id", text_column="text"):
     """One row per document: id, keep_id, group_size, kept, text_sha256."""
-    found = verdicts(_digests(numbered(docs.select(id_column, text_column)), id_column, text_column))
+    found = verdicts(_digests(numbered(docs, [id_column, text_column]), id_column, text_column))
     return found.select(
         F.col("id").alias(id_column), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 

@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 from permitry.session import written
 
 
-def numbered(docs):
-    """Rows (row, doc): an identity that can be compared and sorted, and all columns as one struct.
+def numbered(docs, columns=None):
+    """Rows (row, doc): an identity that can be compared and sorted, and the columns, by default all, as one struct.
 
     A stored Parquet table is not copied: a row is known by its file and its place in it. Anything else is written
     once, as its rows may come in another order when they are computed again.
     """
-    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    doc = F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("doc")
     plan = docs._jdf.queryExecution().analyzed().toString()
     if plan.startswith("Relation [") and plan.splitlines()[0].endswith(" parquet") and "_metadata" not in docs.columns:
         place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
