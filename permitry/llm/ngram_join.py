@@ -172,7 +172,8 @@ def _placed(sets):
     """Sets with their part; those of large groups also as leaders in the group's other parts."""
     leaders = [F.min(F.when(F.pmod(F.xxhash64("key"), F.lit(LEADERS)) == i, F.col("key"))) for i in range(LEADERS)]
     large = sets.groupBy("home").agg(F.count("*").alias("m"), F.array(*leaders).alias("leaders")).where(F.col("m") > PART)
-    large = large.select("home", "leaders", F.ceil(F.col("m") / PART).cast("int").alias("parts"))
+    # written, so that the join has two plain sides and Spark can split the sets of a large group
+    large = written(large.select("home", "leaders", F.ceil(F.col("m") / PART).cast("int").alias("parts")))
     sized = sets.join(large, "home", "left").withColumns({
         "parts": F.coalesce("parts", F.lit(1)),
         "leader": F.coalesce(F.array_contains("leaders", F.col("key")), F.lit(False))})
