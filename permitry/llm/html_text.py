@@ -36,8 +36,10 @@ from permitry.session import written
 #: A host needs so many pages for a template; a node is constant if its text has at least this share of them.
 FEW = 5
 CONSTANT = 0.8
-#: Children a template node keeps, the most frequent ones; a constant node is on most pages and never among the rest.
-WIDEST = 48
+#: Part of the template is only what at least one in ``RARE`` pages with its parent has. A node of more than ``WIDEST``
+#: children forgets those that are twice as rare, so its size is bounded by that of the pages, not by their number.
+RARE = 100
+WIDEST = 200
 HOSTS_HELD = 2000
 TASK_TEMPLATES = 2000
 SALTS = 64
@@ -135,8 +137,7 @@ def _merge(template, other, match=None):
             children.append(template.children[own])
         i, j = own + 1, theirs + 1
     if len(children) > WIDEST:
-        least = sorted((c.pages for c in children), reverse=True)[WIDEST - 1]
-        children = [c for c in children if c.pages >= least][:WIDEST]
+        children = [c for c in children if 2 * RARE * c.pages >= template.pages]
     template.children = children
 
 
@@ -201,14 +202,15 @@ def templates(pages, address_column="url", html_column="html"):
     return written(once.groupBy(bucket.alias("bucket")).applyInArrow(_merged_templates, _TEMPLATE))
 
 
-def _fix(page, template, match=None):
+def _fix(page, template, match=None, parent_pages=0):
     """Mark the page's nodes that are constant on its host."""
     _, pairs = match or _matched(page, template)
-    if template.pages >= FEW and template.vote and template.vote == page.vote and template.votes >= CONSTANT * template.pages:
+    common = template.pages >= FEW and RARE * template.pages >= parent_pages
+    if common and template.vote and template.vote == page.vote and template.votes >= CONSTANT * template.pages:
         for node in page.nodes:
             node.fixed = True
     for i, j, below in pairs:
-        _fix(page.children[i], template.children[j], below)
+        _fix(page.children[i], template.children[j], below, template.pages)
 
 
 def _landmarks(node, found):
