@@ -22,6 +22,10 @@ _CLOSES = {
 _IN_P = BLOCKS - {"body", "html", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "summary", "li", "dd", "dt"}
 
 
+#: Elements nested deeper than this become neighbours, as in browsers, so that a page cannot exhaust the stack.
+DEEPEST = 250
+
+
 class Node:
     """An element: tag, words of its class, id and role, and its texts and elements in order."""
 
@@ -81,6 +85,6 @@ def parse(text):
         if tag in _RAW:
             end = _RAW[tag].search(text, at)
             at = end.end() if end else n
-        elif not more.endswith("/"):
+        elif not more.endswith("/") and len(stack) < DEEPEST:
             stack.append(node)
     return root

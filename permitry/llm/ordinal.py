@@ -153,8 +153,7 @@ def _score(batches, weights, thresholds, grades, target, schema):
                 slots, values = features(text or b"", numbers, shapes)
                 sums.append(weights[slots] @ values)
             above = _sigmoid(np.array(sums)[:, None] - thresholds[None, :])
-            sure = np.full(len(sums), float(grades[0] >= target or (len(grades) == 1 and grades[0] >= target)))
-            tail = above[:, reach - 1] if 0 < reach <= len(thresholds) else sure
+            tail = above[:, reach - 1] if 0 < reach <= len(thresholds) else np.full(len(sums), float(reach == 0))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low + above @ gaps), pa.array(tail)], schema=schema)
 
 

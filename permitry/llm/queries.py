@@ -58,7 +58,7 @@ def op8_html_extraction(spark, sf):
 
 
 def op9_quality_rules(spark, sf):
-    return quality_rules.judged(_table(spark, sf, "documents"))
+    return quality_rules.judged(_table(spark, sf, "documents")).drop("longest_repeat")
 
 
 def op10_substring_dedup(spark, sf):
@@ -67,7 +67,59 @@ def op10_substring_dedup(spark, sf):
 
 
 QUERIES = [op1_sentencepiece, op2_toxicity, op3_exact_dedup, op4_quality_classifier, op5_best_fit_packing, op6_licence_scan, op7_ngram_jaccard_join, op8_html_extraction, op9_quality_rules, op10_substring_dedup]
+_WORDS = r"""w AS (SELECT doc_id, coalesce(text, '') AS text,
+        list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents)"""
+
+
+def _windows(name, size, where="TRUE"):
+    """Words of every run of ``size`` words and the place of the first."""
+    return f"""{name}_at AS (SELECT doc_id, ws, unnest(range(1, len(ws) - {size - 2})) AS i FROM w WHERE len(ws) >= {size} AND {where}),
+        {name} AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + {size - 1}), ' ') AS s FROM {name}_at)"""
+
+
+def _covered(name, size, group):
+    """Places in a window that occurs twice in its group."""
+    return f"""{name}_twice AS (SELECT doc_id, i FROM {name} QUALIFY count(*) OVER (PARTITION BY {group}) > 1),
+        {name}_covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + {size})) AS j FROM {name}_twice)"""
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 SQL = {
+    "op7_ngram_jaccard_join": f"""WITH RECURSIVE {_WORDS.format(_LOWER)}, {_windows('four', 4)},
+        s AS (SELECT DISTINCT doc_id, s FROM four UNION ALL
+              SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 3),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+        least AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(least.b, w.doc_id)) AS component_id
+        FROM w LEFT JOIN n USING (doc_id) LEFT JOIN least ON a = w.doc_id""",
+    "op9_quality_rules": f"""WITH {_WORDS.format("coalesce(text, '')")}, {_windows('five', quality_rules.WINDOW)},
+        {_covered('five', quality_rules.WINDOW, 'doc_id, s')}, {_windows('rep', quality_rules.LEAST)},
+        {_covered('rep', quality_rules.LEAST, 'doc_id, s')}, {_windows('far', quality_rules.LONGEST + 1)},
+        {_covered('far', quality_rules.LONGEST + 1, 'doc_id, s')},
+        lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w),
+        d AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+        f AS (SELECT doc_id, count(*) AS n FROM five_covered GROUP BY doc_id),
+        r AS (SELECT doc_id, count(*) AS n FROM rep_covered GROUP BY doc_id),
+        l AS (SELECT DISTINCT doc_id, TRUE AS long FROM far_covered),
+        counted AS (SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+            length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(d.n, 0) AS n_dup_lines,
+            coalesce(f.n, 0) AS n_repeat_words, coalesce(r.n, 0) AS covered_words, coalesce(long, FALSE) AS long
+          FROM w LEFT JOIN d USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN l USING (doc_id)),
+        failed AS (SELECT *, n_words < {quality_rules.FEWEST_WORDS}
+            OR 100 * n_repeat_words > {quality_rules.REPEATED_PERCENT} * n_words AS base_failed FROM counted)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words, base_failed,
+          NOT base_failed AND 100 * covered_words <= {quality_rules.COVERED_PERCENT} * n_words AND NOT long AS kept FROM failed""",
+    "op10_substring_dedup": f"""WITH {_WORDS.format("coalesce(text, '')")}, {_windows('win', substrings.WINDOW)},
+        {_covered('win', substrings.WINDOW, 's')},
+        each AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS j FROM w),
+        kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS t FROM each ANTI JOIN win_covered USING (doc_id, j) GROUP BY doc_id),
+        gone AS (SELECT doc_id, count(*) AS n FROM win_covered GROUP BY doc_id)
+        SELECT w.doc_id, len(ws) AS n_words, coalesce(gone.n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)""",
     "op3_exact_dedup": r"""WITH d AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,

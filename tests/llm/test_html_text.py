@@ -23,7 +23,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head>
     ("<div class='sidebar'>s</div><div id=cookie-notice>c</div><p>body text</p><div class='related-posts'>r</div>", "body text"),
     ("<header><nav>n</nav></header><article><header><h1>Head</h1></header><p>x", "Head\n\nx"),
     ("<p>unclosed <a href='x", "unclosed"), ("<div class='page-header-layout nav'><article><p>inside</p></article></div>", "inside"),
-    ("<p>5 < 6 and 7 > 3</p>", "5 < 6 and 7 > 3"),
+    ("<p>5 < 6 and 7 > 3</p>", "5 < 6 and 7 > 3"), ("<div>" * 9000 + "deep" + "</div>" * 9000, "deep"),
 ])
 def test_pages(spark, html, text):
     assert html_text.main_text(html or "") == text
