@@ -201,9 +201,10 @@ def link_labels(sets, percent):
     members = written(members)
     leaders = members.where("copy").select("key").distinct()
     known = members.join(leaders, "key", "left_semi").select("key", "label")
-    members = written(_relabelled(members.where("not copy"), known))
+    members = members.where("not copy")
+    named = written(_relabelled(members.select("part_id", "label", "n", "shared", "prefix"), known))
 
-    tokens = members.select(F.explode("prefix").alias("token"), "part_id", "label", "n", "shared")
+    tokens = named.select(F.explode("prefix").alias("token"), "part_id", "label", "n", "shared")
     matrix = tokens.groupBy("token", "part_id").agg(
         F.min("label").alias("first"), F.max("label").alias("last"), F.min("n").alias("n"), F.max("shared").alias("shared"))
     left, right = (matrix.toDF("token", *(f"{c}_{side}" for c in matrix.columns[1:])) for side in "lr")
@@ -216,7 +217,7 @@ def link_labels(sets, percent):
     opened = sides.join(members, "part_id").select("pair", "side", "label", "n", "tokens")
     tasks = max(16, -(-pairs.count() // PAIRS_PER_TASK))
     edges = _in_tasks(opened, "pair", tasks).applyInArrow(partial(_between_parts, percent=percent), "a binary, b binary")
-    return _relabelled(members.select("key", "label"), edges)
+    return _relabelled(members.select("key", "label"), known.toDF("a", "b").unionByName(edges))
 
 
 def near_copies(docs, id_column="doc_id", text_column="text", n=4, percent=85):
