@@ -11,7 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
     # rows reach Python workers in batches of this size, whatever the length of a text
     "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
