@@ -9,8 +9,10 @@
 3. A node whose text wins the vote on nearly all pages of at least ``FEW`` is constant and belongs to the template; the
    others are slots. Every page is aligned with its host's template, and its constant nodes are left out.
 4. Slots that are menus, headers, footers, sidebars, notices, adverts, forms or comments by tag or label are left out, and
-   so are slots of links. If the page marks its article or main part, only that is taken, constant or not when all of it
-   is constant (pages that repeat one article).
+   so are slots of links, the innermost first, so that a wrapper around menus and an article keeps the article. A node
+   that holds most of the page's text outside links is never left out by label or links; so comments stay if they are
+   longer than all else. If the page marks its article or main part, only that is taken. If nothing is left, constant
+   nodes stay (pages that repeat one article); if still nothing is, labels are not looked at.
 
 Text is taken by blocks in page order; character references are decoded, white space inside a block becomes one space,
 blocks are joined by an empty line.
@@ -47,12 +49,20 @@ _SKIPPED = frozenset("""script style noscript template iframe svg math canvas au
     footer aside form button select textarea input label menu dialog fieldset""".split())
 _LANDMARKS = frozenset(("article", "main"))
 _HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
-_BOILERPLATE = re.compile(
-    r"(?:^|[^a-z0-9])(?:nav(?:bar|igation)?|menus?|breadcrumbs?|(?:site|page|top)?header|masthead|banner|(?:site|page)?footer|"
+#: Blocks that are left out if most of their letters are in links.
+_LISTS = frozenset(("ul", "ol", "div", "table"))
+_CAPTIONS = _HEADINGS - {"h1"}
+_NAMES = (
+    r"(?:nav(?:bar|igation)?|menus?|breadcrumbs?|(?:site|page|top)?header|masthead|banner|(?:site|page)?footer|"
     r"(?:side|left|right)bar|sidebars?|aside|widgets?|related|recommend(?:ed|ations)?|trending|share|sharing|social|promos?|"
     r"ads?|advert(?:s|isement|isements|ising)?|sponsor(?:s|ed)?|cookies?|consent|notices?|gdpr|popup|modal|overlay|"
     r"newsletter|subscribe|subscription|signup|login|search|comments?|commentlist|disqus|respond|replies|reply|"
-    r"pagination|pager|copyright|legal|skip|toolbar|contentinfo|complementary|alert)(?![a-z0-9])")
+    r"pagination|pager|copyright|legal|skip|toolbar|contentinfo|complementary|alert)")
+_BOILERPLATE = re.compile(rf"(?:^|[^a-z0-9]){_NAMES}(?![a-z0-9])")
+#: A whole word of the label names the part; a word inside another ("left-sidebar-layout") may describe a wrapper.
+_NAMED = re.compile(rf"(?:^|\s){_NAMES}(?!\S)")
+#: Words that say what a wrapper is laid out with, or name a page's own content.
+_LAYOUT = re.compile(r"(?<![a-z0-9])(?:(?:no|with|without|has)[-_]+[^\s]+|search[-_]?results?(?![a-z0-9]))")
 #: Elements of an article's own text; other constant elements inside it belong to the template.
 _PROSE = frozenset("article main p h1 h2 h3 h4 h5 h6 li td th dd dt blockquote pre b i em strong a code q cite sub sup".split())
 _BLANK = re.compile(r"[0-9]+")
@@ -213,55 +223,144 @@ def _fix(page, template, match=None, parent_pages=0):
         _fix(page.children[i], template.children[j], below, template.pages)
 
 
-def _landmarks(node, found):
-    """Outermost articles and main parts that are not boilerplate by label."""
-    for part in node.elements():
-        if part.tag in _SKIPPED or (part.tag in _LANDMARKS and _BOILERPLATE.search(part.label)):
-            continue
-        if part.tag in _LANDMARKS or part.label == "main" or part.label.endswith(" main"):
-            found.append(part)
-        else:
-            _landmarks(part, found)
-    return found
+def _boilerplate(node, names=_BOILERPLATE):
+    return bool(node.label) and node.tag not in ("body", "html") and bool(names.search(_LAYOUT.sub("", node.label)))
 
 
 def _has_landmark(node):
     return any(part.tag in _LANDMARKS or _has_landmark(part) for part in node.elements())
 
 
-def _left_out(node, inside):
-    if node.tag in _SKIPPED:
-        return True
-    if node.tag == "header":
-        return not inside
-    return bool(node.label) and node.tag not in ("body", "html") and bool(_BOILERPLATE.search(node.label)) and (
-        inside or not _has_landmark(node))
+def _is_landmark(node):
+    return node.tag in _LANDMARKS or node.label == "main" or node.label.endswith(" main")
+
+
+def _dense(left):
+    """Whether links are most of what is left of a block, or only a caption is left beside its links."""
+    prose, captions, links, gone = left
+    return links > prose + captions or (not prose and gone > captions > 0)
+
 
+class _Pass:
+    """One try at a page: which texts count, how much text each node holds, and which nodes are left out."""
 
-def _letters(node, links=False):
-    """Characters of a node's text, or of the text in its links."""
-    if links and node.tag == "a":
-        links = False
-    return sum(_letters(p, links) if p.__class__ is Node else (0 if links else len(p)) for p in node.parts)
+    def __init__(self, root, drop_fixed, by_label):
+        self.drop_fixed, self.by_label, self.sizes, self.alike = drop_fixed, by_label, {}, {}
+        self.left, self.gone = {}, set()
+        self._measure(root, False, False, False)
+        self.whole = self.sizes[root]
+        self.marked = self._landmarks(root, [])
+        self.inside = bool(self.marked)
+        if self.inside:
+            self.whole = tuple(map(sum, zip(*(self.sizes[part] for part in self.marked))))
+        for part in self.marked or [root]:
+            self._sift(part, False, False)
 
+    def _texts(self, node, inside):
+        return not (self.drop_fixed and node.fixed and not (inside and node.tag in _PROSE))
 
-def _blocks(node, inside, drop_fixed, out):
+    def _measure(self, node, inside, link, named):
+        """Letters of a node outside links, and those of them that are in no part named as boilerplate."""
+        prose, plain, alike = 0, 0, {}
+        counts = not link and self._texts(node, inside)
+        for part in node.parts:
+            if part.__class__ is Node:
+                if part.tag in _SKIPPED:
+                    continue
+                own = self._measure(
+                    part, inside or _is_landmark(part), link or part.tag == "a", named or _boilerplate(part, _NAMED))
+                if part.tag != "header" or inside:
+                    prose, plain = prose + own[0], plain + own[1]
+                if part.label:
+                    alike.setdefault(_key(part), []).append(part)
+            elif counts:
+                found = _letters(part)
+                prose, plain = prose + found, plain + (0 if named else found)
+        for parts in alike.values():
+            if len(parts) > 1:
+                together = tuple(map(sum, zip(*(self.sizes[part] for part in parts))))
+                self.alike.update(dict.fromkeys(parts, together))
+        self.sizes[node] = prose, plain
+        return prose, plain
+
+    def _most(self, node):
+        """Whether a node and its siblings of equal key hold most of the text outside links.
+
+        Named parts do not count against a mere wrapper.
+        """
+        prose, plain = self.alike.get(node) or self.sizes[node]
+        return 2 * prose > self.whole[0] or (2 * plain > self.whole[1] and not _boilerplate(node, _NAMED))
+
+    def _landmarks(self, node, found):
+        """Outermost articles and main parts that are not boilerplate by label."""
+        for part in node.elements():
+            if part.tag in _SKIPPED or (part.tag in _LANDMARKS and self.by_label and _boilerplate(part) and not self._most(part)):
+                continue
+            if _is_landmark(part):
+                found.append(part)
+            else:
+                self._landmarks(part, found)
+        return found
+
+    def _left_out(self, node):
+        if node.tag in _SKIPPED:
+            return True
+        if node.tag == "header":
+            return not self.inside
+        return self.by_label and _boilerplate(node) and (self.inside or not _has_landmark(node)) and not self._most(node)
+
+    def _sift(self, node, link, caption):
+        """Leave out what is innermost first; letters left as prose, in captions and in links, and of links left out."""
+        left, counts = [0, 0, 0, 0], self._texts(node, self.inside)
+        for part in node.parts:
+            if part.__class__ is not Node:
+                if counts:
+                    left[2 if link else 1 if caption else 0] += _letters(part)
+                continue
+            if self._left_out(part):
+                self.gone.add(part)
+                continue
+            own = self._sift(part, link or part.tag == "a", caption or part.tag in _CAPTIONS)
+            if part.tag in _LISTS and not self.inside and not _has_landmark(part) and _dense(own):
+                if self._most(part):
+                    self._thin(part)
+                else:
+                    self.gone.add(part)
+                    own = 0, 0, 0, own[2] + own[3]
+            self.left[part] = own
+            left = [a + b for a, b in zip(left, own)]
+        return left
+
+    def _thin(self, node):
+        """Leave out the blocks of links in a node that stays for its text."""
+        for part in node.elements():
+            if part in self.gone:
+                continue
+            if part.tag in BLOCKS and part.tag not in _HEADINGS and _dense(self.left[part]) and not self._most(part):
+                self.gone.add(part)
+            else:
+                self._thin(part)
+
+
+def _letters(text):
+    """Characters of the words of a text; lone marks between links are none."""
+    return sum(len(word) for word in text.split() if len(word) > 1 or word.isalnum())
+
+
+def _blocks(node, found, out):
     """Append the pieces of text of a node to ``out``; None stands for a block's edge."""
+    texts = found._texts(node, found.inside)
     for part in node.parts:
         if part.__class__ is not Node:
-            if not (drop_fixed and node.fixed and not (inside and node.tag in _PROSE)):
+            if texts:
                 out.append(part)
             continue
-        if _left_out(part, inside):
-            out.append(None if part.tag in BLOCKS else " ")
-            continue
         edge = part.tag in BLOCKS
-        if edge and not inside and part.tag not in _HEADINGS:
-            own = _letters(part)
-            if own and not _has_landmark(part) and part.tag in ("ul", "ol", "div", "table") and 2 * _letters(part, True) > own:
-                continue
+        if part in found.gone:
+            out.append(None if edge else " ")
+            continue
         out.append(None if edge else " " if part.tag in ("td", "th") else "")
-        _blocks(part, inside, drop_fixed, out)
+        _blocks(part, found, out)
         if edge:
             out.append(None)
 
@@ -284,12 +383,12 @@ def main_text(text, template=None):
     root = parse(text)
     if template is not None:
         _fix(fold([root]), template)
-    marked = _landmarks(root, [])
-    for drop_fixed in (True, False):
+    for by_label, drop_fixed in ((True, True), (True, False), (False, True), (False, False)):
+        kept = _Pass(root, drop_fixed, by_label)
         out = []
-        for part in marked or [root]:
+        for part in kept.marked or [root]:
             out.append(None)
-            _blocks(part, bool(marked), drop_fixed, out)
+            _blocks(part, kept, out)
             out.append(None)
         found = _joined(out)
         if found:

@@ -29,6 +29,37 @@ def test_pages(spark, html, text):
     assert html_text.main_text(html or "") == text
 
 
+MENU = "<ul>" + "<li><a href='/x'>A long entry of the menu</a></li>" * 30 + "</ul>"
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<div id='all'>{MENU}<div><h1>Title</h1><p>A short article.</p></div><h3>More</h3>{MENU}</div>", "Title\n\nA short article.\n\nMore"),
+    (f"<div>{MENU}<p>A short article.</p><div><h3>More</h3>{MENU}</div></div>", "A short article."),
+    (f"<table><tr><td>{MENU[4:-5]}<td><p>A short article.</table>", "A short article."),
+    (f"<div class='page with-sidebar'><div><p>The article.</p></div><div class='sidebar'>{MENU} side</div></div>", "The article."),
+    ("<div class='no-sidebar'><p>The article.</p></div><div class='sidebar'>A side.</div>", "The article."),
+    ("<div class='left-sidebar-layout'><p>The article.</p><div class='sidebar'>side</div></div><p>x</p>", "The article.\n\nx"),
+    ("<div class='social-theme'><p>The article.</p></div><div class='sidebar'>About us</div>", "The article."),
+    ("<main class='has-sidebar'><p>The article.</p><div class='sidebar'>side</div></main>", "The article."),
+    ("<main class='left-sidebar'><p>The article.</p></main><p>x</p>", "The article."),
+    ("<article><div class='share-wide'><p>The article.</p><div class='share'>Tell</div></div></article>", "The article."),
+    ("<div class='search-result'><p>One.</p></div><div class='search-result'><p>Two.</p></div>", "One.\n\nTwo."),
+    ("<div class='widget'>First</div><div class='widget'>Second</div>", "First\n\nSecond"),
+    (f"<p>A text of the page.</p><div class='menu'>{MENU} few words</div><div><a>One</a> | <a>Two</a></div>", "A text of the page."),
+    (f"<header><main><header><div class='ad'>x</div></header><p>In it.</p></main></header>{MENU}", "In it."), (MENU, ""),
+])
+def test_wrappers_keep_their_article(html, text):
+    assert html_text.main_text(html) == text
+
+
+def test_wrappers_on_hosts_with_a_template(spark):
+    notice = "<div class='notice'>" + "The same long notice on all pages. " * 20 + "</div>"
+    page = "<body><div class='right-sidebar-layout'>" + MENU + "<div><p>Article {0}.</p></div>" + notice + "</div></body>"
+    rows = [(i, "http://h.example/x", page.format(i)) for i in range(12)]
+    found = html_text.extract(pages(spark, rows)).collect()
+    assert {r["page_id"]: r["text"] for r in found} == {i: f"Article {i}." for i in range(12)}
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
 
