@@ -6,10 +6,13 @@ matched, words that are unique in both are anchors, the longest increasing run o
 between anchors are aligned in the same way. Coverage is the share of template words matched; a match needs
 ``COVER`` hundredths. Matches of one template do not overlap; the scan goes on behind a match.
 
+What tells licences apart is never left to coverage: a template of fewer than ``SHORT`` words must be there word for
+word, and the match of a longer one must hold its ``MARKS``, runs of words with the licence's name and version.
+
 The templates are parameters of bounded size and go to every task. Texts are read once, whole, and nothing is shuffled.
 
-Defined cases: NULL and empty texts have no match; ties between templates go to the larger coverage, then the longer
-template, then the name; repeated rows get equal results; NULL ids are returned as they are; an empty table gives an
+Defined cases: NULL and empty texts have no match; a match that lies mostly in one of a longer template yields to it,
+other ties between templates go to the larger coverage, then the longer template, then the name; repeated rows get equal results; NULL ids are returned as they are; an empty table gives an
 empty result. Columns other than id and text are not looked at.
 """
 
@@ -25,6 +28,27 @@ from permitry.llm import words
 from permitry.llm.slices import slices
 
 COVER = 80
+SHORT = 20
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+    that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,
+    this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above
+    copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+    materials provided with the distribution."""
+_ADVERTISING = """All advertising materials mentioning features or use of this software must display the following
+    acknowledgement: This product includes software developed by the copyright holder."""
+_ENDORSE = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+    products derived from this software without specific prior written permission."""
+_GNU = """This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by
+    the Free Software Foundation, either version {} of the License, or (at your option) any later version."""
+_GNU_LICENCES = {
+    "GPL-2.0": ("program", "General Public License", "2"), "GPL-3.0": ("program", "General Public License", "3"),
+    "LGPL-2.1": ("library", "Lesser General Public License", "2.1"),
+    "LGPL-3.0": ("program", "Lesser General Public License", "3"),
+    "AGPL-3.0": ("program", "Affero General Public License", "3"),
+}
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+       "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+       "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
 #: Public licence notices.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -33,17 +57,22 @@ TEMPLATES = {
         Unless required by applicable law or agreed to in writing, software distributed under the License is distributed
         on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for
         the specific language governing permissions and limitations under the License.""",
-    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided
-        that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,
-        this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above
-        copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
-        materials provided with the distribution.""",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "BSD": "Released under the BSD License.",
+    "BSD-2-Clause": _BSD,
+    "BSD-3-Clause": f"{_BSD} 3. {_ENDORSE}",
+    "BSD-4-Clause": f"{_BSD} 3. {_ADVERTISING} 4. {_ENDORSE}",
+    **{f"CC-{k}-4.0": f"This work is licensed under a Creative Commons {v} 4.0 International License." for k, v in _CC.items()},
+    **{f"CC-{k}-4.0 name": f"Licensed under CC {k} 4.0." for k in _CC},
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-3.0 notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
-        General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
-        your option) any later version.""",
+    "CC-BY-NC-4.0 name": f"This work is licensed under a Creative Commons {_CC['BY-NC']} 4.0 International License.",
+    **{f"CC-{k}-3.0": f"This work is licensed under a Creative Commons {v} 3.0 Unported License." for k, v in _CC.items()
+       if not k.endswith("ND")},
+    "CC-BY-ND-3.0": "This work is licensed under a Creative Commons Attribution-NoDerivs 3.0 Unported License.",
+    "CC-BY-NC-ND-3.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivs 3.0 Unported License.",
+    "EPL-2.0": """This program and the accompanying materials are made available under the terms of the Eclipse Public License
+        2.0 which is available at""",
+    **{k: f"This work is licensed under the GNU {v[1]}, version {v[2]}." for k, v in _GNU_LICENCES.items()},
+    **{f"{k} notice": _GNU.format(*v) for k, v in _GNU_LICENCES.items()},
     "ISC": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
         granted, provided that the above copyright notice and this permission notice appear in all copies.""",
     "MIT": "Released under the MIT License.",
@@ -53,6 +82,17 @@ TEMPLATES = {
         to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above
         copyright notice and this permission notice shall be included in all copies or substantial portions of the
         Software.""",
+    "MPL-2.0": "Licensed under the Mozilla Public License, Version 2.0.",
+    "MPL-2.0 notice": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the
+        MPL was not distributed with this file, You can obtain one at""",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+}
+#: Runs of words that a match of a long template must hold.
+MARKS = {
+    "Apache-2.0 notice": ("Apache License Version 2.0",), "BSD-3-Clause": ("promote products derived",),
+    "BSD-4-Clause": ("All advertising materials", "promote products derived"), "EPL-2.0": ("Eclipse Public License 2.0",),
+    "MPL-2.0 notice": ("Public License v. 2.0", "MPL"),
+    **{f"{k} notice": (f"GNU {v[1]}", f"version {v[2]} of") for k, v in _GNU_LICENCES.items()},
 }
 _SPACE = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
 
@@ -110,11 +150,27 @@ def patience(text, template):
     return sorted(matched)
 
 
+def _holds(text, run):
+    return any(text[i:i + len(run)] == run for i, word in enumerate(text) if word == run[0])
+
+
 class _Template:
-    def __init__(self, name, own, cover):
-        self.name, self.words, self.cover = name, own, cover
-        self.need = -(-cover * len(own) // 100)
-        self.window = len(own) + len(own) // 4 + 1
+    def __init__(self, name, own, cover, marks=()):
+        self.name, self.words, self.marks, self.exact = name, own, marks, len(own) < SHORT
+        self.cover = 100 if self.exact else cover
+        self.need = -(-self.cover * len(own) // 100)
+        self.window = len(own) if self.exact else len(own) + len(own) // 4 + 1
+
+    def _pairs(self, window):
+        """Matched places of a window that begins with a match, or none."""
+        if self.exact:
+            return [(i, i) for i in range(len(window))] if window == self.words else []
+        if not all(_holds(window, run) for run in self.marks):
+            return []
+        pairs = patience(window, self.words)
+        if 100 * len(pairs) < self.cover * len(self.words) or pairs[0][0]:
+            return []
+        return pairs if all(_holds(window[:pairs[-1][0] + 1], run) for run in self.marks) else []
 
     def scan(self, numbers, hits):
         """Matches (coverage, start, end) in one text from the places of template words, ascending."""
@@ -124,16 +180,25 @@ class _Template:
         for start in hits[:len(hits) - self.need + 1][hits[self.need - 1:] - hits[:len(hits) - self.need + 1] < self.window]:
             if start <= after:
                 continue
-            pairs = patience(numbers[start:start + self.window].tolist(), self.words)
-            if 100 * len(pairs) >= self.cover * len(self.words) and pairs[0][0] == 0:
+            pairs = self._pairs(numbers[start:start + self.window].tolist())
+            if pairs:
                 after = int(start) + pairs[-1][0]
                 found.append((len(pairs) / len(self.words), int(start), after + 1))
         return found
 
 
-def _scan(batches, templates, cover, schema):
+def _yields(match, found):
+    """Whether a match lies mostly in one of a longer template."""
+    _, size, _, start, end = match
+    return any(other > size and 2 * (min(end, e) - max(start, s)) > end - start for _, other, _, s, e in found)
+
+
+def _scan(batches, templates, marks, cover, schema):
     numbers = words.Numbers()
-    known = [_Template(name, words.numbered(tokens(text.encode()), numbers).tolist(), cover) for name, text in templates.items()]
+    known = []
+    for name, text in templates.items():
+        own, *runs = (words.numbered(tokens(t.encode()), numbers).tolist() for t in (text, *marks.get(name, ())))
+        known.append(_Template(name, own, cover, runs))
     vocabulary = np.array(sorted({w for t in known for w in t.words}), np.uint64)
     has = np.array([np.isin(vocabulary, np.array(t.words, np.uint64)) for t in known])
     screen = np.zeros(1 << 16, bool)
@@ -152,15 +217,18 @@ def _scan(batches, templates, cover, schema):
                     if len(places) >= template.need:
                         found += [(c, len(template.words), template.name, s, e) for c, s, e in template.scan(own, places[has[i, at]])]
                 found.sort(key=lambda m: (-m[0], -m[1], m[2], m[3]))
-                best = found[0] if found else (None,) * 5
+                best = next((m for m in found if not _yields(m, found)), (None,) * 5)
                 rows.append((best[2], best[0], best[3], best[4], len(found), [
                     {"licence": m[2], "coverage": m[0], "start_word": m[3], "end_word": m[4]} for m in found]))
             columns = [pa.array(values, field.type) for values, field in zip(zip(*rows), list(schema)[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=schema)
 
 
-def scan(docs, templates=None, id_column="doc_id", text_column="text", cover=COVER):
-    """One row per document: id, the best licence with coverage, start_word and end_word, n_found, and all matches."""
+def scan(docs, templates=None, id_column="doc_id", text_column="text", cover=COVER, marks=None):
+    """One row per document: id, the best licence with coverage, start_word and end_word, n_found, and all matches.
+
+    ``marks`` are the runs of words that matches of own ``templates`` must hold.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     one = [("licence", T.StringType()), ("coverage", T.DoubleType()), ("start_word", T.LongType()), ("end_word", T.LongType())]
@@ -168,5 +236,5 @@ def scan(docs, templates=None, id_column="doc_id", text_column="text", cover=COV
     types = T.StructType([docs.schema[id_column], *match, T.StructField("n_found", T.LongType()),
                           T.StructField("matches", T.ArrayType(match))])
     rows = docs.select(F.col(id_column), F.col(text_column).cast("string").alias("text"))
-    run = partial(_scan, templates=templates or TEMPLATES, cover=cover, schema=to_arrow_schema(types))
+    run = partial(_scan, templates=templates or TEMPLATES, marks=(marks or {}) if templates else MARKS, cover=cover, schema=to_arrow_schema(types))
     return rows.mapInArrow(run, types)

@@ -48,6 +48,45 @@ def test_planted_notices(spark, name):
     assert found[4]["licence"] != name
 
 
+GPL_2 = """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public
+    License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later
+    version."""
+NEIGHBOURS = {
+    "Released under the BSD License.": "BSD", "released under the same license": None, "Released under the MIT-0 License": None,
+    "Licensed under CC BY 4.0": "CC-BY-4.0 name", "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0 name",
+    "Licensed under CC BY-NC 4.0": "CC-BY-NC-4.0", "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0 name",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "CC-BY-SA-4.0",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License": "CC-BY-4.0",
+    "This work is licensed under the GNU General Public License, version 2": "GPL-2.0",
+    "This work is licensed under the GNU Lesser General Public License, version 3": "LGPL-3.0",
+    "Licensed under the Academic License, Version 2.0.": None, GPL_2: "GPL-2.0 notice",
+    GPL_2.replace("version 2 of", "version 3 of"): "GPL-3.0 notice", GPL_2.replace("version 2 of", "version 4 of"): None,
+    GPL_2.replace("General", "Lesser General").replace("version 2 of", "version 2.1 of").replace("program", "library"):
+        "LGPL-2.1 notice",
+    GPL_2.replace("General", "Affero General").replace("version 2 of", "version 3 of"): "AGPL-3.0 notice",
+    licences.TEMPLATES["Apache-2.0 notice"].replace("Apache License", "Educational Community License"): None,
+    licences.TEMPLATES["BSD-2-Clause"] + " THIS SOFTWARE IS PROVIDED": "BSD-2-Clause",
+    licences.TEMPLATES["BSD-3-Clause"].replace("the copyright holder nor", "the Acme Works nor"): "BSD-3-Clause",
+    licences.TEMPLATES["BSD-4-Clause"].replace("developed by the copyright holder", "developed by Acme"): "BSD-4-Clause",
+}
+
+
+def test_neighbours_are_told_apart(spark):
+    texts = list(NEIGHBOURS)
+    rng = random.Random(6)
+    docs = table(spark, [f"{prose(rng, 20)}\n{t}\n{prose(rng, 20)}" for t in texts])
+    found = {texts[r["doc_id"]]: r["licence"] for r in licences.scan(docs).collect()}
+    assert found == NEIGHBOURS
+
+
+def test_own_templates_with_marks(spark):
+    own = "one two three four five six seven eight nine ten " * 2 + "version 7 of it"
+    docs = table(spark, [own, own.replace("7", "8")])
+    assert [r["n_found"] for r in licences.scan(docs, {"own": own}).orderBy("doc_id").collect()] == [1, 1]
+    found = licences.scan(docs, {"own": own}, marks={"own": ["version 7"]}).orderBy("doc_id").collect()
+    assert [r["n_found"] for r in found] == [1, 0]
+
+
 def test_repeated_rows_clashing_columns_and_empty(spark):
     text = "Released under the MIT License."
     docs = table(spark, [text, text, "x"], ids=[1, 1, None]).selectExpr("*", "lang AS licence", "1 AS matches")
