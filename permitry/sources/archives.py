@@ -15,15 +15,19 @@ from permitry.schemas import SNAPSHOT_TEXT
 BLOCK = 1 << 20
 #: Cells of a record that are parsed; a wanted column further right is refused.
 WIDTH = 128
-_RECORD = re.compile(r'(?:[^"\r\n]+|"[^"]*"?)+')
+#: As in csv.reader a quote opens a quoted run only as the first character of a cell.
+_CELL = re.compile(r'"[^"]*(?:""[^"]*)*(?:"[^,\r\n]*)?|[^",\r\n][^,\r\n]*')
+_RECORD = re.compile(rf'(?:{_CELL.pattern}|,)+')
 
 
-def _whole_records(block):
-    """Where the last record of a block ends that is surely complete: a line end outside quotes; 0 if there is none."""
-    end = block.rfind("\n") + 1
-    while end and block.count('"', 0, end) % 2:
-        end = block.rfind("\n", 0, end - 1) + 1
-    return end
+def _cut(block):
+    """Records of a block that are surely complete, as they end before it does, and the rest."""
+    records, last = [], None
+    for last in _RECORD.finditer(block):
+        records.append(last.group())
+    if last and last.end() == len(block):
+        return records[:-1], block[last.start():]
+    return records, ""
 
 
 def member_blocks(content):
@@ -37,10 +41,9 @@ def member_blocks(content):
                 continue
             with archive.open(name) as raw:
                 text, header, held = io.TextIOWrapper(raw, "utf-8", errors="replace", newline=""), None, ""
-                while chunk := text.read(BLOCK):
-                    held += chunk
-                    end = _whole_records(held)
-                    records, held = _RECORD.findall(held[:end]), held[end:]
+                # a record of many blocks is read again for twice the text only
+                while chunk := text.read(max(BLOCK, len(held))):
+                    records, held = _cut(held + chunk)
                     if records and header is None:
                         header = next(csv.reader([records.pop(0)]))
                     if records:
@@ -65,17 +68,17 @@ def read_zipped_snapshots(spark, folder, default_year, columns=SNAPSHOT_TEXT, pa
                     spots = [header.index(c) + 1 if c in header else 0 for c in columns]
                     if max(spots) > WIDTH:
                         raise ValueError(f"{member} has a wanted column behind the first {WIDTH}")
+                    # a record of a single cell is none
+                    records = [r for r in records if not ((cell := _CELL.match(r)) and cell.end() == len(r))]
                     yield pd.DataFrame({"member": member, "spots": [spots] * len(records), "record": records})
 
     rows = archives.mapInPandas(unzip, "member string, spots array<int>, record string")
     layout = ", ".join(f"_{i} string" for i in range(WIDTH))
     cells = F.from_csv("record", layout, {"escape": '"', "mode": "PERMISSIVE"})
     parsed = rows.withColumn("cells", cells).withColumn("cells", F.array(*[F.col(f"cells._{i}") for i in range(WIDTH)]))
-    # a record of a single field has no comma outside quotes
-    more = F.regexp_replace("record", '"[^"]*"', "").contains(",")
     year = year_from_file_name("member", default_year)
     wanted = []
     for i, name in enumerate(columns, 1):
         spot = F.element_at("spots", i)
         wanted.append(drop_quotes(F.when(spot > 0, F.element_at("cells", F.greatest(spot, F.lit(1)))), comma_to_space).alias(name))
-    return parsed.where(more).select(*wanted, year.alias("YearRecorded"))
+    return parsed.select(*wanted, year.alias("YearRecorded"))

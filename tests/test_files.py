@@ -1,7 +1,9 @@
 """Readers and writers."""
 
+import csv
 import io
 import json
+import random
 import zipfile
 
 import pytest
@@ -93,6 +95,29 @@ def test_zip_records_across_blocks(size, monkeypatch):
     assert {(name, tuple(header)) for name, header, _ in found} == {("2012.csv", ("BusinessName", "City"))}
 
 
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_zip_quotes_inside_cells(size, monkeypatch):
+    monkeypatch.setattr(archives, "BLOCK", size)
+    rng = random.Random(size)
+    texts = ['A,B\n12" Pizza,V\nNext,W\n6" Sub,5"\n"x, ""y""\n2",z\nLast,"u"v"w\n', 'A,B\nc,d\n"open,1\ne,f\n']
+    texts += ["A,B\n" + "".join(rng.choice('aab"",,\n') for _ in range(40)) for _ in range(150)]
+    for text in texts:
+        content = io.BytesIO()
+        with zipfile.ZipFile(content, "w") as archive:
+            archive.writestr("2012.csv", text)
+        found = [r for _, _, block in archives.member_blocks(content.getvalue()) for r in block]
+        cells = [next(csv.reader(io.StringIO(r, newline=""))) for r in found]
+        assert cells == [r for r in csv.reader(io.StringIO(text, newline="")) if r][1:]
+
+
+def test_zip_lone_quotes(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        archive.writestr("2012.csv", 'BusinessName,City\n12" Pizza,V\nBob,W\n6" Sub,5" X\n12" alone\n"one, cell"\n"A, ""B""",Z\nEnd,Y\n')
+    found = archives.read_zipped_snapshots(spark, str(tmp_path), 2017, ["BusinessName", "City"])
+    assert sorted((r.BusinessName, r.City) for r in found.collect()) == [
+        ("12 Pizza", "V"), ("6 Sub", "5 X"), ("A, B", "Z"), ("Bob", "W"), ("End", "Y")]
+
+
 def test_zip_draft_and_width(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
         archive.writestr("2012.csv", 'BusinessName,City\n"A, ""B""",V\n')
