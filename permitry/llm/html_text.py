@@ -5,7 +5,8 @@
 2. Pages of a host are aligned by simple tree matching: two nodes of equal tag and label match, and their children are
    aligned in order so that most nodes match. A task merges its pages host by host into a template; templates of tasks
    are merged in two rounds, so that a host with a third of all pages is never gathered as pages. A template node counts
-   its pages and votes (Boyer-Moore) for its text.
+   its pages and votes (Boyer-Moore) for its text. A second pass aligns every page with the finished template of its
+   host and counts exactly each node's pages and those that have the winning text.
 3. A node whose text wins the vote on nearly all pages of at least ``FEW`` is constant and belongs to the template; the
    others are slots. Every page is aligned with its host's template, and its constant nodes are left out.
 4. Slots that are menus, headers, footers, sidebars, notices, adverts, forms or comments by tag or label are left out, and
@@ -167,6 +168,7 @@ def host_of(address):
 
 
 _TEMPLATE = "host string, template string"
+_COUNTS = "host string, node int, pages bigint, votes bigint"
 
 
 def _templates(rows):
@@ -202,6 +204,63 @@ def _merged_templates(table):
     return pa.Table.from_batches([_templates(merged.items())])
 
 
+def _preorder(node):
+    yield node
+    for child in node.children:
+        yield from _preorder(child)
+
+
+def _count(page, template, match=None):
+    """Count a page at the nodes of its host's template."""
+    _, pairs = match or _matched(page, template)
+    template.pages += 1
+    template.votes += page.vote == template.vote
+    for i, j, below in pairs:
+        _count(page.children[i], template.children[j], below)
+
+
+def _counts(held):
+    rows = [(host, i, node.pages, node.votes) for host, root in held.items() for i, node in enumerate(_preorder(root)) if node.pages]
+    types = pa.string(), pa.int32(), pa.int64(), pa.int64()
+    return pa.RecordBatch.from_arrays(
+        [pa.array(values, kind) for values, kind in zip(zip(*rows), types)], ["host", "node", "pages", "votes"])
+
+
+def _page_counts(batches):
+    held = {}
+    for batch in batches:
+        for host, text, template in zip(*(batch.column(name).to_pylist() for name in ("host", "html", "template"))):
+            if host not in held:
+                if len(held) >= HOSTS_HELD:
+                    yield _counts(held)
+                    held = {}
+                held[host] = _load(json.loads(template))
+                for node in _preorder(held[host]):
+                    node.pages = node.votes = 0
+            _count(fold([parse(text or "")]), held[host])
+    if held:
+        yield _counts(held)
+
+
+def _with_counts(batches):
+    for batch in batches:
+        done = []
+        for host, template, counts in zip(*(batch.column(name).to_pylist() for name in ("host", "template", "counts"))):
+            root, known = _load(json.loads(template)), {c["node"]: c for c in counts}
+            for i, node in enumerate(_preorder(root)):
+                node.pages, node.votes = (known[i]["pages"], known[i]["votes"]) if i in known else (0, 0)
+            done.append((host, root))
+        yield _templates(done)
+
+
+def _counted(rows, merged):
+    """The templates with exact counts of pages and votes."""
+    counts = rows.join(merged, "host").select("host", "html", "template").mapInArrow(_page_counts, _COUNTS)
+    each = counts.groupBy("host", "node").agg(F.sum("pages").alias("pages"), F.sum("votes").alias("votes"))
+    of_host = each.groupBy("host").agg(F.collect_list(F.struct("node", "pages", "votes")).alias("counts"))
+    return merged.join(of_host, "host").mapInArrow(_with_counts, _TEMPLATE)
+
+
 def templates(pages, address_column="url", html_column="html"):
     """Rows (host, template), one for each host, from all pages."""
     rows = pages.select(host_of(F.col(address_column)).alias("host"), F.col(html_column).cast("string").alias("html"))
@@ -209,7 +268,8 @@ def templates(pages, address_column="url", html_column="html"):
     bucket = F.pmod(F.xxhash64("host", "salt"), F.lit(TASK_TEMPLATES)).cast("int")
     once = found.groupBy(bucket.alias("bucket")).applyInArrow(_merged_templates, _TEMPLATE)
     bucket = F.pmod(F.xxhash64("host"), F.lit(TASK_TEMPLATES)).cast("int")
-    return written(once.groupBy(bucket.alias("bucket")).applyInArrow(_merged_templates, _TEMPLATE))
+    merged = written(once.groupBy(bucket.alias("bucket")).applyInArrow(_merged_templates, _TEMPLATE))
+    return written(_counted(rows, merged))
 
 
 def _fix(page, template, match=None, parent_pages=0):

@@ -78,6 +78,19 @@ def test_constant_nodes_are_template(spark):
     assert found[51]["text"] == "" and found[51]["url"] is None and found[None]["text"] == ""
 
 
+@pytest.mark.parametrize("parts", [1, 3, 8])
+@pytest.mark.parametrize("others, kept", [(6, False), (7, True)])
+def test_constant_by_true_share(spark, parts, others, kept):
+    """80 % of 30 pages are 24; the net vote of 24 against 6 is 18 at most."""
+    note = "<div class='x'>{} on most pages</div>"
+    rows = [(i, "http://h.example/x", f"<p>Article {i}.</p>" + note.format(f"Not {i}" if i % 4 == 0 and i < 4 * others else "Same"))
+            for i in range(30)]
+    found = {r["page_id"]: r["text"] for r in html_text.extract(pages(spark, rows).repartition(parts)).collect()}
+    for i in range(30):
+        other = i % 4 == 0 and i < 4 * others
+        assert found[i] == f"Article {i}." + (f"\n\nNot {i} on most pages" if other else "\n\nSame on most pages" if kept else "")
+
+
 def test_articles_that_repeat_are_kept(spark):
     rows = [(i, "http://h.example/x", "<nav>menu</nav><article><h1>T</h1><p>the same article</p></article>") for i in range(20)]
     assert {r["text"] for r in html_text.extract(pages(spark, rows)).collect()} == {"T\n\nthe same article"}
