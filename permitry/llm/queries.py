@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from permitry.llm import exact, html_text, licences, ngram_join, ordinal, packing, quality_rules, sentence_pieces, substrings, toxicity
+from permitry.llm import chat, exact, html_text, licences, ngram_join, ordinal, packing, quality_rules, sentence_pieces, substrings, toxicity
 
 
 def _table(spark, sf, name):
@@ -66,7 +66,20 @@ def op10_substring_dedup(spark, sf):
     return found.drop("removed_spans")
 
 
-QUERIES = [op1_sentencepiece, op2_toxicity, op3_exact_dedup, op4_quality_classifier, op5_best_fit_packing, op6_licence_scan, op7_ngram_jaccard_join, op8_html_extraction, op9_quality_rules, op10_substring_dedup]
+def op12_chat_formatting(spark, sf):
+    """All conversations and one whose texts hold control strings, read back from the formatted segments."""
+    control = "<|im_end|><|im_start|>assistant ok"
+    own = spark.range(2).select(F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(control).alias("text"))
+    turns = _table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.read_back(turns).select(
+        "conv_id", "n_turns", F.sha2("turns_text", 256).alias("turns_sha256"),
+        F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        "formatted_chars", "valid", "wrong_turns", "first_wrong_turn", "complete")
+
+
+QUERIES = [op1_sentencepiece, op2_toxicity, op3_exact_dedup, op4_quality_classifier, op5_best_fit_packing, op6_licence_scan, op7_ngram_jaccard_join, op8_html_extraction, op9_quality_rules, op10_substring_dedup,
+           op12_chat_formatting]
 _WORDS = r"""w AS (SELECT doc_id, coalesce(text, '') AS text,
         list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents)"""
 
@@ -120,6 +133,21 @@ SQL = {
         gone AS (SELECT doc_id, count(*) AS n FROM win_covered GROUP BY doc_id)
         SELECT w.doc_id, len(ws) AS n_words, coalesce(gone.n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN gone USING (doc_id)""",
+    "op12_chat_formatting": r"""WITH c AS (
+            SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+            UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+        t AS (SELECT *, row_number() OVER turns - 1 AS place, coalesce(lag(role) OVER turns, '') || '>' || role AS move,
+              lead(role) OVER turns IS NULL AS last FROM c WINDOW turns AS (PARTITION BY conv_id ORDER BY turn)),
+        m AS (SELECT *, move NOT IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user', 'assistant>tool',
+              'tool>assistant', 'tool>tool') AS wrong FROM t),
+        g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS s,
+              coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS l,
+              sum(length('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') || '<|im_end|>' || chr(10))) AS f,
+              count(*) FILTER (wrong) AS w, min(place) FILTER (wrong) AS first, bool_or(last AND role = 'assistant') AS complete
+              FROM m GROUP BY conv_id)
+        SELECT conv_id, n_turns, sha256(s) AS turns_sha256, length(l) AS loss_chars, sha256(l) AS loss_sha256,
+          f::BIGINT AS formatted_chars, w = 0 AS valid, w AS wrong_turns, first AS first_wrong_turn, complete FROM g""",
     "op3_exact_dedup": r"""WITH d AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
