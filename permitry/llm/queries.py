@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from permitry.llm import chat, exact, fill_middle, html_text, licences, ngram_join, ordinal, packing, quality_rules, sentence_pieces, substrings, toxicity
+from permitry.llm import chat, divergence, exact, fill_middle, html_text, licences, ngram_join, ordinal, packing, quality_rules, sentence_pieces, substrings, toxicity
 
 
 def _table(spark, sf, name):
@@ -84,8 +84,12 @@ def op12_chat_formatting(spark, sf):
         "formatted_chars", "valid", "wrong_turns", "first_wrong_turn", "complete")
 
 
+def op13_source_divergence(spark, sf):
+    return divergence.audit(_table(spark, sf, "documents"))
+
+
 QUERIES = [op1_sentencepiece, op2_toxicity, op3_exact_dedup, op4_quality_classifier, op5_best_fit_packing, op6_licence_scan, op7_ngram_jaccard_join, op8_html_extraction, op9_quality_rules, op10_substring_dedup,
-           op11_fill_in_middle, op12_chat_formatting]
+           op11_fill_in_middle, op12_chat_formatting, op13_source_divergence]
 _WORDS = r"""w AS (SELECT doc_id, coalesce(text, '') AS text,
         list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents)"""
 
@@ -152,6 +156,27 @@ SQL = {
           CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
             ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM f""",
+    "op13_source_divergence": r"""WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+              regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        t AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT row) >= 10),
+        l AS (SELECT lang, count(*) AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+        every AS (SELECT g.lang, g.source, kept.term, kept.n AS lang_n, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+              FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)),
+        p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (every.total::HUGEINT + 2 * v) AS p,
+              1 + (1000000000::HUGEINT * (lang_n + 2)) // (l.total + 2 * v) AS q FROM every JOIN l USING (lang)),
+        pair AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0) AS value
+              FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+        terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p WHERE n > 0 AND p > q),
+        r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+              FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM r WHERE part = 'pair' OR rank <= 10""",
     "op12_chat_formatting": r"""WITH c AS (
             SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
             UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'

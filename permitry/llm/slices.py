@@ -15,3 +15,20 @@ def slices(batch, column, size=SLICE_BYTES):
     for first, last in zip(cuts, cuts[1:]):
         if last > first:
             yield batch.slice(first, last - first)
+
+
+def gathered(batches, column, size):
+    """Record batches put together as long as their texts in ``column`` have up to ``size`` bytes."""
+    held, held_bytes = [], 0
+    for batch in batches:
+        if held and held_bytes + batch.column(column).nbytes > size:
+            yield _joined(held)
+            held, held_bytes = [], 0
+        held.append(batch)
+        held_bytes += batch.column(column).nbytes
+    if held:
+        yield _joined(held)
+
+
+def _joined(batches):
+    return batches[0] if len(batches) == 1 else pa.concat_batches(batches)
