@@ -17,7 +17,6 @@ results; NULL ids are returned as they are; an empty table gives an empty result
 not looked at.
 """
 
-import re
 from functools import partial
 
 import numpy as np
@@ -35,40 +34,123 @@ RATE = 0.3
 DECAY = 1e-6
 KEEP_AT = 0.5
 _SHARES = 8
-
-
-class _Shapes(dict):
-    """Word -> hash of its shape; a run of one class is one character, marks stay."""
-
-    def __missing__(self, word):
-        if len(self) >= words.KNOWN_WORDS:
-            self.clear()
-        shape = re.sub(rb"[a-z\x80-\xff]+", b"a", word)
-        shape = re.sub(rb"[0-9]+", b"0", re.sub(rb"[A-Z]{2,}", b"AA", shape))
-        found = self[word] = xxhash.xxh64_intdigest(shape, 1)
-        return found
-
-
-def _hashed(values):
-    slots, counts = np.unique(words.mixed(values) >> np.uint64(64 - BITS), return_counts=True)
-    return slots.astype(np.int64), np.sqrt(counts / max(1, len(values)))
-
-
-def features(text, numbers, shapes):
-    """Slots and values of a text (bytes); the last slots hold shares of repetition."""
-    own = text.split()
-    as_words, as_shapes = words.numbered(own, numbers), words.numbered(own, shapes)
-    parts = [_hashed(as_words), _hashed(as_shapes + np.uint64(1)), _hashed(words.rolling(as_shapes, 2) + np.uint64(2))]
-    shares = np.zeros(_SHARES)
+#: Bytes whose words are hashed at once.
+PART = 1 << 20
+#: Training rows whose features are made at once.
+TOGETHER = 64
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, *range(9, 14)]] = True
+#: Classes of bytes for the shape of a word; marks are classes of their own.
+_CLASS = np.array([ord("a") if 97 <= b < 123 or b >= 128 else ord("0") if 48 <= b < 58 else ord("A") if 65 <= b < 91 else b
+                   for b in range(256)], np.uint8)
+_MARKS = (b"#", b"*", b"$", b"%", b"&", b"|", b"!")
+
+
+def _parts(data):
+    """Cuts of an array of bytes into parts of about ``PART`` bytes that end between words."""
+    first = 0
+    while first < len(data):
+        last = min(len(data), first + PART)
+        while last < len(data) and not _SPACE[data[last]]:
+            step = np.flatnonzero(_SPACE[data[last:last + PART]])
+            last = last + int(step[0]) if len(step) else min(len(data), last + PART)
+        yield first, last
+        first = last
+
+
+class Hasher:
+    """Hashes of the words of a text and of their shapes, by sums of bytes times powers of an odd number."""
+
+    def __init__(self):
+        self.powers = self.inverse = np.empty(0, np.uint64)
+
+    def _spans(self, values, starts, ends):
+        if len(values) > len(self.powers):
+            self.powers = words.powers(words.BASES[0], 2 * len(values))
+            self.inverse = words.powers(pow(words.BASES[0], -1, 1 << 64), 2 * len(values))
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum((values.astype(np.uint64) + np.uint64(1)) * self.powers[:len(values)], out=sums[1:])
+        return words.mixed((sums[ends] - sums[starts]) * self.inverse[starts])
+
+    def _part(self, data):
+        space = _SPACE[data]
+        edges = np.diff(space.view(np.int8), prepend=np.int8(1), append=np.int8(1))
+        starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+        kind = _CLASS[data]
+        same = np.zeros(len(data), bool)
+        same[1:] = kind[1:] == kind[:-1]
+        run = same & ((kind == ord("a")) | (kind == ord("0")))
+        # of capitals, two tell a run from a single one
+        run[2:] |= same[2:] & same[1:-1] & (kind[2:] == ord("A"))
+        place = np.concatenate(([0], np.cumsum(~run)))
+        return starts, self._spans(data, starts, ends), self._spans(kind[~run], place[starts], place[ends])
+
+    def of(self, data):
+        """Places of the words, their hashes and the hashes of their shapes."""
+        found = [(part[0] + first, *part[1:]) for first, last in _parts(data) for part in [self._part(data[first:last])]]
+        none = np.empty(0, np.uint64)
+        return [np.concatenate(column) for column in zip(*found)] if found else [none.astype(np.int64), none, none]
+
+
+def _keys(values, texts, bits):
+    """Sorted keys: the text's number in the first ``bits`` bits, then the first bits of the value."""
+    keys = (texts.astype(np.uint64) << np.uint64(64 - bits)) | (values >> np.uint64(bits))
+    keys.sort()
+    return keys
+
+
+def _hashed(values, texts, counts, bits):
+    """Text, slot and value of each text's distinct slots."""
+    keys = _keys(values & ~np.uint64((1 << 64 - BITS) - 1), texts, bits)
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+    text = (keys[first] >> np.uint64(64 - bits)).astype(np.int64)
+    slots = ((keys[first] << np.uint64(bits)) >> np.uint64(64 - BITS)).astype(np.int64)
+    return text, slots, np.sqrt(np.diff(first, append=len(keys)) / np.maximum(1, counts)[text])
+
+
+def _inside(texts, width):
+    """Places from which ``width`` words are of one text."""
+    n = max(0, len(texts) - width + 1)
+    return texts[:n] == texts[width - 1:width - 1 + n]
+
+
+def features(texts, hasher):
+    """Features of a list of texts (bytes): arrays text, slot, value, by text, and a row of shares for each text."""
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    places, as_words, as_shapes = hasher.of(np.frombuffer(b" ".join([*texts, b""]), np.uint8))
+    of = np.searchsorted(ends, places, side="right")
+    counts = np.bincount(of, minlength=len(texts))
+    bits = max(1, len(texts).bit_length())
+    pairs = _inside(of, 2)
+    parts = [_hashed(as_words, of, counts, bits), _hashed(as_shapes, of, counts, bits),
+             _hashed(words.rolling(as_shapes, 2)[pairs], of[:len(pairs)][pairs], counts - 1, bits)]
+    shares = np.zeros((len(texts), _SHARES))
     for i, width in enumerate((1, 2, 4)):
-        runs = words.rolling(as_words, width)
-        shares[i] = 1 - len(np.unique(runs)) / len(runs) if len(runs) else 0
-    if len(own) > 1:
-        shares[3] = np.mean(as_words[1:] == as_words[:-1])
-    marks = sum(text.count(c) for c in (b"#", b"*", b"$", b"%", b"&", b"|", b"!"))
-    shares[4:7] = min(1, marks / max(1, len(own))), 1 / (1 + len(own)), min(1, np.log1p(len(own)) / 12)
-    slots = np.concatenate([p[0] for p in parts] + [np.arange(_SHARES) + (1 << BITS)])
-    return slots, np.concatenate([p[1] for p in parts] + [shares])
+        inside = _inside(of, width)
+        keys = _keys(words.rolling(as_words, width)[inside], of[:len(inside)][inside], bits)
+        new = keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
+        distinct = np.bincount((new >> np.uint64(64 - bits)).astype(np.int64), minlength=len(texts))
+        runs = counts - width + 1
+        shares[:, i] = np.where(runs > 0, 1 - distinct / np.maximum(1, runs), 0)
+    again = np.flatnonzero((as_words[1:] == as_words[:-1]) & pairs)
+    shares[:, 3] = np.bincount(of[again], minlength=len(texts)) / np.maximum(1, counts - 1)
+    marks = np.array([sum(map(t.count, _MARKS)) for t in texts])
+    shares[:, 4] = np.minimum(1, marks / np.maximum(1, counts))
+    shares[:, 5] = 1 / (1 + counts)
+    shares[:, 6] = np.minimum(1, np.log1p(counts) / 12)
+    return [np.concatenate(column) for column in zip(*parts)], shares
+
+
+def rows_of(found, shares):
+    """Slots and values of each text; the last slots are its shares."""
+    text, slots, values = found
+    order = np.argsort(text, kind="stable")
+    cuts = np.searchsorted(text[order], np.arange(1, len(shares)))
+    last = np.arange(_SHARES) + (1 << BITS)
+    return [(np.concatenate([s, last]), np.concatenate([v, own]))
+            for s, v, own in zip(np.split(slots[order], cuts), np.split(values[order], cuts), shares)]
 
 
 def _sigmoid(x):
@@ -82,6 +164,20 @@ class Model:
         self.weights, self.thresholds, self.grades = weights, thresholds, grades
 
 
+def slopes(s, thresholds, level):
+    """Derivatives of -log P(grade = level) by s and by each threshold."""
+    above = _sigmoid(s - thresholds)
+    tail = np.concatenate(([1.0], above, [0.0]))
+    slope = np.concatenate(([0.0], above * (1 - above), [0.0]))
+    chance = max(tail[level] - tail[level + 1], 1e-9)
+    by_threshold = np.zeros(len(thresholds))
+    if level > 0:
+        by_threshold[level - 1] += slope[level] / chance
+    if level < len(thresholds):
+        by_threshold[level] -= slope[level + 1] / chance
+    return -(slope[level] - slope[level + 1]) / chance, by_threshold
+
+
 def fit(rows, levels):
     """Weights and thresholds from (slots, values) and level of each row, levels 0 to ``levels`` - 1."""
     weights, squares = np.zeros((1 << BITS) + _SHARES), np.full((1 << BITS) + _SHARES, 1e-8)
@@ -91,18 +187,7 @@ def fit(rows, levels):
         for (slots, values), level in rows:
             gaps = np.exp(steps)
             thresholds = first + np.concatenate(([0.0], np.cumsum(gaps)))
-            s = weights[slots] @ values
-            above = _sigmoid(s - thresholds)
-            tail = np.concatenate(([1.0], above, [0.0]))
-            slope = np.concatenate(([0.0], above * (1 - above), [0.0]))
-            chance = max(tail[level] - tail[level + 1], 1e-9)
-            # derivative of -log chance by s and by each threshold
-            by_s = -(slope[level] - slope[level + 1]) / chance
-            by_threshold = np.zeros(levels - 1)
-            if level > 0:
-                by_threshold[level - 1] += slope[level] / chance
-            if level < levels - 1:
-                by_threshold[level] -= slope[level + 1] / chance
+            by_s, by_threshold = slopes(weights[slots] @ values, thresholds, level)
             step = by_s * values + DECAY * weights[slots]
             squares[slots] += step * step
             weights[slots] -= RATE * step / np.sqrt(squares[slots])
@@ -116,10 +201,13 @@ def fit(rows, levels):
 
 
 def _fit_shard(table, grades):
-    numbers, shapes = words.Numbers(), _Shapes()
     rows = sorted(zip(table.column("id").to_pylist(), table.column("text").cast(pa.binary()).to_pylist(),
                       table.column("label").to_pylist()), key=lambda r: xxhash.xxh64_intdigest(str(r[0]).encode()))
-    weights, thresholds = fit([(features(t, numbers, shapes), grades.index(g)) for _, t, g in rows], len(grades))
+    hasher, learned = Hasher(), []
+    for at in range(0, len(rows), TOGETHER):
+        own = rows[at:at + TOGETHER]
+        learned += zip(rows_of(*features([t for _, t, _ in own], hasher)), [grades.index(g) for _, _, g in own])
+    weights, thresholds = fit(learned, len(grades))
     used = np.flatnonzero(weights)
     slots = np.concatenate([used, -1 - np.arange(len(thresholds))])
     return pa.table({"slot": pa.array(slots, pa.int64()), "weight": pa.array(np.concatenate([weights[used], thresholds]))})
@@ -143,16 +231,15 @@ def train(docs, labels, grade, id_column="doc_id", text_column="text", sample=sa
 
 
 def _score(batches, weights, thresholds, grades, target, schema):
-    numbers, shapes = words.Numbers(), _Shapes()
+    hasher = Hasher()
     low, gaps = float(grades[0]), np.diff(np.array(grades, float))
     reach = np.searchsorted(grades, target)
     for whole in batches:
         for batch in slices(whole, 1):
-            sums = []
-            for text in batch.column(1).cast(pa.binary()).to_pylist():
-                slots, values = features(text or b"", numbers, shapes)
-                sums.append(weights[slots] @ values)
-            above = _sigmoid(np.array(sums)[:, None] - thresholds[None, :])
+            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            (text, slots, values), shares = features(texts, hasher)
+            sums = np.bincount(text, weights[slots] * values, len(texts)) + shares @ weights[1 << BITS:]
+            above = _sigmoid(sums[:, None] - thresholds[None, :])
             tail = above[:, reach - 1] if 0 < reach <= len(thresholds) else np.full(len(sums), float(reach == 0))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(low + above @ gaps), pa.array(tail)], schema=schema)
 

@@ -37,11 +37,12 @@ def mixed(values):
     return values ^ (values >> np.uint64(32))
 
 
-def _powers(base, count):
-    powers = np.full(count, base, np.uint64)
+def powers(base, count):
+    """The first ``count`` powers of a base, from its power 0."""
+    found = np.full(count, base, np.uint64)
     if count:
-        powers[0] = 1
-    return np.multiply.accumulate(powers)
+        found[0] = 1
+    return np.multiply.accumulate(found)
 
 
 def rolling(numbers, width, lane=0):
@@ -52,9 +53,9 @@ def rolling(numbers, width, lane=0):
     base = BASES[lane]
     source = mixed(numbers ^ np.uint64(BASES[1])) if lane else numbers
     sums = np.zeros(len(numbers) + 1, np.uint64)
-    np.cumsum(source * _powers(base, len(numbers)), out=sums[1:])
+    np.cumsum(source * powers(base, len(numbers)), out=sums[1:])
     inverse = pow(base, -1, 1 << 64)
-    return mixed((sums[width:] - sums[:n]) * _powers(inverse, n))
+    return mixed((sums[width:] - sums[:n]) * powers(inverse, n))
 
 
 def covered(starts, width, length):

@@ -1,6 +1,8 @@
 """Toxicity and graded quality: held-out accuracy on the test tables, and defined cases."""
 
 import os
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -102,6 +104,86 @@ def test_thresholds_are_ordered_and_grades_follow():
     assert np.corrcoef(expected, [level for _, level in rows])[0, 1] > 0.9
 
 
+def plain_features(text):
+    """Counts of words, shapes and neighbouring shapes, and the shares, of one text."""
+    own = text.decode().split()
+    shapes = [re.sub("[A-Z]{2,}", "AA", re.sub("[0-9]+", "0", re.sub("[a-z\u0080-\U0010ffff]+", "a", w))) for w in own]
+
+    def repeated(width):
+        runs = [tuple(own[i:i + width]) for i in range(len(own) - width + 1)]
+        return 1 - len(set(runs)) / len(runs) if runs else 0
+
+    marks = sum(text.decode().count(c) for c in "#*$%&|!")
+    shares = [repeated(1), repeated(2), repeated(4), sum(a == b for a, b in zip(own, own[1:])) / max(1, len(own) - 1),
+              min(1, marks / max(1, len(own))), 1 / (1 + len(own)), min(1, np.log1p(len(own)) / 12), 0]
+    groups = [own, shapes, list(zip(shapes, shapes[1:]))]
+    return [sorted(np.sqrt(n / len(g)) for n in Counter(g).values()) for g in groups], shares
+
+
+@pytest.mark.parametrize("part", [1 << 20, 16, 1])
+def test_features_like_plain_counts(monkeypatch, part):
+    monkeypatch.setattr(ordinal, "PART", part)
+    rng = np.random.default_rng(part)
+    words = ["the", "The", "THE", "TH", "x1", "1,000", "Ünï", "漢字", "a-b", "#$%", "aB", "AAb", "!!", "don't"]
+    texts = ["", " ", "one", "same " * 9, *(" ".join(rng.choice(words, rng.integers(1, 60))) for _ in range(20))]
+    texts = [t.replace(" ", " \t\n", 1).encode() for t in texts]
+    found, shares = ordinal.features(texts, ordinal.Hasher())
+    for text, (slots, values), own in zip(texts, ordinal.rows_of(found, shares), shares):
+        groups, wanted = plain_features(text)
+        assert own == pytest.approx(wanted)
+        assert len(slots) == len(values) == sum(map(len, groups)) + 8 and max(slots) < (1 << ordinal.BITS) + 8
+        assert sorted(values[:-8]) == pytest.approx(sorted(v for g in groups for v in g))
+    alone = [ordinal.features([t], ordinal.Hasher()) for t in texts]
+    assert all(sorted(a[0][1]) == sorted(found[1][found[0] == i]) for i, a in enumerate(alone))
+
+
+def test_slopes_like_differences():
+    rng = np.random.default_rng(4)
+    for levels in (2, 3, 5):
+        for _ in range(20):
+            s, thresholds = rng.normal(), np.sort(rng.normal(size=levels - 1)) + np.arange(levels - 1)
+            level = int(rng.integers(levels))
+
+            def loss(s, t):
+                tail = [1, *(1 / (1 + np.exp(-(s - x))) for x in t), 0]
+                return -np.log(tail[level] - tail[level + 1])
+
+            by_s, by_threshold = ordinal.slopes(s, thresholds, level)
+            assert by_s == pytest.approx((loss(s + 1e-6, thresholds) - loss(s - 1e-6, thresholds)) / 2e-6, abs=1e-5)
+            for k in range(levels - 1):
+                step = np.eye(levels - 1)[k] * 1e-6
+                assert by_threshold[k] == pytest.approx((loss(s, thresholds + step) - loss(s, thresholds - step)) / 2e-6, abs=1e-5)
+
+
+def test_ftrl_like_a_plain_loop():
+    """The published rule, one coordinate at a time, on the same features."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{rng.integers(25)}" for _ in range(12)).encode() for _ in range(60)]
+    labels = np.array([int(b"w3" in t.split() or b"w7 w1" in t) for t in texts])
+    held = [{int(f) for f in toxicity.features(t, toxicity.words.Numbers())} for t in texts]
+    often = Counter(f for h in held for f in h)
+    z, n, weights = Counter(), Counter(), {}
+
+    def weight(i):
+        bound = 0 if i == int(toxicity.BIAS) else toxicity.L1
+        if abs(z[i]) <= bound:
+            return 0.0
+        return -(z[i] - (bound if z[i] > 0 else -bound)) / ((toxicity.BETA + n[i] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for own, label in zip(held, labels):
+            active = [i for i in own if often[i] >= toxicity.FEWEST] + [int(toxicity.BIAS)]
+            weights = {i: weight(i) for i in active}
+            gradient = 1 / (1 + np.exp(-sum(weights.values()))) - label
+            for i in active:
+                z[i] += gradient - ((n[i] + gradient ** 2) ** 0.5 - n[i] ** 0.5) / toxicity.ALPHA * weights[i]
+                n[i] += gradient ** 2
+    wanted = {i: w for i in z if (w := weight(i))}
+    keys, found = toxicity.fit(texts, labels)
+    assert set(keys.tolist()) == set(wanted) and len(wanted) > 2
+    assert found == pytest.approx([wanted[int(k)] for k in keys])
+
+
 def test_tail_probability_of_each_grade(spark):
     docs = table(spark, ["a b", "", None])
     model = ordinal.Model(np.zeros((1 << ordinal.BITS) + 8), np.array([-1.0, 0.5]), [0, 1, 3])
