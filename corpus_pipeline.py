@@ -1,4 +1,10 @@
-"""A training corpus from the table of documents: five stages, each a table that the next one reads."""
+"""A training corpus from the table of documents: five stages, each a table that the next one reads.
+
+Defined cases, for every stage: NULL texts count as empty and stay (the exact stage keeps one of the empty texts, the
+substring stage gives them as empty texts); rows with a NULL id are documents like others; of repeated rows the exact stage
+keeps one; an empty table gives an empty table; other columns are carried along untouched, whatever their names, up to
+the last stage, and ``n_chars`` is counted anew where it is there. Documents of any length are read as a whole.
+"""
 
 from pyspark.sql import functions as F
 
@@ -22,9 +28,11 @@ def drop_near_copies(spark, docs, sf_dir):
 
 
 def drop_shared_passages(spark, docs, sf_dir):
-    """Texts without passages that occur elsewhere; their lengths are counted anew."""
+    """Texts without passages that occur elsewhere; their lengths, where there are any, are counted anew."""
     tune(spark)
     cut = substrings.drop_passages(docs)
+    if "n_chars" not in docs.columns:
+        return cut
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -177,6 +177,6 @@ def repeated_passages(docs, id_column="doc_id", text_column="text", window=WINDO
 
 def drop_passages(docs, text_column="text", window=WINDOW):
     """All documents with all their columns, their texts without the passages that occur elsewhere."""
-    others = F.struct(*[F.col(c) for c in docs.columns if c != text_column]).alias("id")
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_column]).alias("id")
     found = repeated_passages(docs.select(others, text_column), "id", text_column, window, with_text=True)
     return found.select(*[F.col("kept_text" if c == text_column else f"id.`{c}`").alias(c) for c in docs.columns])

@@ -161,4 +161,6 @@ def drop_toxic(docs, labels, id_column="doc_id", text_column="text", threshold=T
     """The documents that score below the threshold, with all their columns."""
     model = train(docs, labels, "toxic", id_column, text_column)
     run = partial(_keep_below, keys=model[0], weights=model[1], at=docs.columns.index(text_column), threshold=threshold)
-    return docs.mapInArrow(run, docs.schema)
+    # by place, as any name may be one that has to be quoted
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

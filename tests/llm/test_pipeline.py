@@ -63,9 +63,23 @@ def test_stages(spark, folder):
     assert sorted(map(tuple, alone.select(pieces).collect())) == sorted(map(tuple, whole.select(pieces).collect()))
 
 
+@pytest.mark.parametrize("texts", [[], [None, "", "one two", None, "one two"]])
+def test_stages_on_empty_tables_and_clashing_names(spark, folder, texts):
+    """Without n_chars, with names that hold a dot or that the stages use themselves, repeated rows and missing ids."""
+    docs = table(spark, texts, ids=[None, 1, 2, 3, 2][:len(texts)]).drop("n_chars")
+    docs = docs.selectExpr("*", "1 AS `a.b`", "lang AS id", "lang AS row", "2 AS chunk", "true AS kept", "lang AS kept_text", "3 AS score")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, folder))
+        if name != "best_fit_packing":
+            assert docs.columns == columns
+    kept = sorted((r["doc_id"] is not None, r["doc_id"], r["length"]) for r in docs.collect())
+    assert [k[1] for k in kept] == ([1, 2] if texts else [])
+
+
 def test_registered():
     names = registry.queries()
-    assert [n for n in range(1, 11) if any(name.startswith(f"op{n}_") for name in names)] == list(range(1, 11))
+    assert [n for n in range(1, 14) if any(name.startswith(f"op{n}_") for name in names)] == list(range(1, 14))
     assert "pipeline" in names and "op3_exact_dedup" in registry.oracle_sql()
 
 
