@@ -7,24 +7,22 @@ shuffle is needed to remove repeats.
 """
 
 import math
-from functools import partial
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from permitry.functions.text import tokens
 from permitry.functions.vectors import euclidean
+from permitry.operators.near import near_words
 from permitry.operators.skew import CELL, grid_join
 from permitry.schemas import STOP_WORDS
 from permitry.session import cut
 
 SMALL = 1e-9
 PARTS = 256
-BLOCK = 1000
 
 
 def _bags(types, column, stop_words, distinct, members=None):
@@ -224,44 +222,6 @@ def _weighted(bags, lexicon):
     return cut(bags.join(flat, "bag").drop("bag").withColumn("id", F.monotonically_increasing_id()))
 
 
-def _blocks(lexicon, suffix):
-    """Words with their vectors in blocks of about ``BLOCK``, neighbours by their distance to the pivot."""
-    count = max(1, -(-lexicon.count() // BLOCK))
-    placed = lexicon.repartitionByRange(count, "at", "word").withColumn("block", F.spark_partition_id())
-    packed = placed.groupBy("block").agg(
-        F.min("at").alias("low"), F.max("at").alias("high"), F.collect_list("word").alias("words"),
-        F.collect_list("vec").alias("vectors"))
-    return _side(cut(packed), suffix)
-
-
-def _near_in_blocks(batches, reach):
-    """Pairs of words within ``reach``, block against block by a matrix product."""
-    for batch in batches:
-        for words_l, vectors_l, words_r, vectors_r in zip(*(c.to_pylist() for c in batch.columns)):
-            a, b = np.array(vectors_l, float), np.array(vectors_r, float)
-            squares = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
-            i, j = np.nonzero(squares <= reach * reach)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([words_l[k] for k in i], pa.string()), pa.array([words_r[k] for k in j], pa.string())],
-                ["near", "word"])
-
-
-def near_words(lexicon, reach):
-    """Pairs (near, word) of a left and a right word within ``reach``, a little more for rounding.
-
-    Blocks meet unless their distances to the pivot differ by more than ``reach``; that rests on the triangle
-    inequality. Only pairs of block numbers are compared, the words and vectors follow by number.
-    """
-    width = float(reach) * (1 + 1e-6) + 1e-6
-    left = _blocks(lexicon.where(F.col("in_left") > 0), "l")
-    right = _blocks(lexicon.where(F.col("in_right") > 0), "r")
-    close = (F.col("low_l") <= F.col("high_r") + width) & (F.col("low_r") <= F.col("high_l") + width)
-    pairs = left.select("block_l", "low_l", "high_l").join(right.select("block_r", "low_r", "high_r"), close)
-    both = pairs.select("block_l", "block_r").join(left, "block_l").join(right, "block_r")
-    packed = both.select("words_l", "vectors_l", "words_r", "vectors_r")
-    return packed.mapInArrow(partial(_near_in_blocks, reach=width), "near string, word string")
-
-
 def relaxed_distances(weights_a, vectors_a, weights_b, vectors_b):
     """Relaxed word-mover distances of pairs of bags given as lists of weights and of vectors.
 

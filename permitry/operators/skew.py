@@ -30,8 +30,12 @@ def grid_join(left, right, left_key, right_key, condition, cell=CELL):
     rows are salted for that, so no exchange goes by the key alone. ``condition`` is checked inside the join.
     """
     table = cut(key_parts(left, right, left_key, right_key, cell))
-    salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if table.isEmpty():
+        # no key is hot; as below, the partitions are not to be put together by their size
+        a, b = left.repartition(partitions, left_key), right.repartition(partitions, right_key)
+        return a.join(b, (F.col(left_key) == F.col(right_key)) & condition)
+    salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
     def placed(df, key, own, own_parts, other, other_parts):
         salt = F.pmod(F.xxhash64(*df.columns, F.lit(1)), F.lit(SALTS)).cast("int")
