@@ -169,21 +169,68 @@ def _best_names(bag_pairs, n, ascending):
     return spread.orderBy(score, "left", "right").limit(n)
 
 
+def _sent(df, seen, until, floor, is_left):
+    """Rows with ``probe``: up to ``until`` of their words, so marked that two meet unless both are among the first ``seen``.
+
+    A pair whose first common word has ``p`` words before it in a bag of size ``s`` scores ``1 - p / s`` at most, so
+    only words whose best possible score reaches ``floor`` are sent.
+    """
+    reachable = F.floor(F.size("keys") * F.lit(1 - floor + SMALL)).cast("int") + 1
+    words = F.slice("keys", F.lit(1), F.least(F.lit(until), reachable))
+    old, new = F.slice(words, F.lit(1), F.lit(seen)), F.slice(words, F.lit(seen + 1), F.lit(until))
+
+    def marked(words, mark):
+        return F.transform(words, lambda word: F.concat(F.lit(mark), word))
+
+    # a new word of the left meets all of the right, an old one of the left only new ones
+    marks = [marked(new, "n"), marked(old, "o")] if is_left else [marked(words, "n"), marked(new, "o")]
+    return df.withColumn("probe", F.concat(*marks))
+
+
+def _round(left, right, seen, until, floor, cell):
+    """Bag pairs whose first common word is among the first ``until`` words of both, but not the first ``seen`` of both."""
+    a = _side(_sent(left, seen, until, floor, True), "l").withColumn("key_l", F.explode("probe_l"))
+    b = _side(_sent(right, seen, until, floor, False), "r").withColumn("key_r", F.explode("probe_r"))
+    common = F.array_intersect("keys_l", "keys_r")
+    score = F.size(common) / (F.size("keys_l") + F.size("keys_r") - F.size(common))
+    once = F.element_at(common, 1) == F.substr("key_l", F.lit(2))
+    return grid_join(a, b, "key_l", "key_r", once & (score >= floor - SMALL), cell).select("name_l", "name_r", score.alias("score"))
+
+
+def _last_score(best, n):
+    """The ``n``-th best score of the names of at most ``n`` ranked bag pairs, 0 if they have fewer."""
+    held = 0
+    for row in best.select("score", F.size("name_l").alias("l"), F.size("name_r").alias("r")).orderBy(F.desc("score")).collect():
+        held += row["l"] * row["r"]
+        if held >= n:
+            return row["score"]
+    return 0.0
+
+
 def jaccard_top(left, right, n=1000, left_column="BusinessType", right_column="BusinessType",
-                stop_words=STOP_WORDS, thresholds=(0.5, 0.25, 0.1, 0.0), cell=CELL):
+                stop_words=STOP_WORDS, cell=CELL):
     """The ``n`` most similar pairs of types, ties by name.
 
-    The threshold falls step by step until enough pairs reach it. Only the last step, needed when there
-    are fewer than ``n`` such pairs, joins on every word.
+    Words of a bag are in order of rarity. The first round looks at two words of each bag, every other at one more, later
+    at half as many more as so far. After each, a pair not seen yet scores no more than its bags' unseen words allow; bags that cannot reach the
+    ``n``-th best score any more send no words, and when there are no others the ranking is complete. Frequent words
+    are joined on only if the best ``n`` pairs hang on them.
     """
     a, b = _by_rarity(
         _bags(left, left_column, stop_words, True, n), _bags(right, right_column, stop_words, True, n)
     )
     a, b = cut(a), cut(b)
-    for at_least in thresholds:
-        best = cut(_best_names(_jaccard_join(a, b, at_least, cell), n, ascending=False))
-        if at_least == 0 or best.count() == n:
-            return best
+    longest = a.select("keys").unionByName(b.select("keys")).agg(F.max(F.size("keys"))).first()[0] or 0
+    seen, floor, best = 0, 0.0, None
+    lead = [F.desc("score"), F.element_at("name_l", 1), F.element_at("name_r", 1)]
+    while True:
+        until = max(2, seen + 1, seen * 3 // 2)
+        found = _round(a, b, seen, until, floor, cell)
+        best = cut((found if best is None else best.unionByName(found)).orderBy(*lead).limit(n))
+        floor, seen = _last_score(best, n), until
+        # the longest bag has the best possible score left
+        if seen >= longest or 1 - seen / longest < floor - SMALL:
+            return _best_names(best, n, ascending=False)
 
 
 def _lexicon(left, right, vectors):
