@@ -48,7 +48,7 @@ def _finals(spark, o):
 
 def run_candidates(spark, o):
     vectors = readers.read_word_vectors(spark, o.vectors) if o.vectors else None
-    writers.write_csv(harmonise.candidates(*_finals(spark, o), o.n, vectors), o.out, single_file=True)
+    writers.write_csv(harmonise.candidates(*_finals(spark, o), o.n, vectors, o.exact), o.out, single_file=True)
 
 
 def run_clusters(spark, o):
@@ -92,7 +92,7 @@ def _parser():
 
     job("ingest", run_ingest, "input", default_year=(int, 2017), zipped=(bool, False))
     job("clean", run_clean, "input", "cache", register=(bool, False), cache_version=(int, 0))
-    job("candidates", run_candidates, "a", "b", n=(int, 1000), vectors=(str, None))
+    job("candidates", run_candidates, "a", "b", n=(int, 1000), vectors=(str, None), exact=(bool, False))
     job("clusters", run_clusters, "a", "b", "labels", k=(int, 30))
     job("map-types", run_map_types, "a", "b", "labels", "clusters")
     job("finish", run_finish, "a", "b", "map")

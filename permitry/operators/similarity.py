@@ -1,4 +1,4 @@
-"""Similar business types: token Jaccard and relaxed word-mover distance between two vocabularies.
+"""Similar business types: token Jaccard and word-mover distance, relaxed or exact, between two vocabularies.
 
 Neither compares all pairs. Both reduce a vocabulary to *bags*, one row per distinct set (or multiset)
 of words, give every bag a list of keys such that two bags can only be close when they share a key, and
@@ -18,6 +18,7 @@ from permitry.functions.text import tokens
 from permitry.functions.vectors import euclidean
 from permitry.operators.near import near_words
 from permitry.operators.skew import CELL, grid_join
+from permitry.operators.transport import mover_distance
 from permitry.schemas import STOP_WORDS
 from permitry.session import cut
 
@@ -296,15 +297,24 @@ def _relaxed(wa: pd.Series, va: pd.Series, wb: pd.Series, vb: pd.Series) -> pd.S
 _relaxed = _relaxed.asNondeterministic()
 
 
+@F.pandas_udf(T.DoubleType())
+def _exact(wa: pd.Series, va: pd.Series, wb: pd.Series, vb: pd.Series) -> pd.Series:
+    return pd.Series([mover_distance(*pair) for pair in zip(wa, va, wb, vb)], dtype=float)
+
+
+_exact = _exact.asNondeterministic()
+
+
 def _reach(within, typical):
     """How far to look for near words: up to four radii, but no further than half of a typical distance."""
     return max(within, SMALL, min(4 * within, typical / 2))
 
 
-def _scored(pairs, left, right):
-    """Pairs (id_l, id_r) with names and relaxed distance; words and vectors are attached once, here."""
+def _scored(pairs, left, right, measure=_relaxed):
+    """Pairs (id_l, id_r) with names and distance; words and vectors are attached once, here."""
     both = pairs.join(_side(left, "l"), "id_l").join(_side(right, "r"), "id_r")
-    return both.select("name_l", "name_r", _relaxed("weights_l", "vectors_l", "weights_r", "vectors_r").alias("score"))
+    score = measure("weights_l", "vectors_l", "weights_r", "vectors_r").alias("score")
+    return both.select("id_l", "id_r", "name_l", "name_r", score)
 
 
 def _relaxed_join(left, right, lexicon, within, typical, cell):
@@ -353,14 +363,14 @@ def relaxed_pairs(left, right, vectors, within, left_column="BusinessType", righ
     return pairs.select(F.col("name_l").alias("left"), F.col("name_r").alias("right"), F.col("score").alias("distance"))
 
 
-def _first_radius(left, right, n, widest, cell):
+def _first_radius(left, right, n, widest, cell, measure=_relaxed):
     """The largest distance among the pairs most alike by their words, and how many pairs that are."""
     a, b = (df.select("id", "name", F.col("words").alias("keys")) for df in (left, right))
     radius, held = widest / 32, 0
     for at_least in (0.5, 0.25):
         pairs = _jaccard_join(a, b, at_least, cell)
         alike = pairs.orderBy(F.desc("score"), "name_l", "name_r").limit(n).select("id_l", "id_r")
-        found = _scored(alike, left, right).agg(
+        found = _scored(alike, left, right, measure).agg(
             F.max("score"), F.sum(F.size("name_l").cast("bigint") * F.size("name_r"))).first()
         if found[1]:
             radius, held = found
@@ -422,3 +432,69 @@ def relaxed_top(left, right, vectors, n=1000, left_column="BusinessType", right_
             rest = _unscored(*sides, a, b, n - best.count()) if best.count() < n else None
             return best if rest is None else best.unionByName(rest).orderBy(F.asc_nulls_last("distance"), "left", "right")
         radius *= 2
+
+
+def mover_pairs(left, right, vectors, within, left_column="BusinessType", right_column="BusinessType",
+                stop_words=STOP_WORDS, cell=CELL):
+    """All pairs of types with a word-mover distance of at most ``within``.
+
+    The relaxed distance is a lower bound, so only pairs within it by that are solved.
+    """
+    a, b = _bags(left, left_column, stop_words, False), _bags(right, right_column, stop_words, False)
+    lexicon = _lexicon(a, b, vectors)
+    if lexicon is None:
+        return _nothing(left.sparkSession)
+    _, typical = _distances(lexicon)
+    a, b = _weighted(a, lexicon), _weighted(b, lexicon)
+    bounded = _relaxed_join(a, b, lexicon, within + SMALL, typical, cell).select("id_l", "id_r")
+    found = _scored(bounded, a, b, _exact).where(F.col("score") <= within + SMALL)
+    return found.select(F.col("name_l").alias("left"), F.col("name_r").alias("right"), F.col("score").alias("distance"))
+
+
+def _solved(bounded, left, right, n, digits):
+    """Word-mover distances of the pairs that may be among the ``n`` closest, from their relaxed distances.
+
+    The ``n`` pairs closest by the lower bound are solved first; of the others only those whose bound does not exceed
+    the largest distance found.
+    """
+    order = ["score", F.element_at("name_l", 1), F.element_at("name_r", 1)]
+    first = cut(bounded.orderBy(*order).limit(n).select("id_l", "id_r"))
+    solved = cut(_scored(first, left, right, _exact))
+    names = F.sum(F.size("name_l").cast("bigint") * F.size("name_r"))
+    largest, held = solved.agg(F.max("score"), names).first()
+    rest = bounded if (held or 0) < n else bounded.where(F.col("score") <= largest + 10.0**-digits)
+    rest = rest.select("id_l", "id_r").join(first, ["id_l", "id_r"], "left_anti")
+    return cut(solved.unionByName(_scored(rest, left, right, _exact)))
+
+
+def mover_top(left, right, vectors, n=1000, left_column="BusinessType", right_column="BusinessType",
+              stop_words=STOP_WORDS, digits=9, cell=CELL, report=None):
+    """The ``n`` closest pairs of types by word-mover distance, ties by name.
+
+    As ``relaxed_top``, with the exact distance: the relaxed one is a lower bound, so pairs beyond the radius by it are
+    beyond it, and of the others ``_solved`` solves those that the bound does not exclude. A dictionary ``report`` receives
+    the number of pairs that were bounded and solved. Types without any known word come last, with NULL.
+    """
+    bags = [_bags(df, c, stop_words, False, n) for df, c in ((left, left_column), (right, right_column))]
+    sides = (left, left_column), (right, right_column)
+    lexicon = _lexicon(*bags, vectors)
+    if lexicon is None:
+        return _unscored(*sides, *(bag.limit(0) for bag in bags), n)
+    a, b = (_weighted(bag, lexicon) for bag in bags)
+    widest, typical = _distances(lexicon)
+    radius, sure = _first_radius(a, b, n, widest, cell, _exact)
+    radius += 10.0**-digits
+    while True:
+        bounded = cut(_relaxed_join(a, b, lexicon, min(radius, widest), typical, cell))
+        solved = _solved(bounded, a, b, n, digits)
+        if report is not None:
+            report.update(bounded=bounded.count(), solved=solved.count())
+        best = cut(_best_names(solved.withColumn("score", F.round("score", digits)), n, ascending=True))
+        best = best.select("left", "right", F.col("score").alias("distance"))
+        inside = F.col("distance") < radius - 10.0**-digits
+        if sure >= n or best.where(inside).count() == n:
+            return best
+        if radius >= widest:
+            rest = _unscored(*sides, a, b, n - best.count()) if best.count() < n else None
+            return best if rest is None else best.unionByName(rest).orderBy(F.asc_nulls_last("distance"), "left", "right")
+        radius *= 2

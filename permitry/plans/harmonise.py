@@ -2,7 +2,7 @@
 
 from permitry.operators.cluster import CLUSTERS, cluster_types
 from permitry.operators.project import merge_licences
-from permitry.operators.similarity import jaccard_top, relaxed_top
+from permitry.operators.similarity import jaccard_top, mover_top, relaxed_top
 from permitry.operators.vocabulary import (
     append_types, business_types, cluster_map, entity_map, merged_vocabulary, replace_types, type_map,
     type_to_cluster, unmapped_rows,
@@ -10,10 +10,12 @@ from permitry.operators.vocabulary import (
 from permitry.sinks.writers import candidate_rows
 
 
-def candidates(licences_a, licences_b, n=1000, vectors=None):
-    """Step 1: the best pairs to label, register B first, by words or, with vectors, by distance."""
+def candidates(licences_a, licences_b, n=1000, vectors=None, exact=False):
+    """Step 1: the best pairs to label, register B first, by words or, with vectors, by distance, relaxed or exact."""
     types_a, types_b = business_types(licences_a), business_types(licences_b)
-    ranked = jaccard_top(types_b, types_a, n) if vectors is None else relaxed_top(types_b, types_a, vectors, n)
+    if vectors is None:
+        return candidate_rows(jaccard_top(types_b, types_a, n), n)
+    ranked = (mover_top if exact else relaxed_top)(types_b, types_a, vectors, n)
     return candidate_rows(ranked, n)
 
 
