@@ -17,6 +17,7 @@ from permitry.functions.bands import stability_band
 from permitry.operators import address, forecast, metrics, project, report, similarity, vocabulary
 from permitry.operators.clean import clean_licences, with_longevity, with_origin
 from permitry.operators.cluster import cluster_types, mean_vectors, nearest_centre
+from permitry.operators.least_squares import fit_from_sums, fold_of, sums_of
 from permitry.operators.squeeze import squeeze
 from permitry.plans import starview as star
 from permitry.schemas import ADDRESS_KEYS_SPLIT
@@ -460,6 +461,44 @@ def regression_metrics(spark, sf):
     return forecast.error_table(fit_stability(spark, sf), by=("DataSetOrigin",))
 
 
+# ---- the regression from sums of products: ridge, where the minimum is the solution of a linear system
+
+
+def _ridge(history):
+    return fit_from_sums(history, elastic_nets=(0.0,))
+
+
+def regression_sums(spark, sf):
+    """Sums of products of the features and the label by fold."""
+    history = cut(longevity_issued_by_city(spark, sf))
+    rows = Pipeline(stages=forecast.feature_stages()).fit(history).transform(history).withColumn("x", vector_to_array("norm_features"))
+    found = sums_of(rows, "x", "AvgLongevity", fold_of(2, "DataSetOrigin", "BusinessType", "year"))
+    return found.select("fold", "row", "column", F.round("value", 4).alias("total")).where("total <> 0")
+
+
+def fit_ridge(spark, sf):
+    history = cut(longevity_issued_by_city(spark, sf))
+    return _ridge(history).transform(history).select(
+        "DataSetOrigin", "year", "BusinessType", "NumBusiness", "AvgLongevity", F.round("prediction", 3).alias("prediction"))
+
+
+def predict_ridge(spark, sf):
+    history = cut(longevity_issued_by_city(spark, sf))
+    found = forecast.predict_trends(history, _ridge(history), FUTURE)
+    return found.withColumn("prediction", F.round("prediction", 3))
+
+
+def ridge_report(spark, sf):
+    """Predictions from sums as the published report: years and band of each type and city."""
+    records = report.stability_records(predict_ridge(spark, sf)).withColumn("ordinal", F.col("Year"))
+    return report.with_bands(report.pivot_cities(records, REGIONS), REGIONS)
+
+
+def ridge_metrics(spark, sf):
+    found = forecast.error_table(fit_ridge(spark, sf), by=("DataSetOrigin",))
+    return found.select("DataSetOrigin", "n", F.round("rmse", 3).alias("rmse"), F.round("mae", 3).alias("mae"))
+
+
 # ---- the deterministic steps of training, and small rules
 
 
@@ -565,7 +604,7 @@ _QUERIES = [
     cluster_business_types, future_grid, future_counts, stability_pivot, stability_bands, error_metrics, fit_stability,
     predict_trends, stability_report, regression_metrics, feature_vectors, type_vectors, nearest_cluster, near_vectors,
     licences_of_city, merged_licences, cache_fill_six_keys, quote_rules, year_from_name, most_frequent_words,
-    largest_groups_by_year,
+    largest_groups_by_year, regression_sums, fit_ridge, predict_ridge, ridge_report, ridge_metrics,
 ]
 
 
@@ -625,6 +664,48 @@ def _longevity_sql(where="TRUE", by="", average="AvgLongevity"):
 _ISSUED_BY_CITY = _longevity_sql(f"Status IN {_ISSUED}", "DataSetOrigin,")
 
 
+def _ridge_sql(tail):
+    """Ridge regression in SQL: features, sums of products, scaled system, elimination, and a table ``model``."""
+    def by_frequency(column):
+        return f"""(SELECT {column}, row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS i FROM hist GROUP BY {column})"""
+
+    def featured(table):
+        return f"""SELECT s.*, list_transform(raw, lambda v: v / sqrt(list_sum(list_transform(raw, lambda u: u * u)))) AS x FROM (
+              SELECT {table}.*, list_concat(list_concat([CAST(c.i AS DOUBLE)], list_transform(range((SELECT count(DISTINCT BusinessType) FROM hist) - 1),
+                lambda k: CASE WHEN k = t.i THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)), [CAST(year AS DOUBLE), CAST(NumBusiness AS DOUBLE)]) AS raw
+              FROM {table} JOIN {by_frequency('DataSetOrigin')} c USING (DataSetOrigin) JOIN {by_frequency('BusinessType')} t USING (BusinessType)) s"""
+
+    return f"""WITH RECURSIVE hist AS ({_ISSUED_BY_CITY}), f AS ({featured('hist')}),
+        z AS (SELECT list_concat(list_concat([1.0::DOUBLE], x), [AvgLongevity]) AS z,
+              CAST('0x' || substr(md5(DataSetOrigin || '|' || BusinessType || '|' || year), 1, 8) AS BIGINT) % 2 AS fold FROM f),
+        place AS (SELECT CAST(unnest(range(0, (SELECT max(len(z)) FROM z))) AS INTEGER) AS i),
+        sums AS (SELECT fold, a.i AS i, b.i AS j, sum(z[a.i + 1] * z[b.i + 1]) AS s FROM z, place a, place b GROUP BY ALL),
+        whole AS (SELECT i, j, sum(s) AS s FROM sums GROUP BY i, j),
+        n AS (SELECT s AS n FROM whole WHERE i = 0 AND j = 0), label AS (SELECT max(i) AS y FROM place),
+        mean AS (SELECT i, s / n AS m FROM whole, n WHERE j = 0),
+        spread AS (SELECT w.i, w.j, w.s / n - a.m * b.m AS s FROM whole w JOIN mean a ON a.i = w.i JOIN mean b ON b.i = w.j, n),
+        scale AS (SELECT i, sqrt(greatest(s, 0)) AS d FROM spread WHERE i = j),
+        wide AS (SELECT i, d FROM scale, label WHERE i BETWEEN 1 AND y - 1),
+        cells AS (SELECT s.i, s.j, CASE WHEN s.j = y THEN s.s / a.d ELSE s.s / a.d / b.d + CASE WHEN s.i = s.j THEN 0.3 / l.d ELSE 0 END END AS s
+              FROM spread s JOIN wide a ON a.i = s.i JOIN scale b ON b.i = s.j, label JOIN scale l ON l.i = y WHERE s.j BETWEEN 1 AND y),
+        start AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(s ORDER BY j) AS r FROM cells GROUP BY i)),
+        steps AS (SELECT 1 AS k, m FROM start UNION ALL
+              SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda v: v / r[k])
+                ELSE list_transform(r, lambda v, j: v - r[k] * m[k][j] / m[k][k]) END) FROM steps WHERE k <= len(m)),
+        solved AS (SELECT list_transform(m, lambda r: r[len(r)]) AS w FROM steps ORDER BY k DESC LIMIT 1),
+        model AS (SELECT list(w[i] / d ORDER BY i) AS w, any_value(top.m) - sum(mean.m * w[i] / d) AS b
+              FROM solved, wide JOIN mean USING (i), (SELECT m FROM mean, label WHERE i = y) top),
+        grid AS (SELECT * FROM (SELECT DISTINCT BusinessType FROM hist) CROSS JOIN (SELECT DISTINCT DataSetOrigin FROM hist)
+              CROSS JOIN (SELECT unnest(range({FUTURE[0]}, {FUTURE[1] + 1})) AS y)),
+        latest AS (SELECT DataSetOrigin, BusinessType, arg_max(NumBusiness, year) AS n FROM hist GROUP BY ALL),
+        averages AS (SELECT DataSetOrigin, avg(NumBusiness) AS m FROM hist GROUP BY ALL),
+        future AS (SELECT CAST(y AS INTEGER) AS year, BusinessType, DataSetOrigin, coalesce(CAST(n AS DOUBLE), m) AS NumBusiness
+              FROM grid LEFT JOIN latest USING (DataSetOrigin, BusinessType) LEFT JOIN averages USING (DataSetOrigin)),
+        fitted AS (SELECT f.*, round(b + list_sum(list_transform(x, lambda v, i: v * w[i])), 3) AS prediction FROM f, model),
+        told AS (SELECT g.*, round(b + list_sum(list_transform(x, lambda v, i: v * w[i])), 3) AS prediction FROM ({featured('future')}) g, model)
+        {tail}"""
+
+
 def _squeeze_sql(type_key):
     def pick(kind, column):
         return f"{kind}({column} ORDER BY IssuedDate, o_orderkey)"
@@ -874,7 +955,19 @@ def _more_sql():
 
     sign = "o_orderstatus = 'O'"
     quoted = "('\"' || p_name || '\", \"' || p_type || '\",' || p_brand)"
+
+    def years(region):
+        return f"round(max(CASE WHEN DataSetOrigin = '{region}' AND year = {FUTURE[1]} THEN prediction END) / 365, 2)"
+
+    told = ", ".join(f"""{years(r)} AS "{r}", CASE WHEN {years(r)} IS NULL THEN NULL WHEN least(floor({years(r)} + 0.5), 15) < 5 THEN 'red'
+        WHEN least(floor({years(r)} + 0.5), 15) < 10 THEN 'yellow' ELSE 'green' END AS "{r}Band\"""" for r in REGIONS)
     return {
+        "regression_sums": _ridge_sql('SELECT CAST(fold AS INTEGER) AS fold, i AS "row", j AS "column", round(s, 4) AS total FROM sums WHERE round(s, 4) <> 0'),
+        "fit_ridge": _ridge_sql("SELECT DataSetOrigin, year, BusinessType, NumBusiness, AvgLongevity, prediction FROM fitted"),
+        "predict_ridge": _ridge_sql("SELECT year, BusinessType, DataSetOrigin, NumBusiness, prediction FROM told"),
+        "ridge_report": _ridge_sql(f"SELECT lower(BusinessType) AS BusinessType, {told} FROM told GROUP BY 1"),
+        "ridge_metrics": _ridge_sql("""SELECT DataSetOrigin, count(*) AS n, round(sqrt(avg((prediction - AvgLongevity) * (prediction - AvgLongevity))), 3) AS rmse,
+              round(avg(abs(prediction - AvgLongevity)), 3) AS mae FROM fitted GROUP BY DataSetOrigin"""),
         "feature_vectors": f"""WITH hist AS ({_ISSUED_BY_CITY}),
             f AS (SELECT hist.*, c.i AS ci, t.i AS ti, (SELECT count(DISTINCT BusinessType) FROM hist) AS kinds
               FROM hist JOIN {by_frequency('DataSetOrigin')} c USING (DataSetOrigin) JOIN {by_frequency('BusinessType')} t USING (BusinessType)),
