@@ -32,6 +32,7 @@ BIAS = np.uint64(1)
 _PUNCTUATION = bytes(32 if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else b for b in range(256))
 _SCREEN_BITS = 18
 _COUNT_BITS = 25
+_STEP = 256
 
 
 def features(text, numbers):
@@ -57,8 +58,12 @@ def fit(texts, labels):
     for text in texts:
         own = features(text, numbers)
         found.append(np.unique(np.append(own[seen[own >> shift] >= FEWEST], BIAS)))
-    keys, place = np.unique(np.concatenate(found), return_inverse=True)
-    rows = np.split(place, np.cumsum([len(f) for f in found])[:-1])
+    # in steps, so that neither all features at once nor their order are held beside them
+    keys = np.unique(np.concatenate([np.unique(np.concatenate(found[i:i + _STEP])) for i in range(0, len(found), _STEP)]))
+    rows = []
+    for i, own in enumerate(found):
+        rows.append(np.searchsorted(keys, own).astype(np.int32))
+        found[i] = None
     z, n = np.zeros(len(keys)), np.zeros(len(keys))
     threshold = np.full(len(keys), L1)
     threshold[np.searchsorted(keys, BIAS)] = 0
