@@ -24,7 +24,7 @@ from permitry.sources import readers
 
 
 def run_ingest(spark, o):
-    snapshots = ingest(spark, o.input, o.default_year, zipped=o.zipped)
+    snapshots = ingest(spark, o.input, o.default_year, zipped=o.zipped, whole_archives=o.whole_archives)
     writers.write_csv(snapshots, o.out)
 
 
@@ -90,7 +90,7 @@ def _parser():
             flag = f"--{argument.replace('_', '-')}"
             one.add_argument(flag, action="store_true") if kind is bool else one.add_argument(flag, type=kind, default=default)
 
-    job("ingest", run_ingest, "input", default_year=(int, 2017), zipped=(bool, False))
+    job("ingest", run_ingest, "input", default_year=(int, 2017), zipped=(bool, False), whole_archives=(bool, False))
     job("clean", run_clean, "input", "cache", register=(bool, False), cache_version=(int, 0))
     job("candidates", run_candidates, "a", "b", n=(int, 1000), vectors=(str, None), exact=(bool, False))
     job("clusters", run_clusters, "a", "b", "labels", k=(int, 30))
