@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 from permitry.functions import dates, geo, text, vectors
 from permitry.functions.bands import stability_band
 from permitry.operators import address, forecast, metrics, project, report, similarity, vocabulary
+from permitry.operators.address_store import AddressStore
 from permitry.operators.clean import clean_licences, with_longevity, with_origin
 from permitry.operators.cluster import cluster_types, mean_vectors, nearest_centre
 from permitry.operators.least_squares import fit_from_sums, fold_of, sums_of
 from permitry.operators.squeeze import squeeze
 from permitry.plans import starview as star
 from permitry.schemas import ADDRESS_KEYS_SPLIT
-from permitry.session import cut, tune
+from permitry.session import cut, scratch, tune
 
 
 def _optional(name):
@@ -259,6 +260,19 @@ def cache_apply(spark, sf):
     return address.apply_geocodes(_cache(spark, sf), found)
 
 
+def cache_versions(spark, sf):
+    """The cache kept as buckets and deltas: addresses added, geocodes of ``cache_apply`` written, deltas compacted, read back."""
+    found = _addresses(spark, sf).where(F.col("c_mktsegment") == "MACHINERY").select(
+        "HouseStreet", "CityProvince", "PostalCode", F.col("c_acctbal").alias("Latitude"),
+        (F.col("c_acctbal") / 2).alias("Longitude"))
+    store = AddressStore(spark, scratch(spark, "store"))
+    store.create(_cache(spark, sf), buckets=16)
+    store.insert(_addressed_rows(spark, sf))
+    store.compact()
+    store.apply(found)
+    return store.read()
+
+
 def pending_top_n(spark, sf):
     return address.pending_addresses(_cache(spark, sf), 100)
 
@@ -597,7 +611,7 @@ _QUERIES = [
     opens_per_year, closes_per_year, top_types_opens, top_types_closes, top5_opens_per_year, top5_closes_per_year,
     longevity_all, longevity_issued, longevity_closed, longevity_issued_by_city, longevity_closed_by_city,
     licence_longevity, status_values, squeeze_latest, squeeze_no_subtype, canonical_projection, register_projection,
-    clean_register_dates, parse_dates, missing_with_address, unknown_count, number_check, cache_fill, cache_apply,
+    clean_register_dates, parse_dates, missing_with_address, unknown_count, number_check, cache_fill, cache_apply, cache_versions,
     pending_top_n, geocode_pending, geocode_reply_extract, token_counts, token_counts_documents, jaccard_pairs,
     jaccard_pairs_half, jaccard_top_n, rwmd_pairs, rwmd_top_n, word_cosine, first_wins, last_wins, entity_map,
     business_types, apply_type_map, unmapped_types, type_to_cluster, vocab_union, vocab_append, merged_vocabulary,
@@ -889,6 +903,12 @@ def _own_sql():
               CASE WHEN a.c_custkey IS NOT NULL THEN a.c_acctbal ELSE c.Latitude END AS Latitude,
               CASE WHEN a.c_custkey IS NOT NULL THEN a.c_acctbal / 2 ELSE c.Longitude END AS Longitude
             FROM cache c LEFT JOIN (SELECT * FROM addr WHERE c_mktsegment = 'MACHINERY') a ON {_SAME}""",
+        "cache_versions": f"""WITH {_ADDRESS}, every AS (SELECT * FROM cache UNION ALL
+              SELECT DISTINCT {_PENDING} FROM ord a WHERE NOT EXISTS (SELECT 1 FROM cache c WHERE {_SAME}))
+            SELECT c.IsUpdated OR a.c_custkey IS NOT NULL AS IsUpdated, c.HouseStreet, c.CityProvince, c.PostalCode,
+              CASE WHEN a.c_custkey IS NOT NULL THEN a.c_acctbal ELSE c.Latitude END AS Latitude,
+              CASE WHEN a.c_custkey IS NOT NULL THEN a.c_acctbal / 2 ELSE c.Longitude END AS Longitude
+            FROM every c LEFT JOIN (SELECT * FROM addr WHERE c_mktsegment = 'MACHINERY') a ON {_SAME}""",
         "pending_top_n": f"""WITH {_ADDRESS} SELECT HouseStreet, CityProvince, PostalCode,
               HouseStreet || ' ' || CityProvince || ' ' || PostalCode AS Address FROM cache WHERE NOT IsUpdated
             ORDER BY HouseStreet, CityProvince, PostalCode LIMIT 100""",

@@ -65,6 +65,13 @@ def shared_folder(spark):
     return context.getCheckpointDir()
 
 
+def scratch(spark, kind):
+    """Address of a new folder in the shared folder, deleted when the application ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _delete_at_end(spark, folder)
+    return folder
+
+
 def written(df):
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -72,8 +79,7 @@ def written(df):
     application ends.
     """
     spark = df.sparkSession
-    folder = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    _delete_at_end(spark, folder)
+    folder = scratch(spark, "table")
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
