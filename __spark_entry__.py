@@ -536,6 +536,13 @@ def type_vectors(spark, sf):
                         F.round(F.element_at("vec", 2), 6).alias("Second"), F.round(vectors.norm("vec"), 6).alias("Length"))
 
 
+def cluster_given_vectors(spark, sf):
+    """Types clustered by the means of given word vectors, two rounds of k-means from fixed centres."""
+    types = star.type_vocabulary(spark, sf)
+    found = cluster_types(types, 12, vectors=star.word_vectors(spark, sf, vocabulary.word_counts(types)), rounds=2)
+    return found.select(F.col("business").alias("BusinessType"), F.col("cluster").cast("int").alias("cluster"))
+
+
 def nearest_cluster(spark, sf):
     """Every embedding with the nearest of thirty given centres."""
     rows = star.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
@@ -616,7 +623,7 @@ _QUERIES = [
     jaccard_pairs_half, jaccard_top_n, rwmd_pairs, rwmd_top_n, word_cosine, first_wins, last_wins, entity_map,
     business_types, apply_type_map, unmapped_types, type_to_cluster, vocab_union, vocab_append, merged_vocabulary,
     cluster_business_types, future_grid, future_counts, stability_pivot, stability_bands, error_metrics, fit_stability,
-    predict_trends, stability_report, regression_metrics, feature_vectors, type_vectors, nearest_cluster, near_vectors,
+    predict_trends, stability_report, regression_metrics, feature_vectors, type_vectors, cluster_given_vectors, nearest_cluster, near_vectors,
     licences_of_city, merged_licences, cache_fill_six_keys, quote_rules, year_from_name, most_frequent_words,
     largest_groups_by_year, regression_sums, fit_ridge, predict_ridge, ridge_report, ridge_metrics,
 ]
@@ -764,6 +771,11 @@ ord AS (
   UNION ALL SELECT -s_suppkey - 1, s_name, '', CAST(s_nationkey AS VARCHAR), NULL, NULL FROM supplier)"""
 
 _PENDING = "FALSE AS IsUpdated, HouseStreet, CityProvince, PostalCode, CAST(NULL AS DOUBLE) AS Latitude, CAST(NULL AS DOUBLE) AS Longitude"
+#: A round of k-means: rows to the nearest centre, centres to the means of their rows.
+_LLOYD = """a{at} AS (SELECT t, any_value(v) AS v, arg_min(c, list_distance(v, cv)) AS c FROM typed CROSS JOIN c{at} GROUP BY t),
+            m{at} AS (SELECT c, k, avg(x) AS x FROM (SELECT c, generate_subscripts(v, 1) AS k, unnest(v) AS x FROM a{at}) GROUP BY c, k),
+            c{next} AS (SELECT c, list(x ORDER BY k) AS cv FROM m{at} GROUP BY c
+              UNION ALL SELECT c, cv FROM c{at} WHERE c NOT IN (SELECT c FROM a{at}))"""
 _SAME = "c.HouseStreet = a.HouseStreet AND c.CityProvince = a.CityProvince AND c.PostalCode = a.PostalCode"
 
 _TYPES = """types AS (SELECT DISTINCT p_type || ' ' || p_name AS BusinessType FROM part),
@@ -1003,6 +1015,16 @@ def _more_sql():
             mean AS (SELECT t, k, sum(x) / (SELECT count(*) FROM w AS own WHERE own.t = parts.t) AS x FROM parts GROUP BY t, k)
             SELECT t AS BusinessType, round(max(x) FILTER (k = 1), 6) AS First, round(max(x) FILTER (k = 2), 6) AS Second,
               round(sqrt(sum(x * x)), 6) AS Length FROM mean GROUP BY t""",
+        "cluster_given_vectors": f"""WITH {_TYPES}, w AS ({_words_sql('types', 'BusinessType')}),
+            vec AS (SELECT word, CAST(embedding AS DOUBLE[]) AS v FROM (SELECT DISTINCT word FROM w)
+              JOIN embeddings ON vec_id = CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % (SELECT count(*) FROM embeddings)),
+            parts AS (SELECT t, generate_subscripts(v, 1) AS k, unnest(v) AS x FROM w JOIN vec USING (word)),
+            mean AS (SELECT t, k, sum(x) / (SELECT count(*) FROM w AS own WHERE own.t = parts.t) AS x FROM parts GROUP BY t, k),
+            typed AS (SELECT t, list(x ORDER BY k) AS v FROM mean GROUP BY t),
+            c0 AS (SELECT row_number() OVER (ORDER BY md5(t), t) - 1 AS c, v AS cv
+              FROM (SELECT v, min(t) AS t FROM typed GROUP BY v) ORDER BY md5(t), t LIMIT 12),
+            {_LLOYD.format(at=0, next=1)}, {_LLOYD.format(at=1, next=2)}
+            SELECT t AS BusinessType, CAST(arg_min(c, list_distance(v, cv)) AS INTEGER) AS cluster FROM typed CROSS JOIN c2 GROUP BY t""",
         "nearest_cluster": """SELECT e.vec_id, arg_min(c.vec_id, list_distance(CAST(e.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[]))) AS cluster
             FROM embeddings e CROSS JOIN (SELECT * FROM embeddings WHERE vec_id < 30) c GROUP BY e.vec_id""",
         "near_vectors": """SELECT a.vec_id AS near, b.vec_id FROM embeddings a CROSS JOIN embeddings b
