@@ -2,6 +2,8 @@
 
     ingest         zip archives or CSV files of yearly snapshots  ->  snapshots
     clean          snapshots or a register, and an address cache  ->  final licences, next version of the cache
+    pending        the address cache                              ->  the next addresses to ask a geocoder for
+    geocoded       the address cache, geocoder replies            ->  next version of the cache
     candidates     final licences of both registers               ->  pairs to label
     clusters       final licences, labelled pairs                 ->  types with cluster numbers to name
     map-types      final licences, labelled pairs, named clusters ->  type map
@@ -14,11 +16,13 @@ import argparse
 from pyspark.sql import SparkSession
 
 from permitry import session
+from permitry.functions.geo import reply_coordinates
+from permitry.operators.address import apply_geocodes, pending_addresses
 from permitry.operators.clean import clean_licences
 from permitry.operators.vocabulary import business_types, cluster_map, entity_map
 from permitry.plans import clean_registers, harmonise, trends
 from permitry.plans.ingest import ingest
-from permitry.schemas import LICENCE, address_cache
+from permitry.schemas import ADDRESS_KEYS, LICENCE, address_cache
 from permitry.sinks import writers
 from permitry.sources import readers
 
@@ -29,17 +33,26 @@ def run_ingest(spark, o):
 
 
 def run_clean(spark, o):
-    version = 0
-    if o.cache_version:
-        cache, version = readers.read_address_cache(spark, o.cache), o.cache_version
-    else:
-        cache = spark.createDataFrame([], address_cache())
+    version = readers.newest_version(spark, o.cache)
+    cache = spark.createDataFrame([], address_cache()) if version is None else readers.read_address_cache(spark, o.cache)
     if o.register:
         licences, cache = clean_registers.clean_register(readers.read_register(spark, o.input), cache)
     else:
         licences, cache = clean_registers.clean_snapshots(readers.read_snapshots(spark, o.input), cache)
     writers.write_final(licences, o.out)
-    writers.write_address_cache(cache, o.cache, version + 1)
+    writers.write_address_cache(cache, o.cache, (o.cache_version or version or 0) + 1)
+
+
+def run_pending(spark, o):
+    asked = pending_addresses(readers.read_address_cache(spark, o.cache), o.n)
+    asked.write.mode("overwrite").json(o.out)
+
+
+def run_geocoded(spark, o):
+    cache, version = readers.read_address_cache(spark, o.cache), readers.newest_version(spark, o.cache)
+    replies = readers.read_replies(spark, o.replies)
+    found = replies.select(*ADDRESS_KEYS, reply_coordinates("reply").alias("at")).select(*ADDRESS_KEYS, "at.*")
+    writers.write_address_cache(apply_geocodes(cache, found), o.out, version + 1)
 
 
 def _finals(spark, o):
@@ -92,6 +105,8 @@ def _parser():
 
     job("ingest", run_ingest, "input", default_year=(int, 2017), zipped=(bool, False), whole_archives=(bool, False))
     job("clean", run_clean, "input", "cache", register=(bool, False), cache_version=(int, 0))
+    job("pending", run_pending, "cache", n=(int, 1000))
+    job("geocoded", run_geocoded, "cache", "replies")
     job("candidates", run_candidates, "a", "b", n=(int, 1000), vectors=(str, None), exact=(bool, False))
     job("clusters", run_clusters, "a", "b", "labels", k=(int, 30))
     job("map-types", run_map_types, "a", "b", "labels", "clusters")

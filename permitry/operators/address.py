@@ -125,15 +125,18 @@ def reply_resolver(replies, keys=ADDRESS_KEYS):
     return gazetteer_resolver(places, keys)
 
 
-def function_resolver(resolve_batch, keys=ADDRESS_KEYS):
-    """Resolver around a function from a pandas frame of addresses to one with coordinates."""
+def function_resolver(resolve_batch, keys=ADDRESS_KEYS, tasks=8):
+    """Resolver around a function from a pandas frame of addresses to one with coordinates.
+
+    The addresses are dealt to ``tasks`` tasks by their keys, which is how many calls run at the same time at most.
+    """
     layout = ", ".join([f"{k} string" for k in keys] + ["Latitude double", "Longitude double"])
 
     def batches(frames):
         for frame in frames:
             yield resolve_batch(frame)
 
-    return lambda pending: pending.mapInPandas(batches, layout)
+    return lambda pending: pending.repartition(tasks, *keys).mapInPandas(batches, layout)
 
 
 def geocode_pending(cache, resolver, n, keys=ADDRESS_KEYS):

@@ -142,8 +142,22 @@ def read_word_vectors(spark, path):
     return spark.read.schema("word string, vec array<float>").parquet(path)
 
 
+def newest_version(spark, path):
+    """Number of the newest version in a cache folder, None without any; only the folder's own names are listed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [one.getPath().getName() for one in files.listStatus(place)] if files.exists(place) else []
+    return max((int(found[1]) for found in (re.fullmatch(r"version=(\d+)", name) for name in names) if found), default=None)
+
+
 def read_address_cache(spark, path, keys=ADDRESS_KEYS):
     """The newest version of the address cache; versions are told by the names of their folders."""
-    files = spark.read.schema(address_cache(keys)).parquet(path).inputFiles()
-    newest = max(int(found[1]) for found in (re.search(r"/version=(\d+)/[^/]*$", name) for name in files) if found)
+    newest = newest_version(spark, path)
+    if newest is None:
+        raise FileNotFoundError(f"no version of an address cache in {path}")
     return spark.read.schema(address_cache(keys)).parquet(f"{path}/version={newest}")
+
+
+def read_replies(spark, path, keys=ADDRESS_KEYS):
+    """Geocoder replies: JSON lines with the address keys and the body of the ``reply`` as text."""
+    return spark.read.schema(", ".join(f"{c} string" for c in (*keys, "reply"))).json(path)
