@@ -35,27 +35,24 @@ def one_per_key(cache, keys=ADDRESS_KEYS):
     )
 
 
-SPREAD = 1 << 20
-
-
 def fill_coordinates(df, cache, keys=ADDRESS_KEYS):
     """Fill missing coordinates from the cache; rows that have both, or get no hit, stay as they are.
 
-    Only cache entries with usable coordinates take part. One join reads the rows once: a row that misses
-    nothing has no key and a number of its own, so such rows match nothing and are spread evenly.
+    Only cache entries with usable coordinates take part, and only rows that miss a coordinate are joined: the others
+    pass through where they are, without a shuffle. The two parts are two filters on ``df``, so it should be a table or
+    a scan with column expressions; write out (``session.cut``) what costs more to compute.
     """
     known = one_per_key(cache.where(is_known("Latitude", "Longitude")), keys)
     hits = known.select(
-        *[F.col(k).alias(f"__{k}") for k in keys], F.lit(0).alias("__spread"),
+        *[F.col(k).alias(f"__{k}") for k in keys],
         F.col("Latitude").alias("__latitude"), F.col("Longitude").alias("__longitude"),
     )
     missing = F.col("Latitude").isNull() | F.col("Longitude").isNull()
-    own = F.pmod(F.xxhash64("Latitude", "Longitude", *keys), F.lit(SPREAD)).cast("int")
-    asked = df.withColumns({f"__{k}": F.when(missing, blank_if_null(k)) for k in keys})
-    asked = asked.withColumn("__spread", F.when(missing, F.lit(0)).otherwise(own))
-    found = asked.join(hits, [*(f"__{k}" for k in keys), "__spread"], "left")
+    asked = df.where(missing).withColumns({f"__{k}": blank_if_null(k) for k in keys})
+    found = asked.join(hits, [f"__{k}" for k in keys], "left")
     latitude, longitude = filled("Latitude", "Longitude", "__latitude", "__longitude")
-    return found.withColumns({"Latitude": latitude, "Longitude": longitude}).select(*df.columns)
+    found = found.withColumns({"Latitude": latitude, "Longitude": longitude}).select(*df.columns)
+    return df.where(~missing).unionByName(found)
 
 
 def insert_addresses(cache, addresses, mode="keep", keys=ADDRESS_KEYS):

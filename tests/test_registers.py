@@ -109,6 +109,21 @@ def test_fill_coordinates(spark, rows):
     assert rows(found, "id", "HouseStreet")[6] == (7, None)
 
 
+def test_rows_with_both_coordinates_are_not_moved(spark, tmp_path, rows):
+    """Each of the two parts scans the table; only the one of rows that miss a coordinate has a shuffle of facts."""
+    asked(spark, *FILL).write.parquet(str(tmp_path / "facts"))
+    cache(spark).write.parquet(str(tmp_path / "cache"))
+    facts, known = spark.read.parquet(str(tmp_path / "facts")), spark.read.parquet(str(tmp_path / "cache"))
+    found = address.fill_coordinates(facts, known)
+    optimised = found._jdf.queryExecution().optimizedPlan()
+    assert optimised.nodeName() == "Union" and optimised.children().size() == 2
+    whole = [optimised.children().apply(i).toString() for i in range(2)]
+    passed = [part for part in whole if "Join" not in part]
+    assert len(passed) == 1 and "Aggregate" not in passed[0] and "isnotnull(Latitude" in passed[0]
+    assert rows(found, "id", "Latitude", "Longitude") == rows(
+        address.fill_coordinates(asked(spark, *FILL), cache(spark)), "id", "Latitude", "Longitude")
+
+
 def test_fill_with_six_keys_and_duplicates(spark, rows):
     keys = ADDRESS_KEYS_SPLIT
     entries = [(False, "1", "Main", "V", "BC", "CA", "V1", None, None), (True, "1", "Main", "V", "BC", "CA", "V1", 3.0, 4.0),
