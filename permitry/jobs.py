@@ -9,6 +9,9 @@
     map-types      final licences, labelled pairs, named clusters ->  type map
     finish         final licences, type map                       ->  licences with mapped types, unmapped rows
     trends         licences                                       ->  yearly statistics, predictions
+
+With ``--steps folder`` the long jobs keep their intermediate tables there, and a job that was stopped and is started
+again with the same inputs and parameters goes on behind its last finished step.
 """
 
 import argparse
@@ -25,6 +28,12 @@ from permitry.plans.ingest import ingest
 from permitry.schemas import ADDRESS_KEYS, LICENCE, address_cache
 from permitry.sinks import writers
 from permitry.sources import readers
+from permitry.steps import Steps, fresh
+
+
+def _step(spark, o, *inputs, **parameters):
+    """How a job keeps its steps: below the given folder, or only as long as it runs."""
+    return Steps(spark, o.steps, inputs, job=o.job, **parameters) if o.steps else fresh
 
 
 def run_ingest(spark, o):
@@ -35,10 +44,11 @@ def run_ingest(spark, o):
 def run_clean(spark, o):
     version = readers.newest_version(spark, o.cache)
     cache = spark.createDataFrame([], address_cache()) if version is None else readers.read_address_cache(spark, o.cache)
+    step = _step(spark, o, o.input, register=o.register)
     if o.register:
-        licences, cache = clean_registers.clean_register(readers.read_register(spark, o.input), cache)
+        licences, cache = clean_registers.clean_register(readers.read_register(spark, o.input), cache, step=step)
     else:
-        licences, cache = clean_registers.clean_snapshots(readers.read_snapshots(spark, o.input), cache)
+        licences, cache = clean_registers.clean_snapshots(readers.read_snapshots(spark, o.input), cache, step=step)
     writers.write_final(licences, o.out)
     writers.write_address_cache(cache, o.cache, (o.cache_version or version or 0) + 1)
 
@@ -61,11 +71,13 @@ def _finals(spark, o):
 
 def run_candidates(spark, o):
     vectors = readers.read_word_vectors(spark, o.vectors) if o.vectors else None
-    writers.write_csv(harmonise.candidates(*_finals(spark, o), o.n, vectors, o.exact), o.out, single_file=True)
+    step = _step(spark, o, *(path for path in (o.a, o.b, o.vectors) if path), n=o.n, exact=o.exact)
+    writers.write_csv(harmonise.candidates(*_finals(spark, o), o.n, vectors, o.exact, step), o.out, single_file=True)
 
 
 def run_clusters(spark, o):
-    named = harmonise.clusters_to_name(*_finals(spark, o), readers.read_entity_labels(spark, o.labels), o.k)
+    labels, step = readers.read_entity_labels(spark, o.labels), _step(spark, o, o.a, o.b, o.labels, k=o.k)
+    named = harmonise.clusters_to_name(*_finals(spark, o), labels, o.k, step)
     writers.write_clusters(named, o.out)
 
 
@@ -77,13 +89,14 @@ def run_map_types(spark, o):
 
 
 def run_finish(spark, o):
-    merged, unmapped = harmonise.finish(*_finals(spark, o), readers.read_type_map(spark, o.map))
+    mapping, step = readers.read_type_map(spark, o.map), _step(spark, o, o.a, o.b, o.map)
+    merged, unmapped = harmonise.finish(*_finals(spark, o), mapping, step)
     writers.write_final_by_origin(merged, f"{o.out}/licences")
     writers.write_final(unmapped, f"{o.out}/unmapped")
 
 
 def run_trends(spark, o):
-    licences = session.cut(clean_licences(readers.read_csv(spark, o.input)))
+    licences = _step(spark, o, o.input)("licences", lambda: clean_licences(readers.read_csv(spark, o.input)))
     trends.write_statistics(licences, f"{o.out}/statistics")
     # an unmapped type is the empty text, which CSV reads as NULL: it cannot be a category of the regression
     _, _, published = trends.forecast(licences.where("BusinessType <> ''"))
@@ -103,15 +116,16 @@ def _parser():
             flag = f"--{argument.replace('_', '-')}"
             one.add_argument(flag, action="store_true") if kind is bool else one.add_argument(flag, type=kind, default=default)
 
+    kept = {"steps": (str, None)}
     job("ingest", run_ingest, "input", default_year=(int, 2017), zipped=(bool, False), whole_archives=(bool, False))
-    job("clean", run_clean, "input", "cache", register=(bool, False), cache_version=(int, 0))
+    job("clean", run_clean, "input", "cache", register=(bool, False), cache_version=(int, 0), **kept)
     job("pending", run_pending, "cache", n=(int, 1000))
     job("geocoded", run_geocoded, "cache", "replies")
-    job("candidates", run_candidates, "a", "b", n=(int, 1000), vectors=(str, None), exact=(bool, False))
-    job("clusters", run_clusters, "a", "b", "labels", k=(int, 30))
+    job("candidates", run_candidates, "a", "b", n=(int, 1000), vectors=(str, None), exact=(bool, False), **kept)
+    job("clusters", run_clusters, "a", "b", "labels", k=(int, 30), **kept)
     job("map-types", run_map_types, "a", "b", "labels", "clusters")
-    job("finish", run_finish, "a", "b", "map")
-    job("trends", run_trends, "input")
+    job("finish", run_finish, "a", "b", "map", **kept)
+    job("trends", run_trends, "input", **kept)
     return parser
 
 

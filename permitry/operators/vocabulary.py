@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from permitry.functions.text import is_token, tokens, words
 from permitry.schemas import STOP_WORDS
+from permitry.session import cut
 
 
 def business_types(df, column="BusinessType"):
@@ -107,6 +108,16 @@ def unmapped_rows(df, mapping, column="BusinessType"):
     return df.join(mapping.select(F.col("key").alias(column)), column, "left_anti").select(df.columns)
 
 
+def replaced_and_unmapped(df, mapping, column="BusinessType", keep=cut):
+    """Both of the above from one join: it is written out once with a mark for each row, both tables are read from it."""
+    joined = _mapped(df, column, mapping, "__mapped")
+    marked = keep(joined.select(
+        *[F.col(c) for c in df.columns], _keep_or(joined, column, "__mapped", F.col(column)).alias("__replaced"),
+        F.coalesce(F.col("__mapped_hit"), F.lit(False)).alias("__hit")))
+    replaced = marked.withColumn(column, F.col("__replaced")).select(df.columns)
+    return replaced, marked.where(~F.col("__hit")).select(df.columns)
+
+
 def merged_vocabulary(vocabulary_a, vocabulary_b, entities):
     """Both vocabularies with matched types replaced, once each."""
     return union_types(replace_types(vocabulary_a, entities), replace_types(vocabulary_b, entities))

@@ -1,0 +1,84 @@
+"""Jobs that go on behind their last finished step."""
+
+import os
+
+import pytest
+
+from permitry import jobs
+from permitry.plans import harmonise
+from permitry.sinks import writers
+from permitry.sources import readers
+from permitry.steps import Steps
+
+
+def table(spark, kinds, path):
+    rows = spark.createDataFrame([("O", f"N{i}", "Open", "2010-01-01", None, k, "x", "y", "z", 1.0, 2.0) for i, k in enumerate(kinds)],
+                                 jobs.LICENCE)
+    writers.write_csv(rows, path)
+
+
+def test_a_finished_step_is_found_again(spark, tmp_path):
+    given, made = str(tmp_path / "in"), []
+    spark.range(4).write.parquet(given)
+
+    def make():
+        made.append(1)
+        return spark.range(len(made)).toDF("n")
+
+    def run(folder="steps", **parameters):
+        return Steps(spark, str(tmp_path / folder), [given], **parameters)("count", make).count()
+
+    assert [run(), run()] == [1, 1] and len(made) == 1
+    assert run(k=2) == 2 and run(k=2) == 2 and run() == 1
+    assert run("other") == 3
+    spark.range(1).write.mode("append").parquet(given)
+    assert run() == 4 and run() == 4 and len(made) == 4
+
+
+def test_a_step_without_a_mark_is_made_again(spark, tmp_path):
+    given = str(tmp_path / "in")
+    spark.range(4).write.parquet(given)
+    steps = Steps(spark, str(tmp_path / "steps"), [given])
+    assert steps("one", lambda: spark.range(7)).count() == 7
+    (place,) = (tmp_path / "steps").iterdir()
+    os.replace(place / "_finished", tmp_path / "mark")
+    assert steps("one", lambda: spark.range(9)).count() == 9
+    assert steps("one", lambda: spark.range(3)).count() == 9
+
+
+def test_steps_of_an_empty_table(spark, tmp_path):
+    given = str(tmp_path / "in")
+    spark.range(0).write.parquet(given)
+    steps = Steps(spark, str(tmp_path / "steps"), [given])
+    for _ in range(2):
+        found = steps("none", lambda: spark.range(0).selectExpr("id AS n", "'' AS t"))
+        assert found.count() == 0 and found.columns == ["n", "t"]
+
+
+def test_a_stopped_job_goes_on(spark, tmp_path, monkeypatch):
+    at = str(tmp_path)
+    table(spark, ["Taxi Cab", "Spa", "Bar"], f"{at}/a")
+    table(spark, ["Cab Owner", "Day Spa", "Gym"], f"{at}/b")
+    whole, ranked = harmonise.business_types, harmonise.jaccard_top
+    calls = []
+
+    def stopped(*_):
+        raise RuntimeError("stopped")
+
+    def counted(df):
+        calls.append(1)
+        return whole(df)
+
+    arguments = ["candidates", "--a", f"{at}/a", "--b", f"{at}/b", "--n", "5", "--steps", f"{at}/steps", "--out", f"{at}/pairs"]
+    monkeypatch.setattr(harmonise, "business_types", counted)
+    monkeypatch.setattr(harmonise, "jaccard_top", stopped)
+    with pytest.raises(RuntimeError, match="stopped"):
+        jobs.main(arguments)
+    assert len(calls) == 2
+    monkeypatch.setattr(harmonise, "jaccard_top", ranked)
+    jobs.main(arguments)
+    assert len(calls) == 2
+    monkeypatch.setattr(harmonise, "jaccard_top", stopped)
+    jobs.main([*arguments[:-1], f"{at}/again"])
+    first, again = (sorted(map(tuple, readers.read_csv(spark, f"{at}/{name}").collect())) for name in ("pairs", "again"))
+    assert first == again and [r[:2] for r in first] == [("Cab Owner", "Taxi Cab"), ("Day Spa", "Spa")]

@@ -241,6 +241,15 @@ def test_harmonise_steps(spark, rows):
     assert rows(missing, "BusinessType") == [("Gym",)]
 
 
+def test_replaced_and_unmapped_in_one_join(spark, rows):
+    facts = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4), ("", 5)], "BusinessType string, n int")
+    mapping = spark.createDataFrame([("a", "A"), ("b", None)], "key string, value string")
+    replaced, unmapped = vocabulary.replaced_and_unmapped(facts, mapping)
+    assert replaced.columns == unmapped.columns == facts.columns
+    assert rows(replaced) == rows(vocabulary.replace_types(facts, mapping))
+    assert rows(unmapped) == rows(vocabulary.unmapped_rows(facts, mapping)) == [(None, 4), ("", 5)]
+
+
 def test_relaxed_candidates(spark):
     a, b = licences(spark, "Van", "Bar", "Spa"), licences(spark, "Tor", "Law", "Spa")
     found = harmonise.candidates(a, b, 2, vector_table(spark)).collect()
