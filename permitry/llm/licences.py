@@ -1,13 +1,15 @@
 """Licence scans: patience alignment of texts with licence templates.
 
 Words are lower-cased and separated by white space and punctuation. Where at least ``COVER`` hundredths of a
-template's words lie in a window a quarter longer than the template, window and template are aligned: equal ends are
-matched, words that are unique in both are anchors, the longest increasing run of anchors is kept, and the gaps
-between anchors are aligned in the same way. Coverage is the share of template words matched; a match needs
-``COVER`` hundredths. Matches of one template do not overlap; the scan goes on behind a match.
+template's words lie in a window a quarter longer than the template, window and template are aligned, whatever the
+length of the template: equal ends are matched, words that are unique in both are anchors, the longest increasing run of
+anchors is kept, and the gaps between anchors are aligned in the same way. Coverage is the share of template words
+matched; a match needs ``COVER`` hundredths and begins with a matched word. Where a window holds enough but begins with
+other words the scan goes on at its first matched word. Matches of one template do not overlap; the scan goes on behind
+a match.
 
-What tells licences apart is never left to coverage: a template of fewer than ``SHORT`` words must be there word for
-word, and the match of a longer one must hold its ``MARKS``, runs of words with the licence's name and version.
+What tells licences apart is never left to coverage: a match must hold the ``MARKS`` of its template, runs of words
+with the licence's name and version.
 
 The templates are parameters of bounded size and go to every task. Texts are read once, whole, and nothing is shuffled.
 
@@ -28,7 +30,6 @@ from permitry.llm import words
 from permitry.llm.slices import slices
 
 COVER = 80
-SHORT = 20
 _BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
     that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,
     this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above
@@ -87,12 +88,21 @@ TEMPLATES = {
         MPL was not distributed with this file, You can obtain one at""",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
-#: Runs of words that a match of a long template must hold.
+#: Runs of words that a match of a template must hold.
 MARKS = {
-    "Apache-2.0 notice": ("Apache License Version 2.0",), "BSD-3-Clause": ("promote products derived",),
-    "BSD-4-Clause": ("All advertising materials", "promote products derived"), "EPL-2.0": ("Eclipse Public License 2.0",),
-    "MPL-2.0 notice": ("Public License v. 2.0", "MPL"),
+    "Apache-2.0": ("Apache License Version 2.0",), "Apache-2.0 notice": ("Apache License Version 2.0",), "BSD": ("BSD License",),
+    "BSD-3-Clause": ("promote products derived",), "BSD-4-Clause": ("All advertising materials", "promote products derived"),
+    **{f"CC-{k}-4.0": (f"Creative Commons {v} 4.0 International",) for k, v in _CC.items()},
+    **{f"CC-{k}-4.0 name": (f"CC {k} 4.0",) for k in _CC},
+    "CC-BY-NC-4.0": ("CC BY-NC 4.0",), "CC-BY-NC-4.0 name": (f"Creative Commons {_CC['BY-NC']} 4.0 International",),
+    **{f"CC-{k}-3.0": (f"Creative Commons {v} 3.0 Unported",) for k, v in _CC.items()},
+    "CC-BY-ND-3.0": ("Creative Commons Attribution-NoDerivs 3.0 Unported",),
+    "CC-BY-NC-ND-3.0": ("Creative Commons Attribution-NonCommercial-NoDerivs 3.0 Unported",),
+    "EPL-2.0": ("Eclipse Public License 2.0",), "MIT": ("MIT License",),
+    "MPL-2.0": ("Mozilla Public License Version 2.0",), "MPL-2.0 notice": ("Public License v. 2.0", "MPL"),
+    **{k: (f"GNU {v[1]} version {v[2]}",) for k, v in _GNU_LICENCES.items()},
     **{f"{k} notice": (f"GNU {v[1]}", f"version {v[2]} of") for k, v in _GNU_LICENCES.items()},
+    "Unlicense": ("free and unencumbered software",),
 }
 _SPACE = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
 
@@ -156,34 +166,31 @@ def _holds(text, run):
 
 class _Template:
     def __init__(self, name, own, cover, marks=()):
-        self.name, self.words, self.marks, self.exact = name, own, marks, len(own) < SHORT
-        self.cover = 100 if self.exact else cover
-        self.need = -(-self.cover * len(own) // 100)
-        self.window = len(own) if self.exact else len(own) + len(own) // 4 + 1
-
-    def _pairs(self, window):
-        """Matched places of a window that begins with a match, or none."""
-        if self.exact:
-            return [(i, i) for i in range(len(window))] if window == self.words else []
-        if not all(_holds(window, run) for run in self.marks):
-            return []
-        pairs = patience(window, self.words)
-        if 100 * len(pairs) < self.cover * len(self.words) or pairs[0][0]:
-            return []
-        return pairs if all(_holds(window[:pairs[-1][0] + 1], run) for run in self.marks) else []
+        self.name, self.words, self.marks = name, own, marks
+        self.need = -(-cover * len(own) // 100)
+        self.window = len(own) + len(own) // 4 + 1
+
+    def _marked(self, window):
+        return all(_holds(window, run) for run in self.marks)
 
     def scan(self, numbers, hits):
         """Matches (coverage, start, end) in one text from the places of template words, ascending."""
         found, after = [], -1
         if len(hits) < self.need:
             return found
-        for start in hits[:len(hits) - self.need + 1][hits[self.need - 1:] - hits[:len(hits) - self.need + 1] < self.window]:
+        last = len(hits) - self.need + 1
+        for start in hits[:last][hits[self.need - 1:] - hits[:last] < self.window].tolist():
             if start <= after:
                 continue
-            pairs = self._pairs(numbers[start:start + self.window].tolist())
-            if pairs:
-                after = int(start) + pairs[-1][0]
-                found.append((len(pairs) / len(self.words), int(start), after + 1))
+            window = numbers[start:start + self.window].tolist()
+            pairs = patience(window, self.words) if self._marked(window) else []
+            if len(pairs) < self.need:
+                continue
+            if pairs[0][0]:
+                after = start + pairs[0][0] - 1
+            elif self._marked(window[:pairs[-1][0] + 1]):
+                after = start + pairs[-1][0]
+                found.append((len(pairs) / len(self.words), start, after + 1))
         return found
 
 

@@ -52,6 +52,7 @@ GPL_2 = """This program is free software; you can redistribute it and/or modify
     License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later
     version."""
 NEIGHBOURS = {
+    "Distributed under the MIT License.": "MIT", "Licensed under the terms of the Apache License, Version 2.0": "Apache-2.0",
     "Released under the BSD License.": "BSD", "released under the same license": None, "Released under the MIT-0 License": None,
     "Licensed under CC BY 4.0": "CC-BY-4.0 name", "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0 name",
     "Licensed under CC BY-NC 4.0": "CC-BY-NC-4.0", "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0 name",
@@ -79,6 +80,58 @@ def test_neighbours_are_told_apart(spark):
     assert found == NEIGHBOURS
 
 
+def every_window(text, template, marks, cover):
+    """Align every window that begins with a word of the template, in order."""
+    found, start, size = [], 0, len(template) + len(template) // 4 + 1
+    while start < len(text):
+        window = text[start:start + size]
+        pairs = licences.patience(window, template) if text[start] in template else []
+        if 100 * len(pairs) < cover * len(template) or not pairs or not all(f" {m} " in f" {' '.join(window)} " for m in marks):
+            start += 1
+        elif pairs[0][0]:
+            start += pairs[0][0]
+        elif all(f" {m} " in f" {' '.join(window[:pairs[-1][0] + 1])} " for m in marks):
+            found.append((len(pairs) / len(template), start, start + pairs[-1][0] + 1))
+            start += pairs[-1][0] + 1
+        else:
+            start += 1
+    return found
+
+
+def test_scan_against_every_window(spark):
+    """Templates of 4 to 60 words of a small vocabulary, planted with words changed, left out and put in."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(25)]
+    templates = {f"t{n}": " ".join(rng.choice(vocabulary) for _ in range(n)) for n in (4, 7, 19, 20, 60)}
+    marks = {"t7": [" ".join(templates["t7"].split()[2:4])], "t60": [templates["t60"].split()[30]]}
+    texts = []
+    for _ in range(60):
+        text = []
+        for _ in range(6):
+            text += [rng.choice(vocabulary) for _ in range(rng.randrange(12))]
+            for word in rng.choice(list(templates.values())).split():
+                chance = rng.random()
+                text += [] if chance < 0.06 else [word, rng.choice(vocabulary)] if chance < 0.12 else [word]
+        texts.append(" ".join(text))
+    found = {r["doc_id"]: r["matches"] for r in licences.scan(table(spark, texts), templates, marks=marks).collect()}
+    for i, text in enumerate(texts):
+        expected = sorted((name, *m) for name, own in templates.items()
+                          for m in every_window(text.split(), own.split(), marks.get(name, ()), licences.COVER))
+        assert sorted(tuple(m) for m in found[i]) == expected
+    assert sum(map(len, found.values())) > 100
+
+
+def test_coverage_of_a_long_licence(spark):
+    """A text of the length of a whole licence: all of it, halves of it, and with one word in twenty changed."""
+    rng = random.Random(3)
+    own = [rng.choice(["the", "of", "a", "you", "work"]) if rng.random() < 0.5 else f"w{rng.randrange(900)}" for _ in range(3000)]
+    changed = [f"x{i}" if i % 20 == 7 else w for i, w in enumerate(own)]
+    texts = [" ".join([prose(rng, 40), *part, prose(rng, 40)]) for part in (own, own[:1500], own[1500:], changed, [])]
+    rows = licences.scan(table(spark, texts), {"long": " ".join(own)}, cover=40).orderBy("doc_id").collect()
+    assert rows[0]["coverage"] == 1 and rows[4]["licence"] is None
+    assert all(0.48 < rows[i]["coverage"] < 0.53 for i in (1, 2)) and 0.93 < rows[3]["coverage"] < 0.96
+
+
 def test_own_templates_with_marks(spark):
     own = "one two three four five six seven eight nine ten " * 2 + "version 7 of it"
     docs = table(spark, [own, own.replace("7", "8")])
