@@ -11,7 +11,10 @@ state is the last piece.
    every state at its right edge. At a place that no piece can cross (before a space that follows something else) all
    states are one, so such a chunk only walks to the first and from the last of these places; a chunk without them,
    as in scripts without spaces, is walked whole.
-3. The matrices are combined by max-plus products from left to right, and the best state at each edge is read back.
+3. The max-plus product is associative: runs of ``FAN`` matrices are multiplied into one, independently of each other,
+   runs of those into one again, until a document has at most ``FAN``. Their best states give each run its own first
+   and last state, from which it finds the states between its parts, alone again, down to the chunks. No task holds
+   more than ``FAN`` matrices of a document for each step.
 4. Each chunk, alone, writes its pieces between its two states; what lies between places that no piece can cross is
    encoded by the SentencePiece library, as are all documents of up to one chunk.
 
@@ -24,7 +27,7 @@ without byte fallback are refused, as their texts cannot be restored.
 
 import re
 import zlib
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,8 @@ from permitry.llm.slices import slices
 from permitry.session import written
 
 CHUNK = 1 << 14
+#: Matrices that are multiplied in one step.
+FAN = 16
 _SPACE = "▁"
 _EDGE = re.compile(f"(?<=[^{_SPACE}]){_SPACE}")
 _START = -1
@@ -209,24 +214,46 @@ class Pieces:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
-def best_states(tables):
-    """Entry and exit state of each chunk from their (entries, exits, matrix), in order: products, then the way back."""
-    so_far, ways = np.zeros(1), []
+def _aligned(matrix, exits, entries):
+    """The columns of a matrix by the states its right neighbour begins with."""
+    column = {state: i for i, state in enumerate(exits)}
+    found = np.full((len(matrix), len(entries)), -np.inf)
+    for j, state in enumerate(entries):
+        if state in column:
+            found[:, j] = matrix[:, column[state]]
+    return found
+
+
+def product(left, right):
+    """Max-plus product of two neighbouring (entries, exits, matrix)."""
+    first = _aligned(left[2], left[1], right[0])
+    best = np.full((len(left[0]), len(right[1])), -np.inf)
+    for k in range(len(right[0])):
+        np.maximum(best, first[:, k, None] + right[2][k], out=best)
+    return left[0], right[1], best
+
+
+def best_states(tables, entry=_START, leaving=None):
+    """Entry and exit state of each of some neighbouring (entries, exits, matrix), from ``entry`` to ``leaving``.
+
+    Without ``leaving`` the best way ends where it likes.
+    """
+    so_far, ways, before = None, [], None
     for entries, exits, matrix in tables:
+        if so_far is None:
+            so_far = np.where(np.array(entries) == entry, 0.0, -np.inf)
+        else:
+            so_far = _aligned(so_far[None, :], before, entries)[0]
         total = so_far[:, None] + matrix
-        ways.append(np.argmax(total, axis=0))
-        best = dict(zip(exits, np.max(total, axis=0)))
-        so_far = best
-        ways[-1] = (entries, exits, ways[-1])
-        position = len(ways)
-        if position < len(tables):
-            so_far = np.array([best.get(state, -np.inf) for state in tables[position][0]])
-    leaving = max(so_far, key=so_far.get) if isinstance(so_far, dict) else _START
+        ways.append((entries, exits, np.argmax(total, axis=0)))
+        so_far, before = np.max(total, axis=0), exits
+    if leaving is None:
+        leaving = before[int(np.argmax(so_far))]
     found = []
     for entries, exits, way in reversed(ways):
-        entry = entries[way[exits.index(leaving)]]
-        found.append((entry, leaving))
-        leaving = entry
+        first = entries[way[exits.index(leaving)]]
+        found.append((first, leaving))
+        leaving = first
     return found[::-1]
 
 
@@ -269,6 +296,11 @@ def _split(batches, model, size):
 _MATRIX = "doc bigint, chunk int, entries array<int>, exits array<int>, matrix array<double>"
 
 
+def _matrix_rows(kind, rows):
+    kinds = (pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.float64()))
+    return kind.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc", "chunk", "entries", "exits", "matrix"])
+
+
 def _transfers(batches, model):
     pieces = Pieces(model)
     for batch in batches:
@@ -276,25 +308,63 @@ def _transfers(batches, model):
         for row in batch.to_pylist():
             entries, exits, matrix = pieces.transfer(row["text"], row["edge"], row["stop"], row["chunk"] == 0, row["last"])
             rows.append((row["doc"], row["chunk"], entries, exits, matrix.ravel()))
-        kinds = (pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["doc", "chunk", "entries", "exits", "matrix"])
+        yield _matrix_rows(pa.RecordBatch, rows)
 
 
-def _combined(table):
-    """States at the edges of all chunks of some documents."""
-    docs = {}
+def _runs(table):
+    """Rows of each run of neighbouring matrices, in order."""
+    runs = {}
     for row in table.to_pylist():
-        docs.setdefault(row["doc"], []).append(row)
-    out = []
-    for doc, rows in docs.items():
+        runs.setdefault((row["doc"], row["run"]), []).append(row)
+    for run, rows in runs.items():
         rows.sort(key=lambda r: r["chunk"])
-        tables = [(r["entries"], r["exits"], np.array(r["matrix"]).reshape(len(r["entries"]), -1)) for r in rows]
-        out += [(doc, r["chunk"], *states) for r, states in zip(rows, best_states(tables))]
+        yield run, rows, [(r["entries"], r["exits"], np.array(r["matrix"]).reshape(len(r["entries"]), -1)) for r in rows]
+
+
+def _products(table):
+    """One matrix for each run."""
+    out = []
+    for (doc, run), _, tables in _runs(table):
+        entries, exits, matrix = reduce(product, tables)
+        out.append((doc, run, entries, exits, matrix.ravel()))
+    return _matrix_rows(pa.Table, out)
+
+
+_STATES = "doc bigint, chunk int, entry int, leaving int"
+
+
+def _states(table):
+    """States at the edges of the parts of each run, whose own first and last state are known or free."""
+    out = []
+    for (doc, _), rows, tables in _runs(table):
+        states = best_states(tables, rows[0]["entry"], rows[0]["leaving"])
+        out += [(doc, r["chunk"], *edges) for r, edges in zip(rows, states)]
     kinds, names = (pa.int64(), pa.int32(), pa.int32(), pa.int32()), ["doc", "chunk", "entry", "leaving"]
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
 
+def _by_run(rows, count, function, types):
+    """Apply a function to runs of ``FAN`` rows; small runs share a group."""
+    bucket = F.pmod(F.xxhash64("doc", "run"), F.lit(max(16, count // 2000))).alias("bucket")
+    return rows.groupBy(bucket).applyInArrow(function, types)
+
+
+def _edge_states(matrices, count, longest):
+    """Rows (doc, chunk, entry, leaving) of all chunks; ``longest`` is the number of chunks of the longest document."""
+    levels, run = [matrices], F.expr(f"chunk div {FAN}").cast("int")
+    while longest > FAN:
+        levels.append(written(_by_run(levels[-1].withColumn("run", run), count, _products, _MATRIX)))
+        longest, count = -(-longest // FAN), -(-count // FAN)
+    free = F.lit(_START).alias("entry"), F.lit(None).cast("int").alias("leaving")
+    top = levels.pop().select("*", *free, F.lit(0).alias("run"))
+    states = _by_run(top, count, _states, _STATES)
+    while levels:
+        count *= FAN
+        known = states.withColumnRenamed("chunk", "run")
+        states = _by_run(levels.pop().withColumn("run", run).join(known, ["doc", "run"]), count, _states, _STATES)
+    return states
+
+
 def _written_out(batches, model):
     pieces = Pieces(model)
     for batch in batches:
@@ -336,10 +406,9 @@ def encode(docs, model, id_column="doc_id", text_column="text", size=CHUNK, with
     giant = rows.where(F.length("text") >= 2 * size).select(F.monotonically_increasing_id().alias("doc"), "id", "text")
     giant = written(giant)
     chunks = written(giant.select("doc", "text").mapInArrow(partial(_split, model=model, size=size), _CHUNKS))
-    matrices = chunks.mapInArrow(partial(_transfers, model=model), _MATRIX)
-    tasks = max(16, chunks.count() // 2000)
-    bucket = F.pmod(F.xxhash64("doc"), F.lit(tasks)).alias("bucket")
-    states = matrices.groupBy(bucket).applyInArrow(_combined, "doc bigint, chunk int, entry int, leaving int")
+    matrices = written(chunks.mapInArrow(partial(_transfers, model=model), _MATRIX))
+    count, last = chunks.agg(F.count("*"), F.max("chunk")).first()
+    states = _edge_states(matrices, count, (last or 0) + 1)
     blocks = chunks.join(states, ["doc", "chunk"]).mapInArrow(partial(_written_out, model=model), "doc bigint, chunk int, ids binary")
     whole = blocks.groupBy("doc").agg(F.collect_list(F.struct("chunk", "ids")).alias("parts"))
     found = giant.join(whole, "doc").select("id", "text", "parts")

@@ -1,5 +1,6 @@
 """The parallel scan against the SentencePiece library, and exact round trips."""
 
+import functools
 import math
 import random
 import zlib
@@ -46,6 +47,44 @@ def test_scan_like_the_library(model, size):
         assert scanned(pieces, text, size) == pieces.library.encode(text)
 
 
+def tables_of(pieces, text, size):
+    text = pieces.library.normalize(text)
+    count = max(1, len(text) // size)
+    for k in range(count):
+        edge, stop = k * size, len(text) if k == count - 1 else (k + 1) * size
+        left = max(0, edge - pieces.longest)
+        yield pieces.transfer(text[left:stop + pieces.longest], edge - left, stop - left, k == 0, k == count - 1)
+
+
+def test_products_are_associative(model):
+    """Any bracketing gives one matrix, whose best weight is that of the way through all chunks."""
+    pieces = sentence_pieces.Pieces(model)
+    rng = random.Random(4)
+    for text in list(texts())[-3:]:
+        tables = list(tables_of(pieces, text, 64))
+        whole = functools.reduce(sentence_pieces.product, tables)
+        for _ in range(5):
+            left = list(tables)
+            while len(left) > 1:
+                i = rng.randrange(len(left) - 1)
+                left[i:i + 2] = [sentence_pieces.product(left[i], left[i + 1])]
+            assert left[0][:2] == whole[:2] and np.array_equal(left[0][2], whole[2])
+        states = sentence_pieces.best_states(tables)
+        weight = sum(m[e.index(a), x.index(b)] for (e, x, m), (a, b) in zip(tables, states))
+        assert weight == whole[2].max() > -np.inf
+        middle = len(tables) // 2
+        for part, edges in ((tables[:middle], states[:middle]), (tables[middle:], states[middle:])):
+            assert sentence_pieces.best_states(part, edges[0][0], edges[-1][1]) == edges
+
+
+def test_several_levels_of_products(spark, model, monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "FAN", 3)
+    library = sentence_pieces.Pieces(model).library
+    own = [t for t in texts() if len(t) > 250] + ["y" * 64 * 28, "a b " * 500]
+    found = {r["doc_id"]: r["ids"] for r in sentence_pieces.encode(table(spark, own, 5), model, size=64).collect()}
+    assert found == {i: library.encode(t) for i, t in enumerate(own)}
+
+
 def test_unigram_scan_like_the_library(model):
     from sentencepiece import sentencepiece_model_pb2
     spec = sentencepiece_model_pb2.ModelProto()
