@@ -61,3 +61,34 @@ def test_few_pairs_are_compared(spark):
     compared = near_words(words, 0.4, counted=True).groupBy().sum("compared").first()[0]
     assert compared < 0.2 * size * size
     assert near_words(words, 0.4).count() >= size
+
+
+def test_no_copies_for_every_block(spark, rows, monkeypatch):
+    """On vectors that nothing separates each word meets all others, and still no row moves behind the stored packs."""
+    monkeypatch.setattr(near, "BLOCK", 20)
+    vectors = np.random.default_rng(5).normal(size=(200, 64))
+    vectors = (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32)
+    vectors[150:] = vectors[:50] + 0.01
+    found = near_words(lexicon(spark, vectors), 0.9)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == expected(vectors, 0.9)
+
+
+def test_words_without_vector_and_repeated_words(spark, rows):
+    made = [("a", [1.0, 0.0], 1, 1), ("a", [1.0, 0.0], 1, 0), ("b", None, 1, 1), (None, [1.0, 0.1], 0, 1), ("c", [0.0, 9.0], 1, 1)]
+    words = spark.createDataFrame(made, "word string, vec array<float>, in_left int, in_right int")
+    assert sorted(near_words(words, 0.5).collect(), key=str) == [("a", "a"), ("a", "a"), ("a", None), ("a", None), ("c", "c")]
+
+
+@pytest.mark.parametrize("shift, scale, reach", [(0, 1, 0.3), (1e4, 1, 0.3), (0, 1e3, 300.0), (1e4, 1e-2, 0.02)])
+def test_meeting_is_exact_whatever_the_precision(shift, scale, reach):
+    rng = np.random.default_rng(11)
+    a, b = ((rng.normal(size=(n, 8)) * scale * 0.2 + shift).astype(np.float32).astype(float) for n in (300, 200))
+    centres = b[:9]
+    far = np.sqrt(((b[:, None] - centres[None]) ** 2).sum(2))
+    cells, at = far.argmin(1), far.min(1)
+    order = np.lexsort((at, cells))
+    near_a = np.sqrt(((a[:, None] - centres[None]) ** 2).sum(2)).min(1)
+    i, j, _ = near._meet(a, near_a, b[order], cells[order], at[order], centres, reach)
+    wanted = np.argwhere(((a[:, None] - b[order][None]) ** 2).sum(2) <= reach * reach)
+    assert len(wanted) and sorted(zip(i.tolist(), j.tolist())) == [tuple(w) for w in wanted.tolist()]
