@@ -36,6 +36,8 @@ TOP = 10
 SCALE = 1_000_000_000
 #: Texts counted at once: the more, the fewer counts of one term go to Spark.
 SLICE_BYTES = 16 << 20
+#: Counts sent to Spark at once.
+ROWS = 1 << 16
 _COUNTS = "lang string, source string, term string, n bigint, documents bigint"
 
 
@@ -52,7 +54,10 @@ def _counted(batches):
             order = np.argsort(group, kind="stable")
             texts = batch.column(2).cast(pa.binary()).take(pa.array(order)).to_pylist()
             ends = np.cumsum([len(t) + 1 for t in texts])
-            data = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
+            joined = b"\0".join([*texts, b""])
+            # the counting has its own copy: neither the texts nor their bytes are held beside it
+            counted = packed_terms.counted(np.frombuffer(joined, np.uint8), ends, group[order])
+            del texts, joined
             langs, sources = (pa.array([pair[i] for pair in own], pa.string()) for i in (0, 1))
 
             def rows(groups, terms, n, documents):
@@ -61,10 +66,12 @@ def _counted(batches):
 
             none = np.zeros(len(own), np.int64)
             yield rows(np.arange(len(own)), pa.nulls(len(own), pa.string()), none, none)
-            for lengths, joined, at, n, documents in packed_terms.counted(data, ends, group[order]):
+            for lengths, joined, at, n, documents in counted:
                 places = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                 terms = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(places), pa.py_buffer(joined))
-                yield rows(at, terms, n, documents)
+                for first in range(0, len(at), ROWS):
+                    part = slice(first, first + ROWS)
+                    yield rows(at[part], terms[part], n[part], documents[part])
 
 
 def term_counts(docs, text_column="text", lang_column="lang", source_column="source"):

@@ -1,9 +1,9 @@
 """Terms of texts counted in numpy: short ones packed into one or two 64-bit words, long ones sorted by bytes.
 
 A term is a maximal run of ASCII letters and of code points from U+0080 on, A-Z in lower case. Terms go into buckets by
-length: up to 8 bytes are one word, up to 16 two, with the first byte highest, so that numbers are in the order of bytes;
-both are sorted by radix, digit by digit. Longer terms have a bucket for each length and are sorted as bytes. Equal terms
-then follow each other and are counted by runs.
+length: up to 8 bytes (in two buckets) are one word, up to 16 two, with the first byte highest, so that numbers are in the
+order of bytes; they are sorted by radix, digit by digit. Longer terms have a bucket for each length and are sorted as
+bytes. Equal terms then follow each other and are counted by runs. One bucket is held at a time, with places of 32 bits.
 """
 
 import numpy as np
@@ -13,24 +13,41 @@ _FOLD[65:91] += 32
 _TERM = np.zeros(256, bool)
 _TERM[97:123] = _TERM[128:] = True
 _WORD = 8
+#: Lengths that are packed and sorted together; longer terms by bytes.
+_BUCKETS = ((1, 4), (5, 8), (9, 16))
+#: Terms packed, or bytes looked at, at once.
+_PART = 1 << 16
+
+
+def _place(size):
+    """The kind of whole numbers that hold places of as many bytes."""
+    return np.int32 if size < 2 ** 31 else np.int64
 
 
 def _order(words):
     """Stable order of 64-bit numbers, by least significant digits of 16 bits; a digit that all share is passed over."""
-    order = None
+    order, digits = None, words.astype("<u8", copy=False).view("<u2").reshape(-1, 4)
     for digit in range(4):
-        values = ((words if order is None else words[order]) >> np.uint64(16 * digit)).astype(np.uint16)
+        values = digits[:, digit]
         if len(values) and (values != values[0]).any():
-            step = np.argsort(values, kind="stable")
+            step = np.argsort(values if order is None else values[order], kind="stable").astype(_place(len(values)))
             order = step if order is None else order[step]
-    return np.arange(len(words)) if order is None else order
+    return np.arange(len(words), dtype=_place(len(words))) if order is None else order
+
 
+def _packed(data, starts, lengths, word):
+    """Eight bytes of each term, or as many as it has, from its ``word``-th eight on as one number.
 
-def _packed(data, starts, lengths):
-    """The first up to eight bytes from each start as one number; ``data`` ends in eight bytes more than any term."""
+    ``data`` ends in eight bytes more than any term. Terms are looked at in parts, as each step is an array of its own.
+    """
     views = np.ndarray((len(data) - _WORD + 1,), ">u8", data, strides=(1,))
-    keep = ~np.uint64(0) << (np.uint64(8) * (_WORD - np.minimum(lengths, _WORD)).astype(np.uint64))
-    return views[starts].astype(np.uint64) & keep
+    found = np.empty(len(starts), np.uint64)
+    for first in range(0, len(starts), _PART):
+        part = slice(first, first + _PART)
+        used = np.minimum(lengths[part] - _WORD * word, _WORD)
+        keep = ~np.uint64(0) << (np.uint64(8) * (_WORD - used).astype(np.uint64))
+        found[part] = views[starts[part] + _WORD * word].astype(np.uint64) & keep
+    return found
 
 
 def _runs(changes, documents):
@@ -38,7 +55,17 @@ def _runs(changes, documents):
     first = np.flatnonzero(changes)
     new = changes.copy()
     new[1:] |= documents[1:] != documents[:-1]
-    return first, np.diff(first, append=len(changes)), np.add.reduceat(new.astype(np.int64), first) if len(first) else first
+    return first, np.diff(first, append=len(changes)), np.add.reduceat(new, first, dtype=np.int64) if len(first) else first
+
+
+def _changes(data, kind):
+    """Places at which terms start and end, in turn; the last byte is in no term."""
+    found, last = [], np.zeros(1, bool)
+    for first in range(0, len(data), _PART):
+        inside = np.concatenate([last, _TERM[data[first:first + _PART]]])
+        found.append((np.flatnonzero(inside[1:] != inside[:-1]) + first).astype(kind))
+        last = inside[-1:]
+    return np.concatenate(found)
 
 
 def _unlike(*columns):
@@ -64,20 +91,24 @@ def counted(data, documents, groups):
     (lengths, joined bytes, group, count, number of documents) with one entry for each term and group.
     """
     data = np.concatenate([_FOLD[data], np.zeros(2 * _WORD, np.uint8)])
-    edges = np.diff(_TERM[data].view(np.int8), prepend=np.int8(0))
-    starts = np.flatnonzero(edges == 1)
-    lengths = np.flatnonzero(edges == -1) - starts
-    document = np.searchsorted(documents, starts, side="right")
-    words = (lengths + _WORD - 1) // _WORD
-    for count in (1, 2):
-        at = np.flatnonzero(words == count)
-        columns = [_packed(data, starts[at] + _WORD * i, lengths[at] - _WORD * i) for i in range(count)]
-        order = np.arange(len(at))
+    kind = _place(len(data))
+    places = _changes(data, kind)
+    starts, lengths = places[::2].copy(), places[1::2] - places[::2]
+    del places
+    # how many terms start before the end of each text
+    before = np.concatenate([[0], np.searchsorted(starts, documents)])
+    document = np.repeat(np.arange(len(documents), dtype=_place(len(documents))), np.diff(before))
+    for least, most in _BUCKETS:
+        at = np.flatnonzero((lengths >= least) & (lengths <= most)).astype(kind)
+        columns = [_packed(data, starts[at], lengths[at], i) for i in range(-(-most // _WORD))]
+        order = np.arange(len(at), dtype=kind)
         for column in reversed(columns):
             order = order[_order(column[order])]
-        columns = [c[order] for c in columns]
-        yield _entries(_bytes_of, columns, document[at[order]], groups)
-    long = np.flatnonzero(words > 2)
+        columns, at = [c[order] for c in columns], at[order]
+        del order, column
+        yield _entries(_bytes_of, columns, document[at], groups)
+        del columns, at
+    long = np.flatnonzero(lengths > _BUCKETS[-1][1]).astype(kind)
     long = long[np.argsort(lengths[long], kind="stable")]
     for at in np.split(long, np.flatnonzero(np.diff(lengths[long])) + 1):
         if len(at):

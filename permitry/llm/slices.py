@@ -22,8 +22,9 @@ def gathered(batches, column, size):
     held, held_bytes = [], 0
     for batch in batches:
         if held and held_bytes + batch.column(column).nbytes > size:
-            yield _joined(held)
-            held, held_bytes = [], 0
+            whole, held, held_bytes = _joined(held), [], 0
+            yield whole
+            del whole
         held.append(batch)
         held_bytes += batch.column(column).nbytes
     if held:

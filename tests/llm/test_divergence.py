@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from documents import SCHEMA, varied
 
@@ -125,3 +127,19 @@ def test_radix_order():
     values = np.random.default_rng(1).integers(0, 2 ** 63, 5000).astype(np.uint64) * np.uint64(2)
     values[::7] = values[3]
     assert packed_terms._order(values).tolist() == np.argsort(values, kind="stable").tolist()
+
+
+def test_counting_holds_little_beside_the_texts():
+    """A slice of texts is counted in a few times its size, and its counts leave in batches of bounded size."""
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.choice([2, 3, 4, 6, 7]))) for _ in range(200_000)]
+    texts = [" ".join(rng.choices(words, k=500)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(["a"] * len(texts)), pa.array(texts)], ["lang", "source", "text"])
+    size = sum(len(t) for t in texts)
+    del texts
+    tracemalloc.start()
+    sizes = [counts.num_rows for counts in divergence._counted([batch])]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) > 70_000 and max(sizes) <= divergence.ROWS
+    assert peak < 12 * size
